@@ -172,6 +172,326 @@ def q_metrics_first_40(spark, sf_dir):
     return _metrics(spark, sf_dir).limit(40)
 
 
+# ---------------------------------------------------------------------------
+# OTC pairing, strict schemas, sentinel, anchor date
+
+SQL_OTC = """
+otc AS (
+  SELECT l_partkey AS bond, l_suppkey AS org, date_trunc('year', l_shipdate) AS "date",
+         CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 WHEN 'N' THEN 3 END AS quote_type,
+         l_extendedprice AS price
+  FROM lineitem
+),
+otc_bid AS (SELECT bond, org, "date", price AS bid FROM otc
+            WHERE quote_type = 1 AND bond IS NOT NULL AND org IS NOT NULL AND "date" IS NOT NULL
+              AND price IS NOT NULL AND price > 0),
+otc_ask AS (SELECT bond, org, "date", price AS ask FROM otc
+            WHERE quote_type = 2 AND bond IS NOT NULL AND org IS NOT NULL AND "date" IS NOT NULL
+              AND price IS NOT NULL AND price > 0)"""
+
+
+@register("otc_pairing", "WITH " + SQL_OTC + """
+SELECT b.bond, b.org, b."date", b.bid, a.ask
+FROM otc_bid b JOIN otc_ask a ON a.bond = b.bond AND a.org = b.org AND a."date" = b."date"
+""")
+def q_otc_pairing(spark, sf_dir):
+    """Every OTC bid with every ask of the same (bond, org, date)."""
+    return clean.pair_otc_quotes(P.otc_quotes(spark, sf_dir))
+
+
+def _exchange_as_text(spark, sf_dir):
+    # The exchange feed as the CSV reader delivers it: every column a string.
+    ex = P.exchange_quotes(spark, sf_dir)
+    return ex.select(*[F.col(c).cast("string").alias(c) for c in ex.columns])
+
+
+@register("strict_schema_drop", "WITH " + SQL_EXCHANGE + "\nSELECT * FROM ex")
+def q_strict_schema_drop(spark, sf_dir):
+    """Text columns -> typed, non-null contract enforced by dropping bad rows."""
+    return clean.clean_exchange_quotes(_exchange_as_text(spark, sf_dir),
+                                       excluded_grounds=P.PROXY_EXCLUDED_GROUNDS, mode="drop")
+
+
+@register("strict_schema_quarantine", "WITH " + SQL_EXCHANGE +
+          "\nSELECT *, '' AS rejected_fields FROM ex")
+def q_strict_schema_quarantine(spark, sf_dir):
+    """Same contract, every row kept and tagged with the fields that broke it."""
+    from ..schemas import REJECT_COL
+    tagged = clean.clean_exchange_quotes(_exchange_as_text(spark, sf_dir),
+                                         excluded_grounds=P.PROXY_EXCLUDED_GROUNDS,
+                                         mode="quarantine")
+    return tagged.withColumn("rejected_fields", F.array_join(REJECT_COL, ",")).drop(REJECT_COL)
+
+
+@register("far_date_sentinel", "WITH " + SQL_BONDS + """
+SELECT id, isin,
+       CASE WHEN date_of_end_placing > TIMESTAMP '2037-12-30 00:00:00'
+            THEN TIMESTAMP '1970-01-01 04:00:01' ELSE date_of_end_placing END AS date_of_end_placing,
+       CASE WHEN maturity_date > TIMESTAMP '2037-12-30 00:00:00'
+            THEN TIMESTAMP '1970-01-01 04:00:01' ELSE maturity_date END AS maturity_date,
+       usd_volume
+FROM bl""")
+def q_far_date_sentinel(spark, sf_dir):
+    from ..functions.sentinel import apply_far_date_sentinel
+    return apply_far_date_sentinel(_bonds(spark, sf_dir))
+
+
+@register("anchor_date", """
+SELECT event_id, ts, CAST(hour(m) AS INTEGER) AS local_hour,
+       strftime(CASE WHEN hour(m) < 10 THEN CAST(m AS DATE) - 1 ELSE CAST(m AS DATE) END, '%Y%m%d')
+         AS anchor_date
+FROM (SELECT event_id, ts, timezone('Europe/Moscow', timezone('UTC', ts)) AS m FROM events)
+""")
+def q_anchor_date(spark, sf_dir):
+    """Exchange-local hour and business anchor date of every event time."""
+    from ..functions.timeutil import anchor_date, local_hour
+    ev = P.table(spark, sf_dir, "events")
+    return ev.select("event_id", "ts", local_hour("ts").alias("local_hour"),
+                     anchor_date("ts").alias("anchor_date"))
+
+
+# ---------------------------------------------------------------------------
+# Quote events: JSON payloads, snapshots, typed rows
+
+SQL_EVENT_TEXT = """
+ev_text AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS bond,
+         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS bid,
+         CAST(CAST(value AS DECIMAL(18,2)) * CAST(1.01 AS DECIMAL(3,2)) AS VARCHAR) AS ask,
+         CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                              WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS VARCHAR) AS tg,
+         CAST(CAST(ts AS DATE) AS VARCHAR) AS "date",
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS update_ts,
+         '0' AS volume,
+         CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS volume_money,
+         '0' AS overturn
+  FROM events
+)"""
+
+SQL_TYPED = """
+q AS (
+  SELECT CAST(user_id AS BIGINT) AS bond,
+         CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                              WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS BIGINT) AS tg,
+         CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS volume_money,
+         CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS bid,
+         CAST(CAST(value AS DECIMAL(18,2)) * CAST(1.01 AS DECIMAL(3,2)) AS DOUBLE) AS ask,
+         CAST(0 AS DOUBLE) AS overturn,
+         CAST(ts AS DATE) AS "date",
+         ts AS update_ts
+  FROM events
+)"""
+
+
+def _typed_quotes(spark, sf_dir):
+    from ..functions.jsonq import parse_quote_json
+    return parse_quote_json(P.intraday_json(spark, sf_dir))
+
+
+@register("events_to_json", "WITH " + SQL_EVENT_TEXT + """
+SELECT CAST(json_object('id', id, 'bond', bond, 'bid', bid, 'ask', ask, 'tg', tg, 'date', "date",
+                        'update_ts', update_ts, 'volume', volume, 'volume_money', volume_money,
+                        'overturn', overturn) AS VARCHAR) AS value
+FROM ev_text""")
+def q_events_to_json(spark, sf_dir):
+    """Topic payloads: one JSON object per quote event, fields as strings."""
+    return P.intraday_json(spark, sf_dir)
+
+
+@register("json_quote_parse", "WITH " + SQL_TYPED + "\nSELECT * FROM q")
+def q_json_quote_parse(spark, sf_dir):
+    """Payload -> from_json -> flatten -> try_cast -> bond/tg filter."""
+    from ..streaming.quotes import to_wall_clock
+    return to_wall_clock(_typed_quotes(spark, sf_dir))
+
+
+@register("snapshot_explode", "WITH " + SQL_EVENT_TEXT + "\nSELECT * FROM ev_text")
+def q_snapshot_explode(spark, sf_dir):
+    """Landed snapshot documents (written, then read as text) -> one event per item."""
+    from ..sources.snapshot import read_snapshots, snapshot_explode
+    path = S.scratch_dir(spark, "snapshots")
+    P.snapshot_documents(P.table(spark, sf_dir, "events")).write.mode("overwrite").text(path)
+    return snapshot_explode(read_snapshots(spark, path))
+
+
+# ---------------------------------------------------------------------------
+# Sliding windows, newest quote, enrichment (batch)
+
+SQL_WINDOWS = SQL_TYPED + """,
+qw AS (
+  SELECT q.*, date_trunc('minute', update_ts) - to_minutes(k) AS window_start
+  FROM q, range(0, 30) r(k)
+),
+win AS (
+  SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, bond, tg, "date",
+         round(sum(volume_money), 6) AS volume_money, max(bid) AS bid, max(ask) AS ask,
+         max(update_ts) AS update_ts, count(update_ts) AS cnt
+  FROM qw GROUP BY window_start, bond, tg, "date"
+)"""
+
+SQL_ENRICHED = SQL_METRICS + "," + SQL_WINDOWS + """,
+enriched AS (
+  SELECT win.window_start, win.window_end, win.bond, m.isin, win.tg, win."date", win.volume_money,
+         win.bid, win.ask, win.update_ts, m.bid_ask_spread_relative_median AS baspread_rel_median,
+         m.bid_ask_spread_relative_rank AS baspread_rel_rank, win.cnt
+  FROM win LEFT JOIN metrics m ON m.id = win.bond
+)"""
+
+WATERMARK_CUT = "(SELECT max(ts) FROM events) - INTERVAL 120 MINUTE"
+
+
+def _round_sum(df):
+    # Sums of doubles depend on the order partial sums meet; compare at 1e-6.
+    return df.withColumn("volume_money", F.round("volume_money", 6))
+
+
+def _windows(spark, sf_dir, preaggregate=True):
+    from ..operators.windows import sliding_window_agg
+    from ..streaming.quotes import to_wall_clock
+    win = sliding_window_agg(_typed_quotes(spark, sf_dir), preaggregate=preaggregate)
+    return _round_sum(to_wall_clock(win))
+
+
+@register("sliding_window_agg", "WITH " + SQL_WINDOWS + "\nSELECT * FROM win")
+def q_sliding_window_agg(spark, sf_dir):
+    """30-minute windows every minute per (bond, tg, date), pre-aggregated per minute."""
+    return _windows(spark, sf_dir)
+
+
+@register("window_single_observation", "WITH " + SQL_WINDOWS + "\nSELECT * FROM win WHERE cnt = 1")
+def q_window_single_observation(spark, sf_dir):
+    return _windows(spark, sf_dir).where(F.col("cnt") == 1)
+
+
+@register("latest_quote", "WITH " + SQL_TYPED + """
+SELECT bond, tg, volume_money, bid, ask, overturn, "date", update_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY bond, tg ORDER BY update_ts DESC NULLS LAST,
+         volume_money DESC, bid DESC, ask DESC, overturn DESC, "date" DESC) AS rn
+  FROM q) WHERE rn = 1""")
+def q_latest_quote(spark, sf_dir):
+    """Newest quote per (bond, tg)."""
+    from ..operators.windows import latest_quote
+    from ..streaming.quotes import to_wall_clock
+    return to_wall_clock(latest_quote(_typed_quotes(spark, sf_dir)))
+
+
+def _materialized_metrics(spark, sf_dir):
+    """Metrics written once as Parquet and read back: a lineage cut, and the
+    static side of the enrichment is a table whose size a count bounds."""
+    from ..sinks.writers import read_metrics_parquet, write_parquet
+    path = write_parquet(_metrics(spark, sf_dir, ), S.scratch_dir(spark, "metrics"))
+    return read_metrics_parquet(spark, path), path
+
+
+@register("enriched_quotes_batch", "WITH " + SQL_ENRICHED + "\nSELECT * FROM enriched")
+def q_enriched_quotes_batch(spark, sf_dir):
+    """Batch twin of the stream: windows left-joined with the metrics."""
+    from ..operators.windows import enrich_with_metrics, sliding_window_agg
+    from ..streaming.quotes import to_wall_clock
+    metrics, _ = _materialized_metrics(spark, sf_dir)
+    win = sliding_window_agg(_typed_quotes(spark, sf_dir))
+    return _round_sum(to_wall_clock(enrich_with_metrics(win, metrics)))
+
+
+# ---------------------------------------------------------------------------
+# Metric sinks read back
+
+@register("metrics_parquet_roundtrip", "WITH " + SQL_METRICS + "\nSELECT * FROM metrics")
+def q_metrics_parquet_roundtrip(spark, sf_dir):
+    metrics, _ = _materialized_metrics(spark, sf_dir)
+    return metrics
+
+
+@register("metrics_csv_roundtrip", "WITH " + SQL_METRICS + "\nSELECT * FROM metrics")
+def q_metrics_csv_roundtrip(spark, sf_dir):
+    """Metrics written as header CSV and read back with the declared schema."""
+    from ..sinks.writers import read_metrics_csv, write_csv
+    path = write_csv(_metrics(spark, sf_dir), S.scratch_dir(spark, "metrics-csv"))
+    return read_metrics_csv(spark, path)
+
+
+@register("notebook_head", "WITH " + SQL_METRICS + "\nSELECT * FROM metrics ORDER BY id LIMIT 10")
+def q_notebook_head(spark, sf_dir):
+    """First ten metric rows of the Parquet copy (bounded, unlike a full toPandas)."""
+    metrics, _ = _materialized_metrics(spark, sf_dir)
+    return metrics.orderBy("id").limit(10)
+
+
+# ---------------------------------------------------------------------------
+# Streaming (file source standing in for the topic; availableNow, then read back)
+
+def _event_stream(spark, sf_dir):
+    from ..functions.jsonq import quote_events_to_json
+    from ..streaming.quotes import file_source
+    schema = P.table(spark, sf_dir, "events").schema
+    raw = file_source(spark, sf_dir, schema, glob="events.parquet")
+    return quote_events_to_json(P.intraday_events(raw))
+
+
+def _run_stream(spark, stream, name):
+    from ..streaming.runner import run_available_now
+    out = S.scratch_dir(spark, name)
+    run_available_now(stream, out, f"{out}/_checkpoint")
+    return spark.read.parquet(out)
+
+
+@register("stream_file_source", "WITH " + SQL_TYPED + "\nSELECT * FROM q")
+def q_stream_file_source(spark, sf_dir):
+    """Stream of topic values from landed files, parsed and typed."""
+    from ..functions.jsonq import parse_quote_json
+    from ..streaming.quotes import to_wall_clock
+    typed = parse_quote_json(_event_stream(spark, sf_dir))
+    return to_wall_clock(_run_stream(spark, typed, "stream-source"))
+
+
+@register("stream_sliding_window", "WITH " + SQL_WINDOWS +
+          f"\nSELECT * FROM win WHERE window_end <= {WATERMARK_CUT}")
+def q_stream_sliding_window(spark, sf_dir):
+    """Watermarked sliding windows in append mode: windows closed by the watermark."""
+    from ..streaming.quotes import to_wall_clock, windowed_quotes
+    out = _run_stream(spark, windowed_quotes(_event_stream(spark, sf_dir)), "stream-windows")
+    return _round_sum(to_wall_clock(out))
+
+
+def _enriched_stream_output(spark, sf_dir):
+    from ..streaming.quotes import enriched_quotes, to_wall_clock
+    metrics, _ = _materialized_metrics(spark, sf_dir)
+    out = _run_stream(spark, enriched_quotes(_event_stream(spark, sf_dir), metrics),
+                      "stream-enriched")
+    return _round_sum(to_wall_clock(out))
+
+
+ENRICHED_COLS_SQL = ("bond, isin, tg, \"date\", volume_money, bid, ask, update_ts, "
+                     "baspread_rel_median, baspread_rel_rank, cnt")
+
+
+@register("stream_enriched_quotes", "WITH " + SQL_ENRICHED +
+          f"\nSELECT {ENRICHED_COLS_SQL} FROM enriched WHERE window_end <= {WATERMARK_CUT}")
+def q_stream_enriched_quotes(spark, sf_dir):
+    """Full stream: windows x broadcast metrics, window column dropped, file sink read back."""
+    return _enriched_stream_output(spark, sf_dir)
+
+
+@register("stream_sink_count", "WITH " + SQL_ENRICHED +
+          f"\nSELECT count(*) AS n_rows FROM enriched WHERE window_end <= {WATERMARK_CUT}")
+def q_stream_sink_count(spark, sf_dir):
+    return _enriched_stream_output(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("newest_enriched_top10", "WITH " + SQL_ENRICHED + f"""
+SELECT {ENRICHED_COLS_SQL} FROM enriched WHERE window_end <= {WATERMARK_CUT}
+ORDER BY update_ts DESC NULLS LAST, bond ASC NULLS FIRST, tg ASC NULLS FIRST, "date" ASC NULLS FIRST,
+         cnt DESC NULLS LAST, volume_money DESC NULLS LAST, bid DESC NULLS LAST, ask DESC NULLS LAST
+LIMIT 10""")
+def q_newest_enriched_top10(spark, sf_dir):
+    """Ten newest enriched rows (top-k; ties broken by the remaining columns)."""
+    out = _enriched_stream_output(spark, sf_dir)
+    return out.orderBy(F.col("update_ts").desc_nulls_last(), F.col("bond").asc_nulls_first(),
+                       F.col("tg").asc_nulls_first(), F.col("date").asc_nulls_first(),
+                       F.col("cnt").desc_nulls_last(), F.col("volume_money").desc_nulls_last(),
+                       F.col("bid").desc_nulls_last(), F.col("ask").desc_nulls_last()).limit(10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.fn for name, q in REGISTRY.items()}
 
