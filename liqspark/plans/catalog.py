@@ -492,6 +492,14 @@ def q_newest_enriched_top10(spark, sf_dir):
                        F.col("bid").desc_nulls_last(), F.col("ask").desc_nulls_last()).limit(10)
 
 
+def bench_variants() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Alternative strategies timed by bench.py next to the registered queries."""
+    def sliding_window_native(spark, sf_dir):
+        S.prepare(spark)
+        return _windows(spark, sf_dir, preaggregate=False)
+    return {"sliding_window_native": sliding_window_native}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.fn for name, q in REGISTRY.items()}
 
