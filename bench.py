@@ -23,7 +23,7 @@ HEADLINE = [
     "liquidity_rank",
     "otc_pairing",
     "sliding_window_agg",
-    "sliding_window_native",
+    "sliding_window_preagg",
     "latest_quote",
     "snapshot_explode",
     "enriched_quotes_batch",

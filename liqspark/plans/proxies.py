@@ -27,7 +27,8 @@ ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from ..sources.readers import read_parquet_table
+    return read_parquet_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _year_start(ts: Column) -> Column:

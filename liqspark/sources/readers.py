@@ -31,3 +31,23 @@ def read_otc_quotes(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bond_list(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, RAW_BONDS)
+
+
+def balance_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow scan over at least ``min_partitions`` tasks.
+
+    A large table arrives in many splits and is returned unchanged (no extra
+    shuffle). A small or unsplittable input (one Parquet row group, a gzip
+    file) arrives as one split, which would run all map-side work - casts,
+    partial aggregates, window expansion - in a single task; it is
+    round-robin repartitioned instead. Only call this on a plain scan: the
+    split count is read from the scan's plan without running a job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_parquet_table(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    return balance_scan(spark.read.parquet(path), min_partitions)
