@@ -84,3 +84,19 @@ def console(stream: DataFrame, checkpoint_dir: str, num_rows: int = 20, truncate
             .option("checkpointLocation", checkpoint_dir)
             .option("numRows", str(num_rows)).option("truncate", str(truncate).lower())
             .start())
+
+
+def write_kafka(events: DataFrame, servers: str, topic: str) -> None:
+    """Publish quote events as JSON values without a key (batch). Needs the
+    Kafka connector on the classpath (absent in the test container)."""
+    from ..functions.jsonq import quote_events_to_json
+    (quote_events_to_json(events).write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+
+
+def stream_to_kafka(events: DataFrame, servers: str, topic: str, checkpoint_dir: str):
+    """Streaming twin of ``write_kafka`` (append, checkpointed)."""
+    from ..functions.jsonq import quote_events_to_json
+    return (quote_events_to_json(events).writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers).option("topic", topic)
+            .option("checkpointLocation", checkpoint_dir).outputMode("append").start())
