@@ -5,7 +5,9 @@ one task. Here the rows are range-partitioned on the sort key instead, sorted
 inside each partition, and numbered locally; each partition then adds the
 number of rows in all partitions before it:
 
-1. ``repartitionByRange(n, key)`` + ``sortWithinPartitions(key)``;
+1. ``repartitionByRange(key)`` + ``sortWithinPartitions(key)`` (without an
+   explicit count AQE sizes the partitions; coalesced neighbours of a range
+   partitioning are still contiguous ranges, so the order holds);
 2. ``monotonically_increasing_id`` = partition id << 33 | position, taken in
    sorted order, so it carries both the partition and the local position;
 3. reliable ``checkpoint()``: range bounds come from sampling, so the tagged
@@ -30,17 +32,17 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def default_range_partitions(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def global_row_number(df: DataFrame, order: Sequence[Column], out_col: str = "rn",
                       total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of each row in ``order`` (and optionally
-    ``total_col`` = number of rows), computed across many tasks."""
-    n = num_partitions or default_range_partitions(df)
+    ``total_col`` = number of rows), computed across many tasks.
+    ``num_partitions`` fixes the range partition count (default: AQE decides)."""
     checkpoint_root(df.sparkSession)
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order)
+    else:
+        ranged = df.repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order)
     tagged = ordered.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = tagged.select(
         "*",

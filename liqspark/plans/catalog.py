@@ -160,8 +160,8 @@ def q_liquidity_rank(spark, sf_dir):
 
 @register("liquidity_rank_distributed", "WITH " + SQL_RANK + "\nSELECT * FROM rk")
 def q_liquidity_rank_distributed(spark, sf_dir):
-    """The rank over many more range partitions than cores: same result."""
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """The rank over a fixed, larger number of range partitions: same result."""
+    n = 4 * spark.sparkContext.defaultParallelism
     return liquidity.rank_by_median(liquidity.spread_medians(_exchange(spark, sf_dir)),
                                     num_partitions=n)
 

@@ -101,3 +101,16 @@ def test_latest_quote_matches_window_definition(spark):
     got = latest_quote(q)
     assert got.select(*expect.columns).exceptAll(expect).count() == 0
     assert got.count() == expect.count()
+
+
+def test_rank_correct_when_aqe_coalesces_range_partitions(spark):
+    from liqspark.plans import catalog
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        med = liquidity.spread_medians(catalog._exchange(spark, SF))
+        got = liquidity.rank_by_median(med).select(
+            "bond", F.col("bid_ask_spread_relative_rank").alias("rank"))
+        assert got.exceptAll(_brute_rank(med)).count() == 0
+        assert got.count() == med.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
