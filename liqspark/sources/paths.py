@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# Fixed values of the original daily drop: file names of the three inputs.
+EXCHANGE_FILE = "quotes_{anchor}.csv"
+OTC_FILE = "quotes_mp_month_raw_{anchor}.csv"
+BONDS_FILE = "bonds_{anchor}.csv"
+
 
 @dataclass(frozen=True)
 class DatedPaths:
@@ -23,15 +28,15 @@ class DatedPaths:
 
     @property
     def exchange_quotes(self) -> str:
-        return f"{self._day}/quotes_{self.anchor}.csv"
+        return f"{self._day}/{EXCHANGE_FILE.format(anchor=self.anchor)}"
 
     @property
     def otc_quotes(self) -> str:
-        return f"{self._day}/quotes_mp_month_raw_{self.anchor}.csv"
+        return f"{self._day}/{OTC_FILE.format(anchor=self.anchor)}"
 
     @property
     def bond_list(self) -> str:
-        return f"{self._day}/bonds_{self.anchor}.csv"
+        return f"{self._day}/{BONDS_FILE.format(anchor=self.anchor)}"
 
     @property
     def metrics_parquet(self) -> str:
