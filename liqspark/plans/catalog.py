@@ -1,9 +1,10 @@
 """Named queries over the test tables, each with its DuckDB oracle SQL.
 
 Every query reads whole tables (through the proxies of ``proxies.py``) and
-returns a DataFrame; columns are aliased identically in the oracle. Queries
-marked ``oracle=None`` are checked by row count only (streaming / sink
-round-trips whose SQL twin is given where one exists).
+returns a DataFrame; columns are aliased identically in the oracle. Streaming
+queries run with ``availableNow`` into a fresh folder under the shared
+checkpoint root and return the sink read back; their oracle is the batch SQL
+restricted to the windows the watermark has closed.
 """
 
 from __future__ import annotations
@@ -379,7 +380,7 @@ def _materialized_metrics(spark, sf_dir):
     """Metrics written once as Parquet and read back: a lineage cut, and the
     static side of the enrichment is a table whose size a count bounds."""
     from ..sinks.writers import read_metrics_parquet, write_parquet
-    path = write_parquet(_metrics(spark, sf_dir, ), S.scratch_dir(spark, "metrics"))
+    path = write_parquet(_metrics(spark, sf_dir), S.scratch_dir(spark, "metrics"))
     return read_metrics_parquet(spark, path), path
 
 
@@ -475,6 +476,20 @@ def q_stream_enriched_quotes(spark, sf_dir):
     return _enriched_stream_output(spark, sf_dir)
 
 
+@register("stream_sink_readback", "WITH " + SQL_ENRICHED +
+          f"\nSELECT {ENRICHED_COLS_SQL} FROM enriched WHERE window_end <= {WATERMARK_CUT}")
+def q_stream_sink_readback(spark, sf_dir):
+    """The stream's output folder read as plain Parquet files (a glob that skips
+    the sink's commit log, as a notebook reading the folder does)."""
+    from ..streaming.quotes import enriched_quotes, to_wall_clock
+    from ..streaming.runner import run_available_now
+    metrics, _ = _materialized_metrics(spark, sf_dir)
+    out = S.scratch_dir(spark, "stream-readback")
+    run_available_now(enriched_quotes(_event_stream(spark, sf_dir), metrics), out,
+                      f"{out}/_checkpoint")
+    return _round_sum(to_wall_clock(spark.read.parquet(f"{out}/*.parquet")))
+
+
 @register("stream_sink_count", "WITH " + SQL_ENRICHED +
           f"\nSELECT count(*) AS n_rows FROM enriched WHERE window_end <= {WATERMARK_CUT}")
 def q_stream_sink_count(spark, sf_dir):
