@@ -432,10 +432,16 @@ def _event_stream(spark, sf_dir):
     return quote_events_to_json(P.intraday_events(raw))
 
 
+def _state_partitions(spark):
+    # The test streams hold at most a few million window states: one state
+    # partition per core.
+    return spark.sparkContext.defaultParallelism
+
+
 def _run_stream(spark, stream, name):
     from ..streaming.runner import run_available_now
     out = S.scratch_dir(spark, name)
-    run_available_now(stream, out, f"{out}/_checkpoint")
+    run_available_now(stream, out, f"{out}/_checkpoint", state_partitions=_state_partitions(spark))
     return spark.read.parquet(out)
 
 
@@ -486,7 +492,7 @@ def q_stream_sink_readback(spark, sf_dir):
     metrics, _ = _materialized_metrics(spark, sf_dir)
     out = S.scratch_dir(spark, "stream-readback")
     run_available_now(enriched_quotes(_event_stream(spark, sf_dir), metrics), out,
-                      f"{out}/_checkpoint")
+                      f"{out}/_checkpoint", state_partitions=_state_partitions(spark))
     return _round_sum(to_wall_clock(spark.read.parquet(f"{out}/*.parquet")))
 
 

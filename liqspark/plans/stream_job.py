@@ -32,16 +32,17 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 def start(spark: SparkSession, values: DataFrame, metrics_path: str, output: str,
           fmt: str = "parquet", trigger: str | None = "1 minute", upsert_table: str | None = None,
-          available_now: bool = False) -> StreamingQuery:
+          available_now: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     metrics = read_metrics(spark, metrics_path)
+    stream = quotes.enriched_quotes(values, metrics, keep_window=False)
     if upsert_table:
-        stream = quotes.enriched_quotes(values, metrics, keep_window=False)
         return runner.start(stream, None, f"{upsert_table.rstrip('/')}/_checkpoint",
                             processing_time=trigger, available_now=available_now,
-                            foreach_batch=upsert_writer(upsert_table), output_mode="append")
-    stream = quotes.enriched_quotes(values, metrics, keep_window=False)
+                            foreach_batch=upsert_writer(upsert_table), output_mode="append",
+                            state_partitions=state_partitions)
     return runner.start(stream, output, f"{output.rstrip('/')}/_checkpoint", fmt=fmt,
-                        processing_time=trigger, available_now=available_now)
+                        processing_time=trigger, available_now=available_now,
+                        state_partitions=state_partitions)
 
 
 def main(argv=None) -> None:
@@ -55,6 +56,8 @@ def main(argv=None) -> None:
     ap.add_argument("--trigger", default="1 minute")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--upsert-table")
+    ap.add_argument("--state-partitions", type=int,
+                    help="state partitions of a new checkpoint (fixed afterwards)")
     args = ap.parse_args(argv)
 
     from ..session import build_session
@@ -64,7 +67,7 @@ def main(argv=None) -> None:
     else:
         values = spark.readStream.format("text").load(args.landing_dir)
     q = start(spark, values, args.metrics, args.output, args.format, args.trigger,
-              args.upsert_table, args.available_now)
+              args.upsert_table, args.available_now, args.state_partitions)
     spark.streams.awaitAnyTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -7,14 +7,43 @@ then stop) with a timeout, and always stop the query.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def _shuffle_partitions(spark, n: int | None):
+    # A stream fixes its state partition count at its first run, from this
+    # setting; the query clones the session conf when it starts, so setting it
+    # around start() only affects this query.
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def start(stream: DataFrame, out_dir: str | None, checkpoint_dir: str, fmt: str = "parquet",
           output_mode: str = "append", processing_time: str | None = None,
           available_now: bool = False, options: dict | None = None,
-          query_name: str | None = None, foreach_batch=None) -> StreamingQuery:
+          query_name: str | None = None, foreach_batch=None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start a query. ``state_partitions`` chooses the number of state (and
+    shuffle) partitions of a new checkpoint; size it for the state at scale,
+    it cannot change later."""
+    with _shuffle_partitions(stream.sparkSession, state_partitions):
+        return _start(stream, out_dir, checkpoint_dir, fmt, output_mode, processing_time,
+                      available_now, options, query_name, foreach_batch)
+
+
+def _start(stream, out_dir, checkpoint_dir, fmt, output_mode, processing_time, available_now,
+           options, query_name, foreach_batch) -> StreamingQuery:
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint_dir)
     if query_name:
         w = w.queryName(query_name)
@@ -32,10 +61,11 @@ def start(stream: DataFrame, out_dir: str | None, checkpoint_dir: str, fmt: str
 
 def run_available_now(stream: DataFrame, out_dir: str | None, checkpoint_dir: str,
                       fmt: str = "parquet", output_mode: str = "append", timeout_s: int = 900,
-                      foreach_batch=None, options: dict | None = None) -> StreamingQuery:
+                      foreach_batch=None, options: dict | None = None,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """Process all available input, wait (bounded), stop; raise on failure."""
     q = start(stream, out_dir, checkpoint_dir, fmt, output_mode, available_now=True,
-              foreach_batch=foreach_batch, options=options)
+              foreach_batch=foreach_batch, options=options, state_partitions=state_partitions)
     try:
         done = q.awaitTermination(timeout_s)
         if not done:

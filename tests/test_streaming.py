@@ -119,3 +119,12 @@ def test_stream_equals_batch_filtered_by_watermark(spark):
     expect = batch.where(F.col("window_end") <= F.lit(cut))
     assert stream.exceptAll(expect).count() == 0
     assert expect.exceptAll(stream).count() == 0
+
+
+def test_state_partitions_are_chosen_per_query(spark, tmp_dir):
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    _land(src, "a", [_event("2019-10-01T10:00:00", 1)], time.time() - 100)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run_available_now(windowed_quotes(_text_stream(spark, src)), out, ck, state_partitions=3)
+    assert sorted(d for d in os.listdir(f"{ck}/state/0") if d.isdigit()) == ["0", "1", "2"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
