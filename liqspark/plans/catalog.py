@@ -54,9 +54,9 @@ def _bonds(spark, sf_dir):
     return clean.clean_bonds(P.bonds(spark, sf_dir))
 
 
-def _metrics(spark, sf_dir, num_partitions=None):
+def _metrics(spark, sf_dir, num_partitions=None, sort=True):
     return liquidity.liquidity_metrics(_exchange(spark, sf_dir), _bonds(spark, sf_dir),
-                                       num_partitions=num_partitions)
+                                       num_partitions=num_partitions, sort=sort)
 
 
 # ---------------------------------------------------------------------------
@@ -380,7 +380,8 @@ def _materialized_metrics(spark, sf_dir):
     """Metrics written once as Parquet and read back: a lineage cut, and the
     static side of the enrichment is a table whose size a count bounds."""
     from ..sinks.writers import read_metrics_parquet, write_parquet
-    path = write_parquet(_metrics(spark, sf_dir), S.scratch_dir(spark, "metrics"))
+    # Unsorted: readers that need an order (notebook_head) sort on read.
+    path = write_parquet(_metrics(spark, sf_dir, sort=False), S.scratch_dir(spark, "metrics"))
     return read_metrics_parquet(spark, path), path
 
 
