@@ -45,10 +45,12 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 def snapshot_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
     """Snapshot documents -> quote events (all fields strings, producer names)."""
-    env = docs.select(F.from_json(F.col(value_col), ENVELOPE).alias("env"))
-    env = env.where(F.col("env.count").isNotNull())
-    items = env.select(F.explode(F.col("env.items")).alias("item_text"))
-    items = items.select(F.from_json("item_text", ITEM).alias("item")).where(F.col("item").isNotNull())
+    # Parses happen inside generators, so the null filters after them are not
+    # pushed below (and copied into) the parse: each document and item is parsed once.
+    env = docs.select(F.inline(F.array(F.from_json(F.col(value_col), ENVELOPE))))
+    env = env.where(F.col("count").isNotNull())
+    items = env.select(F.explode(F.transform("items", lambda t: F.from_json(t, ITEM))).alias("item"))
+    items = items.where(F.col("item").isNotNull())
     m = F.col("item")
     cols = []
     for out in QUOTE_EVENT_FIELDS:
