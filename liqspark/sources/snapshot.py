@@ -49,7 +49,8 @@ def snapshot_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:
     # pushed below (and copied into) the parse: each document and item is parsed once.
     env = docs.select(F.inline(F.array(F.from_json(F.col(value_col), ENVELOPE))))
     env = env.where(F.col("count").isNotNull())
-    items = env.select(F.explode(F.transform("items", lambda t: F.from_json(t, ITEM))).alias("item"))
+    texts = env.select(F.explode("items").alias("item_text"))
+    items = texts.select(F.inline(F.array(F.struct(F.from_json("item_text", ITEM).alias("item")))))
     items = items.where(F.col("item").isNotNull())
     m = F.col("item")
     cols = []
