@@ -13,10 +13,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    # spark.checkpoint.dir comes from the environment's Spark defaults when set;
+    # build_session picks a temporary one only when it is unset.
     from liqspark.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="liqspark-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+    s = build_session("local[4]", shuffle_partitions=8)
     yield s
     s.stop()
 
