@@ -114,3 +114,22 @@ def test_rank_correct_when_aqe_coalesces_range_partitions(spark):
         assert got.count() == med.count()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_kll_level1_median_on_a_hot_group_is_within_one_percent_rank(spark):
+    # One (bond, date) holding most rows, spread over many map tasks.
+    n = 40_000
+    df = (spark.range(n, numPartitions=24)
+          .select(F.lit(1).cast("long").alias("bond"),
+                  F.lit("2019-10-01").cast("timestamp_ntz").alias("date"),
+                  (F.sin(F.col("id")) * 1000).alias("ba_spread"))
+          .unionByName(spark.createDataFrame([(2, None, 0.5)], "bond long, date timestamp_ntz, ba_spread double")
+                       .withColumn("date", F.lit("2019-10-01").cast("timestamp_ntz"))))
+    got = {r.bond: r.median_of_tgs for r in liquidity.median_by_bond_date(df, salt_buckets=4).collect()}
+    below = df.where((F.col("bond") == 1) & (F.col("ba_spread") <= got[1])).count()
+    assert abs(below / n - 0.5) < 0.01
+    assert got[2] == 0.5
+    pa = {r.bond: r.median_of_tgs
+          for r in liquidity.median_by_bond_date(df, method="percentile_approx").collect()}
+    below_pa = df.where((F.col("bond") == 1) & (F.col("ba_spread") <= pa[1])).count()
+    assert abs(below_pa / n - 0.5) < 0.01
