@@ -13,7 +13,10 @@ lower middle element exactly) and a bounded-error estimate above:
   task folds its rows into one sketch per (bond, date, task mod S); a reducer
   merges the sketches of ~tasks/S map tasks; a second aggregate merges the S
   salted sketches per (bond, date). No reducer receives a sketch from every
-  map task, so a hot key is split instead of merged in one task.
+  map task, so a hot key is split instead of merged in one task. The number of
+  map tasks grows with the cluster, so S defaults to total cores / 16 (each
+  merging reducer takes ~16 waves of map tasks); on a small session (S = 1)
+  the salt stage would only add a shuffle and is left out.
 * ``"percentile_approx"``: the original estimator, one aggregate; a hot key's
   final merge takes one sketch from every map task in a single reducer.
 """
@@ -29,11 +32,15 @@ from .ranking import global_row_number
 # Fixed value of the original job: percentile_approx accuracy.
 MEDIAN_ACCURACY = 100
 # KLL sketch size (normalised rank error well under 1 / MEDIAN_ACCURACY) and
-# the number of salt buckets for level 1.
+# map-task waves per merging reducer (sets the default salt count).
 KLL_K = 400
-SALT_BUCKETS = 16
+WAVES_PER_REDUCER = 16
 MEDIAN_METHODS = ("kll", "percentile_approx")
 
+
+def default_salt_buckets(df: DataFrame) -> int:
+    return max(1, df.sparkSession.sparkContext.defaultParallelism // WAVES_PER_REDUCER)
+
 METRIC_COLUMNS = ["id", "isin", "date_of_end_placing", "maturity_date", "usd_volume",
                   "bid_ask_spread_relative_median", "bid_ask_spread_relative_rank"]
 
@@ -43,7 +50,7 @@ def with_relative_spread(quotes: DataFrame, out_col: str = "ba_spread") -> DataF
 
 
 def median_by_bond_date(spreads: DataFrame, accuracy: int = MEDIAN_ACCURACY,
-                        method: str = "kll", salt_buckets: int = SALT_BUCKETS,
+                        method: str = "kll", salt_buckets: int | None = None,
                         kll_k: int = KLL_K) -> DataFrame:
     """Level 1: median spread across trading grounds per bond and day.
 
@@ -55,10 +62,16 @@ def median_by_bond_date(spreads: DataFrame, accuracy: int = MEDIAN_ACCURACY,
     if method == "percentile_approx":
         return spreads.groupBy("bond", "date").agg(
             F.percentile_approx("ba_spread", 0.5, accuracy).alias("median_of_tgs"))
-    salt = F.pmod(F.spark_partition_id(), F.lit(salt_buckets)).alias("_salt")
-    salted = spreads.groupBy("bond", "date", salt).agg(
-        F.kll_sketch_agg_double("ba_spread", kll_k).alias("_sk"))
-    merged = salted.groupBy("bond", "date").agg(F.kll_merge_agg_double("_sk", kll_k).alias("_sk"))
+    buckets = salt_buckets or default_salt_buckets(spreads)
+    if buckets > 1:
+        salt = F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt")
+        salted = spreads.groupBy("bond", "date", salt).agg(
+            F.kll_sketch_agg_double("ba_spread", kll_k).alias("_sk"))
+        merged = salted.groupBy("bond", "date").agg(
+            F.kll_merge_agg_double("_sk", kll_k).alias("_sk"))
+    else:
+        merged = spreads.groupBy("bond", "date").agg(
+            F.kll_sketch_agg_double("ba_spread", kll_k).alias("_sk"))
     n = F.kll_sketch_get_n_double("_sk")
     return merged.select(
         "bond", "date",

@@ -32,12 +32,16 @@ def test_no_python_evaluation_in_registered_batch_queries(spark):
 
 def test_medians_aggregate_partially_before_shuffle(spark):
     from liqspark.operators import liquidity
-    plan = _plan(liquidity.spread_medians(catalog._exchange(spark, SF)))
+    spreads = liquidity.with_relative_spread(catalog._exchange(spark, SF))
+    plan = _plan(liquidity.median_by_bond(liquidity.median_by_bond_date(spreads, salt_buckets=4)))
     # Level 1: salted KLL sketches, partial before each of its two shuffles.
     assert "partial_kll_sketch_agg_double" in plan and "partial_kll_merge_agg_double" in plan
-    assert "spark_partition_id" in plan or "SPARK_PARTITION_ID" in plan.upper()
+    assert "SPARK_PARTITION_ID" in plan.upper()
     # Level 2: percentile_approx over one row per (bond, date), partial first.
     assert plan.count("partial_percentile_approx") == 1
+    # A small session (salt count 1) keeps one sketch aggregate.
+    single = _plan(liquidity.median_by_bond_date(spreads, salt_buckets=1))
+    assert "partial_kll_sketch_agg_double" in single and "kll_merge_agg" not in single
     pa = _plan(liquidity.spread_medians(catalog._exchange(spark, SF), method="percentile_approx"))
     assert pa.count("partial_percentile_approx") == 2
 

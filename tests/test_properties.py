@@ -133,3 +133,13 @@ def test_kll_level1_median_on_a_hot_group_is_within_one_percent_rank(spark):
           for r in liquidity.median_by_bond_date(df, method="percentile_approx").collect()}
     below_pa = df.where((F.col("bond") == 1) & (F.col("ba_spread") <= pa[1])).count()
     assert abs(below_pa / n - 0.5) < 0.01
+
+
+def test_salted_and_single_stage_kll_agree_on_proxy_quotes(spark):
+    from liqspark.plans import catalog
+    spreads = liquidity.with_relative_spread(catalog._exchange(spark, SF))
+    a = liquidity.median_by_bond_date(spreads, salt_buckets=5)
+    b = liquidity.median_by_bond_date(spreads, salt_buckets=1)
+    c = liquidity.median_by_bond_date(spreads, method="percentile_approx")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c).count() == 0
