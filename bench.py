@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "liquidity_metrics",
-    "liquidity_metrics_percentile_approx",
+    "liquidity_metrics_salted_kll",
     "liquidity_rank",
     "otc_pairing",
     "sliding_window_agg",

@@ -7,9 +7,11 @@ the bond list -> range sort by id.
 
 Level 1 is where one key can be huge (a bond with a third of all quotes). Two
 methods give the same value on groups of up to ~50 quotes (both return the
-lower middle element exactly) and a bounded-error estimate above:
+lower middle element exactly) and a bounded-error estimate above; ``"auto"``
+(default) takes the original estimator on a small session and the salted
+sketches once the cluster is large enough for a hot key's fan-in to matter:
 
-* ``"kll"`` (default): mergeable KLL sketches, salted by the *map task*: each
+* ``"kll"``: mergeable KLL sketches, salted by the *map task*: each
   task folds its rows into one sketch per (bond, date, task mod S); a reducer
   merges the sketches of ~tasks/S map tasks; a second aggregate merges the S
   salted sketches per (bond, date). No reducer receives a sketch from every
@@ -35,7 +37,7 @@ MEDIAN_ACCURACY = 100
 # map-task waves per merging reducer (sets the default salt count).
 KLL_K = 400
 WAVES_PER_REDUCER = 16
-MEDIAN_METHODS = ("kll", "percentile_approx")
+MEDIAN_METHODS = ("auto", "kll", "percentile_approx")
 
 
 def default_salt_buckets(df: DataFrame) -> int:
@@ -50,7 +52,7 @@ def with_relative_spread(quotes: DataFrame, out_col: str = "ba_spread") -> DataF
 
 
 def median_by_bond_date(spreads: DataFrame, accuracy: int = MEDIAN_ACCURACY,
-                        method: str = "kll", salt_buckets: int | None = None,
+                        method: str = "auto", salt_buckets: int | None = None,
                         kll_k: int = KLL_K) -> DataFrame:
     """Level 1: median spread across trading grounds per bond and day.
 
@@ -59,10 +61,12 @@ def median_by_bond_date(spreads: DataFrame, accuracy: int = MEDIAN_ACCURACY,
     """
     if method not in MEDIAN_METHODS:
         raise ValueError(f"method must be one of {MEDIAN_METHODS}")
+    buckets = salt_buckets or default_salt_buckets(spreads)
+    if method == "auto":
+        method = "kll" if buckets > 1 else "percentile_approx"
     if method == "percentile_approx":
         return spreads.groupBy("bond", "date").agg(
             F.percentile_approx("ba_spread", 0.5, accuracy).alias("median_of_tgs"))
-    buckets = salt_buckets or default_salt_buckets(spreads)
     if buckets > 1:
         salt = F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt")
         salted = spreads.groupBy("bond", "date", salt).agg(
@@ -112,21 +116,21 @@ def rank_by_median(medians: DataFrame, num_partitions: int | None = None) -> Dat
 
 
 def spread_medians(exchange: DataFrame, accuracy: int = MEDIAN_ACCURACY,
-                   method: str = "kll") -> DataFrame:
+                   method: str = "auto", salt_buckets: int | None = None) -> DataFrame:
     """Cleaned exchange quotes -> per-bond median relative spread."""
-    daily = median_by_bond_date(with_relative_spread(exchange), accuracy, method)
+    daily = median_by_bond_date(with_relative_spread(exchange), accuracy, method, salt_buckets)
     return median_by_bond(daily, accuracy)
 
 
 def liquidity_metrics(exchange: DataFrame, bonds: DataFrame, accuracy: int = MEDIAN_ACCURACY,
                       num_partitions: int | None = None, sort: bool = True,
-                      method: str = "kll") -> DataFrame:
+                      method: str = "auto", salt_buckets: int | None = None) -> DataFrame:
     """Bond list joined with median spread and rank, ordered by id.
 
     The rank is taken over all bonds with quotes *before* the inner join, so
     ranks of listed bonds may have gaps; a duplicated id in the list fans out.
     The join is left to Catalyst/AQE (broadcast only when measured small).
     """
-    ranks = rank_by_median(spread_medians(exchange, accuracy, method), num_partitions)
+    ranks = rank_by_median(spread_medians(exchange, accuracy, method, salt_buckets), num_partitions)
     joined = bonds.join(ranks, bonds["id"] == ranks["bond"], "inner").select(*METRIC_COLUMNS)
     return joined.orderBy(F.col("id").asc()) if sort else joined

@@ -522,12 +522,12 @@ def bench_variants() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def sliding_window_preagg(spark, sf_dir):
         S.prepare(spark)
         return _windows(spark, sf_dir, preaggregate=True)
-    def liquidity_metrics_percentile_approx(spark, sf_dir):
+    def liquidity_metrics_salted_kll(spark, sf_dir):
         S.prepare(spark)
         return liquidity.liquidity_metrics(_exchange(spark, sf_dir), _bonds(spark, sf_dir),
-                                           method="percentile_approx")
+                                           method="kll", salt_buckets=4)
     return {"sliding_window_preagg": sliding_window_preagg,
-            "liquidity_metrics_percentile_approx": liquidity_metrics_percentile_approx}
+            "liquidity_metrics_salted_kll": liquidity_metrics_salted_kll}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

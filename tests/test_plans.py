@@ -39,9 +39,12 @@ def test_medians_aggregate_partially_before_shuffle(spark):
     assert "SPARK_PARTITION_ID" in plan.upper()
     # Level 2: percentile_approx over one row per (bond, date), partial first.
     assert plan.count("partial_percentile_approx") == 1
-    # A small session (salt count 1) keeps one sketch aggregate.
-    single = _plan(liquidity.median_by_bond_date(spreads, salt_buckets=1))
+    # KLL with salt count 1 keeps one sketch aggregate.
+    single = _plan(liquidity.median_by_bond_date(spreads, method="kll", salt_buckets=1))
     assert "partial_kll_sketch_agg_double" in single and "kll_merge_agg" not in single
+    # "auto" on a small session (salt count 1) is the original estimator.
+    auto = _plan(liquidity.median_by_bond_date(spreads, salt_buckets=1))
+    assert "partial_percentile_approx" in auto and "kll" not in auto
     pa = _plan(liquidity.spread_medians(catalog._exchange(spark, SF), method="percentile_approx"))
     assert pa.count("partial_percentile_approx") == 2
 

@@ -125,7 +125,8 @@ def test_kll_level1_median_on_a_hot_group_is_within_one_percent_rank(spark):
                   (F.sin(F.col("id")) * 1000).alias("ba_spread"))
           .unionByName(spark.createDataFrame([(2, None, 0.5)], "bond long, date timestamp_ntz, ba_spread double")
                        .withColumn("date", F.lit("2019-10-01").cast("timestamp_ntz"))))
-    got = {r.bond: r.median_of_tgs for r in liquidity.median_by_bond_date(df, salt_buckets=4).collect()}
+    got = {r.bond: r.median_of_tgs
+           for r in liquidity.median_by_bond_date(df, method="kll", salt_buckets=4).collect()}
     below = df.where((F.col("bond") == 1) & (F.col("ba_spread") <= got[1])).count()
     assert abs(below / n - 0.5) < 0.01
     assert got[2] == 0.5
@@ -138,8 +139,8 @@ def test_kll_level1_median_on_a_hot_group_is_within_one_percent_rank(spark):
 def test_salted_and_single_stage_kll_agree_on_proxy_quotes(spark):
     from liqspark.plans import catalog
     spreads = liquidity.with_relative_spread(catalog._exchange(spark, SF))
-    a = liquidity.median_by_bond_date(spreads, salt_buckets=5)
-    b = liquidity.median_by_bond_date(spreads, salt_buckets=1)
+    a = liquidity.median_by_bond_date(spreads, method="kll", salt_buckets=5)
+    b = liquidity.median_by_bond_date(spreads, method="kll", salt_buckets=1)
     c = liquidity.median_by_bond_date(spreads, method="percentile_approx")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.exceptAll(c).count() == 0
