@@ -7,7 +7,6 @@ fresh temporary folder and set it ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,11 +74,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for Python-side existence checks in tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -158,3 +158,11 @@ def test_dated_paths():
     assert p.metrics_parquet == "/out/parquet_20191005"
     assert p.stream_checkpoint.startswith(p.stream_output)
     assert len(set(p.all().values())) == 6
+
+
+def test_parsed_quotes_have_the_typed_schema(spark):
+    from liqspark.functions.jsonq import parse_quote_json
+    from liqspark.schemas import TYPED_QUOTE
+    out = parse_quote_json(spark.createDataFrame([("{}",)], "value string"))
+    assert [(f.name, f.dataType) for f in out.schema.fields] == \
+        [(f.name, f.dataType) for f in TYPED_QUOTE.fields]
