@@ -18,7 +18,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     more columns, in any order). Without inference every column is a string,
     which is what the all-string raw schemas expect."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    picked = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    # A compressed daily drop is one unsplittable split: spread it before the work.
+    return balance_scan(picked)
 
 
 def read_exchange_quotes(spark: SparkSession, path: str) -> DataFrame:
