@@ -79,3 +79,33 @@ def test_latest_quote_is_an_aggregate_not_a_window(spark):
     plan = _plan(catalog.REGISTRY["latest_quote"].fn(spark, SF))
     assert "Window" not in plan
     assert "partial_max" in plan
+
+
+def test_otc_hot_key_is_split_by_aqe_skew_join(spark):
+    import datetime as dt
+    from liqspark.operators import clean
+    d = dt.datetime(2019, 10, 1)
+    hot = [(1, 1, d, 1, 10.0 + i) for i in range(3000)] + [(1, 1, d, 2, 20.0 + i) for i in range(20)]
+    cold = [(b, 2, d, t, 5.0 + b) for b in range(2, 400) for t in (1, 2)]
+    raw = spark.createDataFrame(hot + cold, "bond long, org long, date timestamp_ntz, "
+                                            "quote_type int, price double")
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        pairs = clean.pair_otc_quotes(raw)
+        assert len(pairs.collect()) == 3000 * 20 + 398  # runs this plan, so AQE finalises it
+        final = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in final and "skew=true" in final.replace(" ", "")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
