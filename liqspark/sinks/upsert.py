@@ -3,9 +3,10 @@
 Each micro-batch (``foreachBatch``):
 
 1. reduce the batch to its newest row per key (an aggregate, skew-safe);
-2. read only the target's partitions the batch touches (a semi-join on the
-   partition column, which dynamic partition pruning turns into a pruned
-   scan);
+2. read only the target's partitions the batch touches: the batch's distinct
+   partition values (a handful of dates per micro-batch, at most
+   ``MAX_LISTED_PARTITIONS``) become a partition filter, so the scan prunes
+   to those folders; beyond that bound a semi-join is used instead;
 3. newest row per key over (old rows of those partitions) + (batch rows);
 4. cut lineage with a reliable ``checkpoint()`` in the shared folder - the
    result is read from the target and is about to overwrite it;
@@ -27,6 +28,10 @@ from pyspark.sql import functions as F
 from ..operators.windows import latest_quote
 from ..session import checkpoint_root
 
+# Largest number of touched partitions listed as a filter (a few dates per
+# micro-batch in practice); above it the target is semi-joined instead.
+MAX_LISTED_PARTITIONS = 1000
+
 
 def _target_exists(spark: SparkSession, path: str) -> bool:
     try:
@@ -44,7 +49,12 @@ def upsert_latest(batch: DataFrame, target: str, keys: Sequence[str] = ("bond",
     cols = newest.columns
     if _target_exists(spark, target):
         touched = newest.select(partition_col).distinct()
-        old = spark.read.parquet(target).select(*cols).join(touched, partition_col, "left_semi")
+        values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+        current = spark.read.parquet(target).select(*cols)
+        if len(values) <= MAX_LISTED_PARTITIONS:
+            old = current.where(F.col(partition_col).isin(values))
+        else:
+            old = current.join(touched, partition_col, "left_semi")
         merged = latest_quote(old.unionByName(newest), keys, ts_col).select(*cols)
     else:
         merged = newest

@@ -128,3 +128,23 @@ def test_state_partitions_are_chosen_per_query(spark, tmp_dir):
     run_available_now(windowed_quotes(_text_stream(spark, src)), out, ck, state_partitions=3)
     assert sorted(d for d in os.listdir(f"{ck}/state/0") if d.isdigit()) == ["0", "1", "2"]
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from liqspark.sinks.upsert import upsert_latest
+    rows = [(b, 1, dt.date(2019, 10, d), float(b), dt.datetime(2019, 10, d, 10))
+            for b in range(5) for d in range(1, 6)]
+    df = spark.createDataFrame(rows, "bond long, tg long, date date, bid double, update_ts timestamp")
+    target = f"{tmp_dir}/t"
+    upsert_latest(df, target)
+    batch = spark.createDataFrame([(1, 1, dt.date(2019, 10, 3), 9.0, dt.datetime(2019, 10, 3, 11))],
+                                  df.schema)
+    upsert_latest(batch, target)
+    got = spark.read.parquet(target)
+    assert got.count() == 25
+    assert got.where("bond = 1 AND date = '2019-10-03'").first().bid == 9.0
+    # The read of the current table is pruned to the touched date.
+    cur = spark.read.parquet(target).where(F.col("date").isin([dt.date(2019, 10, 3)]))
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2019-10-03" in plan
