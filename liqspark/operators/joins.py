@@ -43,13 +43,11 @@ def broadcast_limit(df: DataFrame) -> int:
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when rows x row-width bound fits ``max_bytes``
-    (default: the session's auto-broadcast threshold), else ``(df, False)`` so
-    the join shuffles. The count is exact; run it on a materialised table (a
-    Parquet scan answers it from footers)."""
+    (default: the session's auto-broadcast threshold), else ``(df.hint("merge"),
+    False)``: a sort-merge join that neither the planner nor AQE turns into a
+    broadcast on an estimate. The count is exact; run it on a table or a cheap
+    plan (a Parquet scan answers it from footers)."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
-    if limit is None or limit < 0:
-        return df, False
-    bound = df.count() * row_width_bound(df)
-    if bound <= limit:
+    if limit is not None and limit >= 0 and df.count() * row_width_bound(df) <= limit:
         return F.broadcast(df), True
-    return df, False
+    return df.hint("merge"), False

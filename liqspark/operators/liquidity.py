@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.spread import relative_spread
+from .joins import broadcast_if_small
 from .ranking import global_row_number
 
 # Fixed value of the original job: percentile_approx accuracy.
@@ -129,8 +130,10 @@ def liquidity_metrics(exchange: DataFrame, bonds: DataFrame, accuracy: int = MED
 
     The rank is taken over all bonds with quotes *before* the inner join, so
     ranks of listed bonds may have gaps; a duplicated id in the list fans out.
-    The join is left to Catalyst/AQE (broadcast only when measured small).
+    The bond list is broadcast only when its counted size bound fits the
+    broadcast threshold; otherwise the join is a sort-merge join.
     """
     ranks = rank_by_median(spread_medians(exchange, accuracy, method, salt_buckets), num_partitions)
+    bonds, _ = broadcast_if_small(bonds)
     joined = bonds.join(ranks, bonds["id"] == ranks["bond"], "inner").select(*METRIC_COLUMNS)
     return joined.orderBy(F.col("id").asc()) if sort else joined

@@ -55,15 +55,27 @@ def test_enrichment_broadcasts_small_metrics_and_shuffles_when_too_big(spark):
     metrics, _ = catalog._materialized_metrics(spark, SF)
     small = enrich_with_metrics(win, metrics)
     assert "BroadcastHashJoin" in _plan(small) or "broadcast" in _plan(small).lower()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    # Over the bound: a sort-merge join, even though the planner's own estimate
+    # of the small Parquet table would have broadcast it.
+    big = enrich_with_metrics(win, metrics, broadcast_max_bytes=10)
+    big.collect()
+    final = _plan(big)
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+
+
+def test_bond_list_join_broadcast_is_size_checked(spark):
+    from liqspark.operators import liquidity
+    ex, bonds = catalog._exchange(spark, SF), catalog._bonds(spark, SF)
+    small = liquidity.liquidity_metrics(ex, bonds, sort=False)
+    assert "BroadcastHashJoin" in _plan(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        big = enrich_with_metrics(win, metrics, broadcast_max_bytes=10)
-        big.count()
-        assert "SortMergeJoin" in _plan(big) or "ShuffledHashJoin" in _plan(big)
+        big = liquidity.liquidity_metrics(ex, bonds, sort=False)
+        big.collect()
+        plan = _plan(big)
+        assert "SortMergeJoin" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 def test_rank_has_no_unbounded_single_partition_step(spark):

@@ -148,3 +148,18 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
     cur = spark.read.parquet(target).where(F.col("date").isin([dt.date(2019, 10, 3)]))
     plan = cur._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and "2019-10-03" in plan
+
+
+def test_stream_enrichment_without_broadcast_matches(spark, tmp_dir):
+    from liqspark.plans import catalog
+    from liqspark.streaming.quotes import enriched_quotes
+    sf = "/root/testdata/sf0.001"
+    metrics, _ = catalog._materialized_metrics(spark, sf)
+    outs = {}
+    for label, limit in (("broadcast", None), ("merge", 10)):
+        out = f"{tmp_dir}/{label}"
+        stream = enriched_quotes(catalog._event_stream(spark, sf), metrics, broadcast_max_bytes=limit)
+        run_available_now(stream, out, f"{out}/_ck", state_partitions=4)
+        outs[label] = spark.read.parquet(out).withColumn("volume_money", F.round("volume_money", 6))
+    assert outs["merge"].count() == outs["broadcast"].count() > 0
+    assert outs["merge"].exceptAll(outs["broadcast"]).count() == 0
