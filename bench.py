@@ -6,7 +6,8 @@ Runs each headline query once to warm up (on ``BENCH_WARMUP_DIR``, default the
 sf0.01 tables: same code paths, a fraction of the time), then ``BENCH_RUNS``
 times (default 3) on ``BENCH_SF_DIR``, and reports the median seconds per query. Each run builds the query and
 materialises it completely through the ``noop`` sink (no collect). Prints one
-JSON line.
+JSON line. ``BENCH_EVENT_LOG_DIR`` (optional) writes Spark's event log there for
+stage and task timings.
 """
 
 from __future__ import annotations
@@ -46,8 +47,12 @@ def main() -> None:
     from liqspark.session import build_session
     from liqspark.plans import catalog
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        os.makedirs(os.environ["BENCH_EVENT_LOG_DIR"], exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus), extra=extra)
     variants = dict(catalog.queries())
     variants.update(catalog.bench_variants())
 
