@@ -3,8 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (DoubleType, LongType, StructField, StructType,
                                TimestampNTZType)
 
 from liqspark.functions.sentinel import apply_far_date_sentinel

@@ -1,13 +1,9 @@
 """End-to-end batch and stream jobs over CSV / JSON-lines files made from the test tables."""
 
-import os
-import time
-
 from pyspark.sql import functions as F
 
 from liqspark.plans import batch_job, catalog, proxies as P, stream_job
 from liqspark.sources.paths import DatedPaths
-from liqspark.streaming.runner import run_available_now
 
 SF = "/root/testdata/sf0.001"
 

@@ -1,7 +1,5 @@
 """Plan checks: pushdown, pruning, no Python in the hot path, size-checked broadcast."""
 
-from pyspark.sql import functions as F
-
 from liqspark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
