@@ -6,10 +6,11 @@
    share of all tokens. A token scores its log-odds above the overall share, less ``DRIFT``,
    so ordinary text drifts down.
 2. Segments. One linear scan finds all maximal scoring segments of a text.
-3. Calibration. The best segment of clean documents follows an extreme-value law; its scale
-   and shift, fitted on labelled documents that the log-odds used there have not seen, turn
-   each segment's score into -ln(expected number in clean text). A document's evidence is the
-   sum over its significant segments, and a logistic curve on it gives the score.
+3. Calibration. The labelled documents fall into three folds, and each is scored by the
+   log-odds of the other two. There the best segment of clean documents follows an
+   extreme-value law; its scale and shift turn each segment's score into -ln(expected number
+   in clean text). A document's evidence is the sum over its significant segments, and a
+   logistic curve on it gives the score.
 
 Bounds: the log-odds table keeps at most ``MOST_TOKENS`` tokens (those most often in toxic
 documents), and at most about ``MOST_LABELS`` labelled rows are learnt from, picked by a hash of
@@ -30,8 +31,11 @@ from . import hashing as H
 from .tables import stored, text_of
 
 HEADS = (6, 4)
-STRENGTH = 8.0  # prior tokens
-DRIFT = 1.0
+# Prior tokens and drift, picked on fold 3 with models of folds 0 and 1 (sf0.1), so without
+# the held-out rows.
+STRENGTH = 8.0
+DRIFT = 2.0
+FOLDS = (0, 1, 3)  # crc32(doc_id) mod 4; 2 is held out
 MOST_TOKENS = 1 << 19
 MOST_LABELS = 1 << 19
 THRESHOLD = 0.3
@@ -95,12 +99,12 @@ def _texts(column) -> list[bytes]:
 
 
 def _count_task(batches):
-    """(key, group, toxic, total): token counts of labelled texts; group 1 is kept for
-    calibration. The counts of a run of texts are added up before they leave the task."""
+    """(key, fold, toxic, total): token counts of labelled texts. The counts of a batch are
+    added up before they leave the task."""
     hasher = H.PrefixHasher()
     for batch in batches:
         texts, toxic, group = _texts(batch.column(0)), np.array(batch.column(1).to_pylist()), np.array(batch.column(2).to_pylist())
-        for g in (0, 1):
+        for g in FOLDS:
             chosen = np.flatnonzero(group == g)
             if not len(chosen):
                 continue
@@ -114,7 +118,7 @@ def _count_task(batches):
             bad = np.concatenate([x for v in held.values() for _, x in v])
             found, place = np.unique(keys, return_inverse=True)
             yield pa.RecordBatch.from_pydict({
-                "key": pa.array(found.view(np.int64)), "part": pa.array(np.full(len(found), g, np.int32)),
+                "key": pa.array(found.view(np.int64)), "fold": pa.array(np.full(len(found), g, np.int32)),
                 "toxic": pa.array(np.bincount(place, bad, len(found)).astype(np.int64)),
                 "total": pa.array(np.bincount(place, minlength=len(found)).astype(np.int64))})
 
@@ -133,15 +137,19 @@ def _scan(texts: list[bytes], model: ToxicityModel, hasher):
             yield int(edge[k + 1] - a), segments(mine - a, scores[mine], total[mine] - scores[mine]) if len(mine) else []
 
 
-def _best_task(model_of):
-    """(toxic, tokens, scores of the segments) of labelled texts."""
+def _best_task(models_of):
+    """(toxic, tokens, scores of the segments) of labelled texts, each by the model of the
+    other folds."""
     def run(batches):
-        hasher, model = H.PrefixHasher(), model_of.value
+        hasher, models = H.PrefixHasher(), models_of.value
         for batch in batches:
-            rows = list(_scan(_texts(batch.column(0)), model, hasher))
-            yield pa.RecordBatch.from_pydict({
-                "toxic": batch.column(1).cast(pa.int32()), "tokens": pa.array([n for n, _ in rows], pa.int64()),
-                "scores": pa.array([[s for _, _, s in found] for _, found in rows], pa.list_(pa.float64()))})
+            texts, fold = _texts(batch.column(0)), np.array(batch.column(2).to_pylist())
+            for g in FOLDS:
+                mine = np.flatnonzero(fold == g)
+                rows = list(_scan([texts[k] for k in mine], models[g], hasher))
+                yield pa.RecordBatch.from_pydict({
+                    "toxic": batch.column(1).take(pa.array(mine)).cast(pa.int32()), "tokens": pa.array([n for n, _ in rows], pa.int64()),
+                    "scores": pa.array([[s for _, _, s in found] for _, found in rows], pa.list_(pa.float64()))})
 
     return run
 
@@ -187,7 +195,7 @@ def _fold(doc_id):
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_TOKENS, most_labels: int = MOST_LABELS) -> ToxicityModel:
-    """Fits the model on the labelled rows that are not held out. Rows without a label are
+    """Fits the model on the labelled rows that are not held out (three folds of four). Rows without a label are
     not used; of several labels of one document the highest counts."""
     spark = docs.sparkSession
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
@@ -195,10 +203,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
     n = known.count()
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(n, 1))) < most_labels)
     learnt = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(sample), "doc_id")
-    learnt = learnt.select("text", "toxic", (_fold(F.col("doc_id")) == 3).cast("int").alias("part"))
+    learnt = learnt.select("text", "toxic", _fold(F.col("doc_id")).cast("int").alias("fold"))
 
-    counts = learnt.mapInArrow(_count_task, "key bigint, part int, toxic bigint, total bigint").groupBy("key").agg(
-        *[F.sum(F.when(F.col("part") == 0, F.col(c)).otherwise(0)).alias(f"{c}_0") for c in ("toxic", "total")],
+    counts = learnt.mapInArrow(_count_task, "key bigint, fold int, toxic bigint, total bigint").groupBy("key").agg(
+        *[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS],
         F.sum("toxic").alias("toxic"), F.sum("total").alias("total")).where("toxic > 0")
     counts = stored(counts, "tokens")
     sizes = counts.groupBy(F.least("toxic", F.lit(1000)).alias("toxic")).count().orderBy(F.desc("toxic")).collect()
@@ -209,17 +217,19 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
             break
         least = row["toxic"]
     table = counts.where(F.col("toxic") >= least).toPandas()
-    sums = learnt.mapInArrow(_share_task, "part int, toxic bigint, total bigint").groupBy("part").agg(F.sum("toxic"), F.sum("total")).collect()
-    by_part = {row[0]: (row[1], row[2]) for row in sums}
-    share = lambda parts: sum(by_part.get(p, (0, 0))[0] for p in parts) / max(1, sum(by_part.get(p, (0, 0))[1] for p in parts))
+    sums = learnt.mapInArrow(_share_task, "fold int, toxic bigint, total bigint").groupBy("fold").agg(F.sum("toxic"), F.sum("total")).collect()
+    sizes = {row[0]: (row[1], row[2]) for row in sums}
     keys = table["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    column = lambda c: table[c].to_numpy(np.float64)[order]
-    partial = ToxicityModel(keys[order], column("toxic_0"), column("total_0"), share([0]))
-    model = ToxicityModel(keys[order], column("toxic"), column("total"), share([0, 1]))
 
-    best = learnt.where("part = 1").select("text", "toxic").mapInArrow(
-        _best_task(spark.sparkContext.broadcast(partial)), "toxic int, tokens bigint, scores array<double>")
+    def fitted(folds) -> ToxicityModel:
+        toxic, total = ([sum(sizes.get(g, (0, 0))[k] for g in folds) for k in (0, 1)])
+        columns = [sum(table[f"{c}_{g}"].to_numpy(np.float64) for g in folds)[order] for c in ("toxic", "total")]
+        return ToxicityModel(keys[order], *columns, toxic / max(1, total))
+
+    model = fitted(FOLDS)
+    others = {g: fitted([f for f in FOLDS if f != g]) for g in FOLDS}
+    best = learnt.mapInArrow(_best_task(spark.sparkContext.broadcast(others)), "toxic int, tokens bigint, scores array<double>")
     best = stored(best, "best")
     clean = best.where("toxic = 0 and tokens > 0").withColumn("top", F.coalesce(F.array_max("scores"), F.lit(0.0)))
     law = clean.agg(F.stddev("top").alias("sd"), F.avg("top").alias("top"), F.avg(F.log("tokens")).alias("logs")).first()
@@ -240,7 +250,7 @@ def _share_task(batches):
             _, edge = _tokens(some, hasher)
             rows += [(part[first + k], int(n) * toxic[first + k], int(n)) for k, n in enumerate(np.diff(edge))]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-                                          pa.array([r[2] for r in rows], pa.int64())], names=["part", "toxic", "total"])
+                                          pa.array([r[2] for r in rows], pa.int64())], names=["fold", "toxic", "total"])
 
 
 def _score_task(model_of):

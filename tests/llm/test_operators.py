@@ -1,0 +1,317 @@
+"""Odd rows, empty tables, hot groups and the parts of operators that queries don't reach."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from liqspark.llm import chat, components, fingerprint, mixing, ngram_jaccard, pieces, quality, queries, running, secrets, toxicity, url_filter, warc
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+# URL filter
+
+URLS = ["https://Www.Example.org/es/x?utm_source=f&a=1#t", "http://a.example.org/en/12", "http://x.com/fr/", "http://x.com/de/1?q", "http://com/fr/1",
+        "http://xcom/fr/1", None, "no scheme", "http://shop.net/a/", "https://shop.net/a.html?ref=z", "http://shop.net/b", "", "http://org?x", "a://b://c/d"]
+
+
+def test_url_filter_rules_and_list(spark):
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id bigint, url string, listed string")
+    listed = spark.createDataFrame([("http://shop.net/a",), ("http://shop.net/a#x",), (None,), ("b://b:",)], "url string")
+    got = {r.page_id: r for r in url_filter.url_filter(pages, listed).collect()}
+    assert len(got) == len(URLS)
+    want = ["example.org/es/", "example.org/en/1", "com/fr/", "com/de/", "com/fr/", None, None, None, None, None, None, None, None, None]
+    assert [got[i].rule for i in range(len(URLS))] == want
+    assert [got[i].verdict for i in (0, 1, 2, 3, 4)] == ["block", "block", "allow", "block", "allow"]
+    assert [got[i].verdict for i in (8, 9, 10, 6, 7)] == ["block", "block", "allow", "allow", "allow"]
+    assert (got[0].host, got[0].path, got[0].canonical) == ("www.example.org", "/es/x", "example.org/es/x?a=1")
+    assert (got[13].host, got[13].path) == ("b:", "//c/d") and got[6].host == got[7].path == ""
+
+
+def test_url_filter_is_exact_at_any_filter_size(spark):
+    urls = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.net/"), F.col("id").cast("string")).alias("url"))
+    listed = urls.where("page_id % 3 = 0")
+    for blocks in (1, 4, 1 << 18):
+        out = url_filter.url_filter(urls, listed, max_blocks=blocks)
+        assert out.where("verdict = 'block'").count() == 1000 == out.where("listed and page_id % 3 = 0").count()
+    assert out.where("maybe and not listed").count() < 60  # few false positives at the right size
+    none = url_filter.url_filter(urls.limit(0), listed)
+    assert none.count() == 0 and url_filter.url_filter(urls, listed.limit(0)).where("verdict = 'block'").count() == 0
+
+
+# Secrets
+
+def test_secret_scan_links_weak_parts(spark):
+    far = " " + "x" * 300 + " "
+    texts = ["password=hunter77", "password=hunter77 host https://db.example.com", "password=hunter77" + far + "https://db.example.com",
+             "AKIA1234567890 secret: short1", "AKIA1234567890", "AKIA1234567890 token=abcdefabcdef0123", 'passwd:"token" = abcdefghijklmnop', "token = abc"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in secrets.scan_secrets(docs).collect()}
+    assert [got[i].spans for i in (0, 2, 4, 6, 7)] == [""] * 5
+    assert got[1].spans == "weak_assign:0:17" and got[3].spans == "weak_access:0:14,weak_assign:15:29"
+    assert got[5].spans == "weak_access:0:14,assign:15:37,hex:21:37"
+    assert [got[5].n_assign, got[5].n_access, got[5].n_hex, got[5].n_linked] == [1, 0, 1, 1]
+
+
+def test_secret_scan_odd_rows(spark, odd, empty):
+    got = secrets.scan_secrets(odd)
+    assert got.count() == odd.count() and got.where("spans is null or base_sha256 is null").count() == 0
+    assert rows_of(got.where("n_assign > 0"), "doc_id", "spans") == [(9, "assign:14:36")]
+    assert secrets.scan_secrets(empty).count() == 0
+
+
+def test_redaction(spark, odd):
+    out = secrets.redact_secrets(odd)
+    assert out.columns == odd.columns and out.count() == odd.count()
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert texts[9] == "Ünïcödé ▁ 字 😀 [SECRET]" and texts[2] is None and texts[5] == "short text"
+    two = spark.createDataFrame([(1, "a " + "0123456789abcdef" * 2 + " b api_key='0123456789abcdef' c")], "doc_id bigint, text string")
+    assert secrets.redact_secrets(two).first().text == "a [SECRET] b [SECRET]' c"
+
+
+# N-gram Jaccard
+
+def make_texts(seed=3, families=12, copies=25, words=60):
+    rng = random.Random(seed)
+    new = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    passage, texts = new(45), []
+    for f in range(families):
+        base = new(words)
+        for _ in range(copies):
+            t = list(base)
+            for _ in range(rng.randrange(0, 3)):
+                t[rng.randrange(len(t))] = f"e{rng.randrange(10 ** 6)}"
+            texts.append(t[: rng.randrange(words - 8, words + 1)])
+    texts += [passage + new(rng.randrange(10, 30)) for _ in range(60)]
+    texts += [new(rng.randrange(1, 8)) for _ in range(20)]
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("hot,bits", [(50_000, 20), (3, 8)])
+def test_jaccard_near_copies_and_common_passages(spark, monkeypatch, hot, bits):
+    """Families of near copies around the threshold and a passage that many texts share; also
+    with a sketch that is far too small and lists that are dealt out."""
+    monkeypatch.setattr(ngram_jaccard, "HOT_LIST", hot)
+    texts = make_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.ngram_jaccard(docs, sketch_bits=bits).collect()}
+    sets = {d: brute.shingles(t) for d, t in enumerate(texts)}
+    want = brute.components(sets)
+    assert got == {d: (len(sets[d]), want[d]) for d in sets}
+
+
+def test_jaccard_prefix_grows_with_estimated_cost():
+    tokens = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 200).astype(np.uint64))
+    counts = np.ones(1 << 10, np.int64)
+    prefix, need, _ = ngram_jaccard.prefix_of(tokens, counts, 10.0)
+    assert need == 1 and len(prefix) == 200 - 150 + 1
+    counts[(tokens >> np.uint64(54)).astype(np.int64)] = 100_000
+    counts[0] = 1
+    more, need, _ = ngram_jaccard.prefix_of(tokens, counts, 10.0)
+    assert 1 < need <= ngram_jaccard.MOST_EXTRA and len(more) == 50 + need
+
+
+def test_jaccard_odd_rows(spark, odd, empty):
+    got = ngram_jaccard.ngram_jaccard(odd)
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == sorted([
+        (1, 3, 1), (1, 3, 1), (2, 0, 2), (3, 0, 3), (4, 0, 4), (5, 1, 5), (6, 1, 5), (None, 1, None), (7, 2996, 7), (8, 2997, 7),
+        (9, 1, 9), (10, 1, 10), (11, 3, 1)], key=repr)
+    assert ngram_jaccard.ngram_jaccard(empty).count() == 0
+
+
+def test_connected_components_of_a_long_chain(spark):
+    edges = spark.range(200).selectExpr("id as a", "id + 1 as b").union(spark.sql("select 500L, 501L union all select 7L, 7L union all select null, 3L"))
+    got = dict(rows_of(components.connected_components(edges), "node", "component"))
+    assert got == {n: 0 for n in range(201)} | {500: 500, 501: 500}
+
+
+# Toxicity
+
+def best_segments(scores):
+    """All maximal scoring segments by their definition: the best one, then left and right."""
+    def within(a, b):
+        best = max(((sum(scores[i:j]), -(j - i), i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=None)
+        if not best or best[0] <= 0:
+            return []
+        _, _, i, j = best
+        return within(a, i) + [(i, j - 1, best[0])] + within(j, b)
+    return within(0, len(scores))
+
+
+def test_segments_match_their_definition():
+    rng = random.Random(5)
+    for _ in range(200):
+        scores = [rng.randint(-9, 6) + rng.random() for _ in range(rng.randint(0, 14))]
+        total = np.cumsum(scores)
+        good = np.array([k for k, s in enumerate(scores) if s > 0], int)
+        got = toxicity.segments(good, np.array(scores)[good], (total - scores)[good]) if len(good) else []
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in best_segments(scores)]
+
+
+def test_toxicity_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (5, 0), (6, None), (None, 1), (7, 1), (9, 0), (11, 0)], "doc_id bigint, toxic int")
+    model = toxicity.learn_toxicity(odd, labels)
+    got = toxicity.score_toxicity(odd, model)
+    assert got.count() == odd.count() and got.where("score is null or score < 0 or score > 1 or held_out is null").count() == 0
+    assert toxicity.score_toxicity(empty, model).count() == 0
+    kept = toxicity.keep_clean(odd, model, threshold=1.1)
+    assert kept.columns == odd.columns and rows_of(kept, *odd.columns) == rows_of(odd, *odd.columns)
+    blank = toxicity.learn_toxicity(empty, labels.limit(0))
+    assert toxicity.score_toxicity(odd, blank).select("score").distinct().count() == 1
+
+
+# Mixing
+
+def test_mix_odd_rows(spark, odd, empty):
+    got = mixing.mix_sources(odd)
+    assert got.count() == odd.count()
+    assert got.where("text is not null") if "text" in got.columns else True
+    by = {r.source: r for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert all(abs(r.taken - r.target) <= 1 for r in by.values()) and None in by
+    assert got.where("taken > 2 * size").count() == 0 and mixing.mix_sources(empty).count() == 0
+
+
+def test_mix_gives_every_source_its_target(spark):
+    rng = random.Random(2)
+    rows = [(i, None if i % 17 == 0 else f"s{min(i % 9, 4)}", "w " * rng.choice([0, 1, 5, 400])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    taken, size, goal = brute.mix(rows)
+    got = {r.doc_id: r for r in mixing.mix_sources(docs).collect()}
+    assert {d: r.taken for d, r in got.items()} == taken
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    per = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n")).collect()}
+    assert all(abs(per.get(s, 0) - goal[s]) <= 1 for s in goal)
+
+
+def test_mixed_documents_of_odd_rows(spark, odd, empty):
+    mixed = mixing.mixed_documents(odd)
+    assert mixed.columns == odd.columns and mixed.where("doc_id = 1").count() in (2, 3, 4)
+    words = mixed.agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD)))).first()[0]
+    assert words == mixing.mix_sources(odd).agg(F.sum("taken")).first()[0]
+    assert mixing.mixed_documents(empty).count() == 0
+
+
+def test_running_total_over_slots(spark):
+    df = spark.range(500).selectExpr("id", "id % 3 as k", "id div 50 as slot", "id % 7 as v")
+    got = {r.id: r.t for r in running.running_total(df, ["k"], "slot", [F.col("id")], "v", "t").collect()}
+    sums = {0: 0, 1: 0, 2: 0}
+    for i in range(500):
+        sums[i % 3] += i % 7
+        assert got[i] == sums[i % 3]
+
+
+# Quality
+
+def plain_measures(text):
+    words = brute.WHITE.findall(text)
+    runs = {}
+    for i in range(len(words) - 7):
+        runs.setdefault(tuple(words[i:i + 8]), []).append(i)
+    hit = {i + k for at in runs.values() if len(at) > 1 for i in at for k in range(8)}
+    lines = [x for x in text.split("\n") if brute.WHITE.search(x)]
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit)
+
+
+def test_quality_measures_and_ablations(spark, odd, empty):
+    texts = ["a b c d e f g h " * 4, "x\nx\ny\n\n\nx ", "é# ▁| <b>", "A" * 30, " ".join(map(str, range(40))) * 2, "字 " * 9]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id bigint, text string"))
+    ledger = quality.quality_ledger(docs).join(docs.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")))
+    for r in ledger.where("doc_id is not null").collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_measures(r.text or ""), r.text
+    ledger = quality.quality_ledger(docs)
+    assert ledger.count() == docs.count() and quality.quality_ledger(empty).count() == 0
+    bits = [r.fail_bits for r in ledger.collect()]
+    for row in quality.ablations(ledger).collect():
+        mask, bit = quality.mask_of(quality.POLICIES[row.policy]), quality.mask_of([row.rule])
+        want = (sum(bool(b & bit) for b in bits), sum(b & mask == bit for b in bits), sum(not b & mask for b in bits), sum(not b & mask & ~bit for b in bits))
+        assert (row.failed, row.alone, row.kept, row.kept_without) == want
+    judged = quality.apply_policy(ledger, "v1")
+    assert judged.where("kept = base_failed").count() == 0
+
+
+# Fingerprints
+
+def test_fingerprint_odd_rows(spark, odd, empty):
+    got = fingerprint.fingerprint_neighbours(odd)
+    assert got.count() == odd.count() and got.where("fingerprint is null or near_next is null").count() == 0
+    same = got.where("doc_id in (1, 11)").select("fingerprint").distinct().count()
+    assert same == 2 and got.where("doc_id = 1").select("fingerprint").distinct().count() == 1
+    assert fingerprint.fingerprint_neighbours(empty).count() == 0
+    alone = fingerprint.fingerprint_neighbours(odd.where("doc_id = 7")).first()
+    assert alone.near_next == 1.0
+
+
+def test_likeness():
+    assert fingerprint.common_length("ABCD", "xAyCzD") == 3 and fingerprint.likeness("4:ABCDEF:GH", "4:ABCDEF:GH") == 1.0
+    assert fingerprint.likeness("4:ABCDEFG:XY", "16:ABCDEFG:XY") == 0.0
+    assert fingerprint.likeness("8:ABCDEFG:XY", "4:QQQ:ABCDEFX") == fingerprint.likeness("4:QQQ:ABCDEFX", "8:ABCDEFG:XY") > 0.8
+
+
+# SentencePiece
+
+def test_chunk_encoder_against_the_library(spark, odd, empty):
+    import sentencepiece
+    model = pieces.model_bytes(queries.tokenizer_path())
+    library, rng = sentencepiece.SentencePieceProcessor(model_proto=model), random.Random(1)
+    parts = ["a", " ", "  ", "\n", "\t", "▁", "é", "😀", "the", "\x00", "\u3000", "0", "#", "字", "\u200b", "</s>", "<unk>", "<0x41>"]
+    encoder = pieces.ChunkEncoder(model, most_chunks=50)
+    assert encoder.separable
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        ids = library.encode(text)
+        assert encoder.run(text) == (len(ids), ",".join(map(str, ids)), library.decode(ids)), repr(text)
+    encoder.separable = False
+    assert encoder.run("a  b")[2] == "a  b"
+    assert pieces.encode_documents(odd, model).count() == odd.count() and pieces.encode_documents(empty, model).count() == 0
+    ids = {r.doc_id: r.ids for r in pieces.encode_documents(odd, model, tokens=True).collect()}
+    assert ids[5] == library.encode("short text") and ids[2] == []
+
+
+# Revisits
+
+def test_revisits(spark):
+    empty = "map<string,string>"
+    rows = [("f1", "response", "http://a.net/x", 10, "e1", "m1", {"Content-Type": "t", "Date": "1"}, "d1"),
+            ("f2", "response", "http://a.net/x/", 20, "e2", "m1", {"content-type": "u", "date": "2"}, "d2"),
+            ("f2", "response", "http://a.net/x/", 20, "e2", "m1", {"content-type": "u", "date": "2"}, "d2"),
+            ("r1", "revisit", "https://www.a.net/x#z", 15, "e1", None, {"date": "9", "content-type": "no"}, None),
+            ("r2", "revisit", "http://a.net/x", 20, "e1", None, None, None), ("r3", "revisit", "http://a.net/x", 21, "e1", None, None, None),
+            ("r4", "revisit", "http://a.net/x", 99999, None, "m1", None, None), ("r5", "revisit", "http://a.net/x", 10, "e1", None, None, None),
+            ("r6", "revisit", None, 30, "e1", None, None, None), ("r7", "revisit", "http://a.net/x", None, "e1", None, None, None),
+            ("r8", "revisit", "http://a.net/x", 30, None, None, None, None), ("r8", "revisit", "http://a.net/x", 30, None, None, None, None)]
+    records = spark.createDataFrame(rows, f"record_id string, kind string, url string, time bigint, etag string, last_modified string, headers {empty}, digest string")
+    for slots in (1, 3, 4096):
+        got = rows_of(warc.resolve_revisits(records, slots=slots), "record_id", "response_id", "outcome", "digest", "headers")
+        assert got == [("r1", "f1", "resolved", "d1", "content-type: t\ndate: 9"), ("r2", "f1", "resolved", "d1", "content-type: t\ndate: 1"),
+                       ("r3", "f2", "changed", None, None), ("r4", "f2", "resolved", "d2", "content-type: u\ndate: 2"), ("r5", None, "missing", None, None),
+                       ("r6", None, "missing", None, None), ("r7", None, "missing", None, None), ("r8", "f2", "changed", None, None), ("r8", "f2", "changed", None, None)]
+    assert warc.resolve_revisits(records.limit(0)).count() == 0
+
+
+# Chat
+
+def test_perspectives(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "alone"), (None, 0, "ann", "a"),
+            (3, 0, "ann", "same"), (3, 0, "ann", "same")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("name", F.lit("clash"))
+    got = chat.rotate_perspectives(turns)
+    text = {}
+    for r in sorted(got.collect(), key=lambda r: (repr(r.conv_id), r.perspective, r.seg_end)):
+        whole = text.get((r.conv_id, r.perspective), "")
+        assert r.seg_start == len(whole) and r.seg_end == len(whole) + len(r.segment)
+        text[r.conv_id, r.perspective] = whole + r.segment
+    assert set(text) == {(1, "ann"), (1, "bob"), (1, "unknown"), (None, "ann"), (3, "ann")}
+    assert text[1, "bob"] == ("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>user name=ann\nhi<|im_end|>\n"
+                              "<|im_start|>assistant\n<|im_end|>\n<|im_start|>user name=unknown\nx<|im_end|>\n")
+    for r in got.where("mask <> ''").collect():
+        a, b = map(int, r.mask.split(":"))
+        assert text[r.conv_id, r.perspective][a:b].endswith("<|im_end|>")
+    assert rows_of(got, "mask").count(("",)) == got.where("role <> 'assistant'").count()
+    assert rows_of(chat.rotate_perspectives(turns, slot_turns=1), "segment", "seg_end") == rows_of(got, "segment", "seg_end")
+    assert chat.rotate_perspectives(turns.limit(0)).count() == 0
