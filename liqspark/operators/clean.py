@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import BONDS, EXCHANGE, OTC_PAIRED, enforce_schema, typed_select
+from ..schemas import (BONDS, EXCHANGE, OTC_KEYS, OTC_PAIRED, REJECT_COL, enforce_schema, split_quarantine,
+                       typed_select)
 
 # Fixed values of the original job: trading grounds left out of the spread.
 EXCLUDED_GROUNDS = (327, 381)
@@ -46,16 +47,20 @@ def clean_bonds(raw: DataFrame, mode: str = "drop") -> DataFrame:
     return enforce_schema(typed, BONDS, mode)
 
 
-def _otc_side(raw: DataFrame, quote_type: int, price_name: str) -> DataFrame:
+def _otc_side(raw: DataFrame, quote_type: int, price_name: str, mode: str) -> DataFrame:
+    """One side, typed, with its non-null contract enforced in ``mode`` before
+    any join could drop a bad key. Unpriced quotes (price null or not above 0)
+    are left out in every mode."""
     side = raw.where(_not_null(raw, ["bond", "org", "date", "price"]))
-    side = side.select(
-        F.col("bond").try_cast("bigint").alias("bond"),
-        F.col("org").try_cast("bigint").alias("org"),
-        F.col("date").try_cast("timestamp_ntz").alias("date"),
-        F.col("quote_type").try_cast("int").alias("quote_type"),
-        F.col("price").try_cast("double").alias(price_name),
-    )
-    return side.where((F.col("quote_type") == quote_type) & (F.col(price_name) > 0)).drop("quote_type")
+    side = side.where(F.col("quote_type").try_cast("int") == quote_type)
+    side = side.withColumn(price_name, F.col("price").try_cast("double")).where(F.col(price_name) > 0)
+    keys = [F.col(f.name).try_cast(f.dataType) for f in OTC_KEYS.fields]
+    if mode == "assert":
+        # Inside the key, not a filter beside it: the join's own null checks would run first.
+        return side.select(*[F.coalesce(k, F.raise_error(F.lit(f"OTC quote with a bad {f.name}")).cast(f.dataType)).alias(f.name)
+                             for k, f in zip(keys, OTC_KEYS.fields)], price_name)
+    typed = side.select(*[k.alias(f.name) for k, f in zip(keys, OTC_KEYS.fields)], price_name)
+    return enforce_schema(typed, OTC_KEYS, mode)
 
 
 def pair_otc_quotes(raw: DataFrame, mode: str = "drop") -> DataFrame:
@@ -66,8 +71,19 @@ def pair_otc_quotes(raw: DataFrame, mode: str = "drop") -> DataFrame:
     side only gives none. Both sides are filtered (price > 0) before the join,
     so only priced quotes shuffle; a hot key is split by AQE's skew-join
     handling rather than landing whole in one task.
+
+    A priced quote whose key doesn't cast is dropped, fails the job
+    (``assert``), or (``quarantine``) comes out unpaired with its broken fields.
     """
-    bids = _otc_side(raw, OTC_BID, "bid")
-    asks = _otc_side(raw, OTC_ASK, "ask")
-    pairs = bids.join(asks, ["bond", "org", "date"], "inner")
-    return enforce_schema(pairs.select("bond", "org", "date", "bid", "ask"), OTC_PAIRED, mode)
+    bids = _otc_side(raw, OTC_BID, "bid", mode)
+    asks = _otc_side(raw, OTC_ASK, "ask", mode)
+    names = [f.name for f in OTC_PAIRED.fields]
+    if mode != "quarantine":
+        return bids.join(asks, ["bond", "org", "date"], "inner").select(*names)
+    good_bids, bad_bids = split_quarantine(bids)
+    good_asks, bad_asks = split_quarantine(asks)
+    pairs = good_bids.join(good_asks, ["bond", "org", "date"], "inner")
+    none = F.lit(None).cast("double")
+    return (pairs.withColumn(REJECT_COL, F.array().cast("array<string>"))
+            .unionByName(bad_bids.withColumn("ask", none)).unionByName(bad_asks.withColumn("bid", none))
+            .select(*names, REJECT_COL))

@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType,
-                               IntegerType, FloatType, ShortType, StringType)
-
-# Assumed bytes per string/binary value when bounding a row's width.
-STRING_WIDTH = 64
-
-
-def row_width_bound(df: DataFrame, string_width: int = STRING_WIDTH) -> int:
-    width = 16  # row header
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DateType, DecimalType,
+                               FloatType, IntegerType, MapType, ShortType, StringType, StructType)
+
+ROW_HEADER = 16
+
+
+def _width(value: Column, kind) -> Column:
+    """Bytes of a value: fixed by its type, or measured for strings and nested values."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value.alias("v")))), F.lit(0)) + 8
+    if isinstance(kind, (BooleanType, ByteType)):
+        return F.lit(1)
+    if isinstance(kind, ShortType):
+        return F.lit(2)
+    if isinstance(kind, (IntegerType, FloatType, DateType)):
+        return F.lit(4)
+    if isinstance(kind, DecimalType):
+        return F.lit(8 if kind.precision <= 18 else 16)
+    return F.lit(8)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of all rows of ``df``, with every string's own length."""
+    width = F.lit(ROW_HEADER)
     for field in df.schema.fields:
-        t = field.dataType
-        if isinstance(t, (StringType, BinaryType)):
-            width += string_width
-        elif isinstance(t, (BooleanType, ByteType)):
-            width += 1
-        elif isinstance(t, ShortType):
-            width += 2
-        elif isinstance(t, (IntegerType, FloatType, DateType)):
-            width += 4
-        elif isinstance(t, DecimalType):
-            width += 8 if t.precision <= 18 else 16
-        else:  # long, double, timestamps; nested types get a generous flat guess
-            width += 8 if t.simpleString() in ("bigint", "double", "timestamp", "timestamp_ntz") \
-                else 4 * string_width
-    return width
+        width = width + _width(F.col(f"`{field.name}`"), field.dataType)
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -42,12 +46,12 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when rows x row-width bound fits ``max_bytes``
+    """``(broadcast(df), True)`` when the measured size fits ``max_bytes``
     (default: the session's auto-broadcast threshold), else ``(df.hint("merge"),
     False)``: a sort-merge join that neither the planner nor AQE turns into a
-    broadcast on an estimate. The count is exact; run it on a table or a cheap
-    plan (a Parquet scan answers it from footers)."""
+    broadcast on an estimate. Measuring runs ``df`` once; call it on a table or
+    a cheap plan."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
-    if limit is not None and limit >= 0 and df.count() * row_width_bound(df) <= limit:
+    if limit is not None and limit >= 0 and measured_bytes(df) <= limit:
         return F.broadcast(df), True
     return df.hint("merge"), False

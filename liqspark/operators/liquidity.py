@@ -5,22 +5,18 @@ level 1, median per (bond, date) -> level 2, median of the daily medians per
 bond (one row per bond and day: small) -> range-partitioned rank -> join with
 the bond list -> range sort by id.
 
-Level 1 is where one key can be huge (a bond with a third of all quotes). Two
-methods give the same value on groups of up to ~50 quotes (both return the
-lower middle element exactly) and a bounded-error estimate above; ``"auto"``
-(default) takes the original estimator on a small session and the salted
-sketches once the cluster is large enough for a hot key's fan-in to matter:
-
-* ``"kll"``: mergeable KLL sketches, salted by the *map task*: each
-  task folds its rows into one sketch per (bond, date, task mod S); a reducer
-  merges the sketches of ~tasks/S map tasks; a second aggregate merges the S
-  salted sketches per (bond, date). No reducer receives a sketch from every
-  map task, so a hot key is split instead of merged in one task. The number of
-  map tasks grows with the cluster, so S defaults to total cores / 16 (each
-  merging reducer takes ~16 waves of map tasks); on a small session (S = 1)
-  the salt stage would only add a shuffle and is left out.
-* ``"percentile_approx"``: the original estimator, one aggregate; a hot key's
-  final merge takes one sketch from every map task in a single reducer.
+Level 1 is where one key can be huge (a bond with a third of all quotes). The
+method is the caller's choice and never depends on the cluster:
+
+* ``"percentile_approx"`` (default): the original estimator. Every map task
+  folds a group into one bounded summary, so a hot key costs one reducer one
+  summary per map task. Exact (lower middle element) up to about 50 quotes a
+  group, within 1/accuracy of the rank above.
+* ``"exact"``: the lower middle element of any group. Quotes are
+  range-partitioned on (bond, date, spread) and numbered globally, and the
+  wanted numbers are joined back; a hot group spans many partitions.
+* ``"kll"``: mergeable KLL sketches, salted by map task over ``salt_buckets``.
+  Randomised: a retried task may give another element of the same rank range.
 """
 
 from __future__ import annotations
@@ -34,15 +30,9 @@ from .ranking import global_row_number
 
 # Fixed value of the original job: percentile_approx accuracy.
 MEDIAN_ACCURACY = 100
-# KLL sketch size (normalised rank error well under 1 / MEDIAN_ACCURACY) and
-# map-task waves per merging reducer (sets the default salt count).
 KLL_K = 400
-WAVES_PER_REDUCER = 16
-MEDIAN_METHODS = ("auto", "kll", "percentile_approx")
-
-
-def default_salt_buckets(df: DataFrame) -> int:
-    return max(1, df.sparkSession.sparkContext.defaultParallelism // WAVES_PER_REDUCER)
+KLL_SALT_BUCKETS = 4
+MEDIAN_METHODS = ("percentile_approx", "exact", "kll")
 
 METRIC_COLUMNS = ["id", "isin", "date_of_end_placing", "maturity_date", "usd_volume",
                   "bid_ask_spread_relative_median", "bid_ask_spread_relative_rank"]
@@ -52,8 +42,25 @@ def with_relative_spread(quotes: DataFrame, out_col: str = "ba_spread") -> DataF
     return quotes.withColumn(out_col, relative_spread("bid", "ask"))
 
 
+def exact_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """Lower middle element of ``value`` per group, nulls ignored (an all-null
+    group gives null; NaN is the largest value).
+
+    No group is gathered: rows are numbered across range partitions, a group's
+    first number and size give the number of its middle element, and that
+    (unique) number is joined back.
+    """
+    known = df.where(F.col(value).isNotNull()).select(*keys, value)
+    numbered = global_row_number(known, [*[F.col(k) for k in keys], F.col(value)], out_col="_rn")
+    middle = numbered.groupBy(*keys).agg(
+        (F.min("_rn") + F.expr("(count(1) + 1) div 2") - 1).alias("_middle"))
+    found = middle.join(numbered.select(F.col("_rn").alias("_middle"), F.col(value).alias(out)), "_middle").drop("_middle")
+    nothing = df.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n = 0")
+    return found.unionByName(nothing.select(*keys, F.lit(None).cast(df.schema[value].dataType).alias(out)))
+
+
 def median_by_bond_date(spreads: DataFrame, accuracy: int = MEDIAN_ACCURACY,
-                        method: str = "auto", salt_buckets: int | None = None,
+                        method: str = "percentile_approx", salt_buckets: int = KLL_SALT_BUCKETS,
                         kll_k: int = KLL_K) -> DataFrame:
     """Level 1: median spread across trading grounds per bond and day.
 
@@ -62,21 +69,16 @@ def median_by_bond_date(spreads: DataFrame, accuracy: int = MEDIAN_ACCURACY,
     """
     if method not in MEDIAN_METHODS:
         raise ValueError(f"method must be one of {MEDIAN_METHODS}")
-    buckets = salt_buckets or default_salt_buckets(spreads)
-    if method == "auto":
-        method = "kll" if buckets > 1 else "percentile_approx"
     if method == "percentile_approx":
         return spreads.groupBy("bond", "date").agg(
             F.percentile_approx("ba_spread", 0.5, accuracy).alias("median_of_tgs"))
-    if buckets > 1:
-        salt = F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("_salt")
-        salted = spreads.groupBy("bond", "date", salt).agg(
-            F.kll_sketch_agg_double("ba_spread", kll_k).alias("_sk"))
-        merged = salted.groupBy("bond", "date").agg(
-            F.kll_merge_agg_double("_sk", kll_k).alias("_sk"))
-    else:
-        merged = spreads.groupBy("bond", "date").agg(
-            F.kll_sketch_agg_double("ba_spread", kll_k).alias("_sk"))
+    if method == "exact":
+        return exact_median(spreads, ["bond", "date"], "ba_spread", "median_of_tgs")
+    salt = F.pmod(F.spark_partition_id(), F.lit(salt_buckets)).alias("_salt")
+    salted = spreads.groupBy("bond", "date", salt).agg(
+        F.kll_sketch_agg_double("ba_spread", kll_k).alias("_sk"))
+    merged = salted.groupBy("bond", "date").agg(
+        F.kll_merge_agg_double("_sk", kll_k).alias("_sk"))
     n = F.kll_sketch_get_n_double("_sk")
     return merged.select(
         "bond", "date",
@@ -117,7 +119,7 @@ def rank_by_median(medians: DataFrame, num_partitions: int | None = None) -> Dat
 
 
 def spread_medians(exchange: DataFrame, accuracy: int = MEDIAN_ACCURACY,
-                   method: str = "auto", salt_buckets: int | None = None) -> DataFrame:
+                   method: str = "percentile_approx", salt_buckets: int = KLL_SALT_BUCKETS) -> DataFrame:
     """Cleaned exchange quotes -> per-bond median relative spread."""
     daily = median_by_bond_date(with_relative_spread(exchange), accuracy, method, salt_buckets)
     return median_by_bond(daily, accuracy)
@@ -125,7 +127,7 @@ def spread_medians(exchange: DataFrame, accuracy: int = MEDIAN_ACCURACY,
 
 def liquidity_metrics(exchange: DataFrame, bonds: DataFrame, accuracy: int = MEDIAN_ACCURACY,
                       num_partitions: int | None = None, sort: bool = True,
-                      method: str = "auto", salt_buckets: int | None = None) -> DataFrame:
+                      method: str = "percentile_approx", salt_buckets: int = KLL_SALT_BUCKETS) -> DataFrame:
     """Bond list joined with median spread and rank, ordered by id.
 
     The rank is taken over all bonds with quotes *before* the inner join, so

@@ -30,21 +30,46 @@ def test_no_python_evaluation_in_registered_batch_queries(spark):
 
 def test_medians_aggregate_partially_before_shuffle(spark):
     from liqspark.operators import liquidity
+    exchange = catalog._exchange(spark, SF)
+    plan = _plan(liquidity.spread_medians(exchange))
+    assert plan.count("partial_percentile_approx") == 2 and "kll" not in plan
+    kll = _plan(liquidity.spread_medians(exchange, method="kll"))
+    assert "partial_kll_sketch_agg_double" in kll and "partial_kll_merge_agg_double" in kll
+
+
+def test_median_method_does_not_depend_on_the_cluster(spark, monkeypatch):
+    from pyspark import SparkContext
+    from liqspark.operators import liquidity
+    import re
     spreads = liquidity.with_relative_spread(catalog._exchange(spark, SF))
-    plan = _plan(liquidity.median_by_bond(liquidity.median_by_bond_date(spreads, salt_buckets=4)))
-    # Level 1: salted KLL sketches, partial before each of its two shuffles.
-    assert "partial_kll_sketch_agg_double" in plan and "partial_kll_merge_agg_double" in plan
-    assert "SPARK_PARTITION_ID" in plan.upper()
-    # Level 2: percentile_approx over one row per (bond, date), partial first.
-    assert plan.count("partial_percentile_approx") == 1
-    # KLL with salt count 1 keeps one sketch aggregate.
-    single = _plan(liquidity.median_by_bond_date(spreads, method="kll", salt_buckets=1))
-    assert "partial_kll_sketch_agg_double" in single and "kll_merge_agg" not in single
-    # "auto" on a small session (salt count 1) is the original estimator.
-    auto = _plan(liquidity.median_by_bond_date(spreads, salt_buckets=1))
-    assert "partial_percentile_approx" in auto and "kll" not in auto
-    pa = _plan(liquidity.spread_medians(catalog._exchange(spark, SF), method="percentile_approx"))
-    assert pa.count("partial_percentile_approx") == 2
+    plans, rows = set(), set()
+    for cores in (4, 64):
+        monkeypatch.setattr(SparkContext, "defaultParallelism", property(lambda self, n=cores: n))
+        medians = liquidity.median_by_bond_date(spreads)
+        plans.add(re.sub(r"#\d+L?|plan_id=\d+", "", _plan(medians)))
+        rows.add(tuple(sorted(map(tuple, medians.collect()))))
+    assert len(plans) == len(rows) == 1
+
+
+def test_plain_scans_are_not_shuffled(spark):
+    assert "Exchange" not in _plan(catalog._exchange(spark, SF))
+    assert "Exchange" not in _plan(catalog.REGISTRY["csv_bonds_scan"].fn(spark, SF))
+
+
+def test_exact_median_of_large_and_odd_groups(spark):
+    from liqspark.operators import liquidity
+    nan = float("nan")
+    rows = [(1, v / 7) for v in range(400, 0, -1)] + [(2, None), (2, None), (3, nan), (3, nan), (3, 0.5), (None, 4.0), (4, -1.0)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = {r.k: r.m for r in liquidity.exact_median(df, ["k"], "v", "m").collect()}
+    assert got.pop(3) != 0.5 and got == {1: 200 / 7, 2: None, None: 4.0, 4: -1.0}
+
+
+def test_broadcast_side_is_measured(spark):
+    from pyspark.sql import functions as F
+    from liqspark.operators.joins import broadcast_if_small, measured_bytes
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 5000).alias("s"))
+    assert measured_bytes(wide) > 500_000 and not broadcast_if_small(wide, 400_000)[1] and broadcast_if_small(wide, 600_000)[1]
 
 
 def test_enrichment_broadcasts_small_metrics_and_shuffles_when_too_big(spark):
