@@ -99,7 +99,7 @@ rk AS (
 
 SQL_BONDS = """
 bl AS (
-  SELECT p_partkey AS id, p_name AS isin,
+  SELECT p_partkey * 2 AS id, p_name AS isin,
          TIMESTAMP '2010-01-01' + to_months(p_size) AS date_of_end_placing,
          TIMESTAMP '2015-01-01' + to_years(p_size) AS maturity_date,
          p_retailprice AS usd_volume
@@ -200,28 +200,98 @@ def q_otc_pairing(spark, sf_dir):
     return clean.pair_otc_quotes(P.otc_quotes(spark, sf_dir))
 
 
-def _exchange_as_text(spark, sf_dir):
-    # The exchange feed as the CSV reader delivers it: every column a string.
-    ex = P.exchange_quotes(spark, sf_dir)
-    return ex.select(*[F.col(c).cast("string").alias(c) for c in ex.columns])
+SQL_EXCHANGE_TEXT = """
+ext AS (
+  SELECT l_partkey AS bond, l_suppkey AS tg, date_trunc('year', l_shipdate) AS "date",
+         l_extendedprice * (1 - l_discount) AS bid, l_extendedprice * (1 + l_tax) AS ask, l_linenumber AS line
+  FROM lineitem WHERE l_linenumber <> 6 AND (l_linenumber = 5 OR l_suppkey NOT IN (27, 81))
+)"""
 
 
-@register("strict_schema_drop", "WITH " + SQL_EXCHANGE + "\nSELECT * FROM ex")
+@register("strict_schema_drop", "WITH " + SQL_EXCHANGE_TEXT +
+          "\nSELECT bond, tg, \"date\", bid, ask FROM ext WHERE line NOT IN (5, 7)")
 def q_strict_schema_drop(spark, sf_dir):
     """Text columns -> typed, non-null contract enforced by dropping bad rows."""
-    return clean.clean_exchange_quotes(_exchange_as_text(spark, sf_dir),
+    return clean.clean_exchange_quotes(P.exchange_quotes_text(spark, sf_dir),
                                        excluded_grounds=P.PROXY_EXCLUDED_GROUNDS, mode="drop")
 
 
-@register("strict_schema_quarantine", "WITH " + SQL_EXCHANGE +
-          "\nSELECT *, '' AS rejected_fields FROM ex")
+def _shown(tagged, columns):
+    """Tagged rows with nulls shown as -1 and the broken fields as text."""
+    from ..schemas import REJECT_COL
+    shown = tagged.withColumns({c: F.coalesce(c, F.lit(-1).cast(t)) for c, t in tagged.dtypes if c in columns})
+    return shown.withColumn("rejected_fields", F.array_join(REJECT_COL, ",")).drop(REJECT_COL)
+
+
+@register("strict_schema_quarantine", "WITH " + SQL_EXCHANGE_TEXT + """
+SELECT bond, CASE WHEN line = 5 THEN -1 ELSE tg END AS tg, "date", CASE WHEN line = 7 THEN -1 ELSE bid END AS bid, ask,
+       CASE line WHEN 5 THEN 'tg' WHEN 7 THEN 'bid' ELSE '' END AS rejected_fields FROM ext""")
 def q_strict_schema_quarantine(spark, sf_dir):
     """Same contract, every row kept and tagged with the fields that broke it."""
-    from ..schemas import REJECT_COL
-    tagged = clean.clean_exchange_quotes(_exchange_as_text(spark, sf_dir),
-                                         excluded_grounds=P.PROXY_EXCLUDED_GROUNDS,
-                                         mode="quarantine")
-    return tagged.withColumn("rejected_fields", F.array_join(REJECT_COL, ",")).drop(REJECT_COL)
+    return _shown(clean.clean_exchange_quotes(P.exchange_quotes_text(spark, sf_dir),
+                                              excluded_grounds=P.PROXY_EXCLUDED_GROUNDS, mode="quarantine"), ["tg", "bid"])
+
+
+SQL_OTC_TEXT = """
+side AS (
+  SELECT CASE WHEN l_linenumber = 5 THEN -1 ELSE l_partkey END AS bond, l_suppkey AS org, date_trunc('year', l_shipdate) AS "date",
+         l_extendedprice AS price, l_returnflag AS flag, l_linenumber = 5 AS bad FROM lineitem WHERE l_extendedprice > 0
+)"""
+
+
+@register("otc_strict_quarantine", "WITH " + SQL_OTC_TEXT + """
+SELECT b.bond, b.org, b."date", b.price AS bid, a.price AS ask, '' AS rejected_fields
+FROM side b JOIN side a ON a.bond = b.bond AND a.org = b.org AND a."date" = b."date"
+WHERE b.flag = 'A' AND a.flag = 'R' AND NOT a.bad AND NOT b.bad
+UNION ALL SELECT bond, org, "date", CASE flag WHEN 'A' THEN price ELSE -1 END, CASE flag WHEN 'R' THEN price ELSE -1 END, 'bond'
+FROM side WHERE bad AND flag IN ('A', 'R')""")
+def q_otc_strict_quarantine(spark, sf_dir):
+    """OTC pairs of a text feed; quotes with an unreadable key come out unpaired."""
+    return _shown(clean.pair_otc_quotes(P.otc_quotes_text(spark, sf_dir), mode="quarantine"), ["bond", "bid", "ask"])
+
+
+# ---------------------------------------------------------------------------
+# CSV scans: the whole feed written as header CSV, then read as the batch job reads it
+
+def _as_csv(spark, df, name):
+    from ..sinks.writers import write_csv
+    return write_csv(df, S.scratch_dir(spark, name))
+
+
+@register("csv_exchange_scan", "WITH " + SQL_EXCHANGE_TEXT +
+          "\nSELECT bond, tg, \"date\", bid, ask FROM ext WHERE line NOT IN (5, 7)")
+def q_csv_exchange_scan(spark, sf_dir):
+    """Exchange quotes from header CSV files, cleaned and typed."""
+    from ..sources.readers import read_exchange_quotes
+    raw = read_exchange_quotes(spark, _as_csv(spark, P.exchange_quotes_text(spark, sf_dir), "csv-exchange"))
+    return clean.clean_exchange_quotes(raw, excluded_grounds=P.PROXY_EXCLUDED_GROUNDS)
+
+
+@register("csv_otc_scan", "WITH " + SQL_OTC_TEXT + """
+SELECT b.bond, b.org, b."date", b.price AS bid, a.price AS ask
+FROM side b JOIN side a ON a.bond = b.bond AND a.org = b.org AND a."date" = b."date"
+WHERE b.flag = 'A' AND a.flag = 'R' AND NOT a.bad AND NOT b.bad""")
+def q_csv_otc_scan(spark, sf_dir):
+    """OTC quotes from header CSV files, paired."""
+    from ..sources.readers import read_otc_quotes
+    return clean.pair_otc_quotes(read_otc_quotes(spark, _as_csv(spark, P.otc_quotes_text(spark, sf_dir), "csv-otc")))
+
+
+@register("csv_bonds_scan", "WITH " + SQL_BONDS + "\nSELECT * FROM bl")
+def q_csv_bonds_scan(spark, sf_dir):
+    """The bond list from header CSV files, typed."""
+    from ..sources.readers import read_bond_list
+    return clean.clean_bonds(read_bond_list(spark, _as_csv(spark, P.bonds(spark, sf_dir), "csv-bonds")))
+
+
+@register("median_large_groups", """
+SELECT l_suppkey AS tg, quantile_disc((l_extendedprice * (1 + l_tax) - l_extendedprice * (1 - l_discount))
+         / ((l_extendedprice * (1 + l_tax) + l_extendedprice * (1 - l_discount)) / 2), 0.5) AS median_spread
+FROM lineitem GROUP BY l_suppkey""")
+def q_median_large_groups(spark, sf_dir):
+    """Exact median spread per trading ground: groups of hundreds of quotes."""
+    spreads = liquidity.with_relative_spread(P.exchange_quotes(spark, sf_dir))
+    return liquidity.exact_median(spreads, ["tg"], "ba_spread", "median_spread")
 
 
 @register("far_date_sentinel", "WITH " + SQL_BONDS + """
@@ -256,7 +326,7 @@ def q_anchor_date(spark, sf_dir):
 
 SQL_EVENT_TEXT = """
 ev_text AS (
-  SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS bond,
+  SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id * 20 AS VARCHAR) AS bond,
          CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS bid,
          CAST(CAST(value AS DECIMAL(18,2)) * CAST(1.01 AS DECIMAL(3,2)) AS VARCHAR) AS ask,
          CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
@@ -271,7 +341,7 @@ ev_text AS (
 
 SQL_TYPED = """
 q AS (
-  SELECT CAST(user_id AS BIGINT) AS bond,
+  SELECT CAST(user_id * 20 AS BIGINT) AS bond,
          CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
                               WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS BIGINT) AS tg,
          CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS volume_money,
@@ -284,6 +354,18 @@ q AS (
 )"""
 
 
+@register("json_quote_parse_faulty", "WITH " + SQL_TYPED + """
+SELECT bond, tg, volume_money, CASE WHEN tg = 4 THEN -1 ELSE bid END AS bid, ask, overturn, "date", update_ts
+FROM q WHERE tg NOT IN (2, 5)""")
+def q_json_quote_parse_faulty(spark, sf_dir):
+    """Payloads cut short and unreadable keys drop out; an explicit null price stays null
+    (shown as -1)."""
+    from ..functions.jsonq import parse_quote_json
+    from ..streaming.quotes import to_wall_clock
+    typed = to_wall_clock(parse_quote_json(P.faulty_json(spark, sf_dir)))
+    return typed.withColumn("bid", F.coalesce("bid", F.lit(-1.0)))
+
+
 def _typed_quotes(spark, sf_dir):
     from ..functions.jsonq import parse_quote_json
     return parse_quote_json(P.intraday_json(spark, sf_dir))
@@ -486,15 +568,15 @@ def q_stream_enriched_quotes(spark, sf_dir):
 @register("stream_sink_readback", "WITH " + SQL_ENRICHED +
           f"\nSELECT {ENRICHED_COLS_SQL} FROM enriched WHERE window_end <= {WATERMARK_CUT}")
 def q_stream_sink_readback(spark, sf_dir):
-    """The stream's output folder read as plain Parquet files (a glob that skips
-    the sink's commit log, as a notebook reading the folder does)."""
+    """The stream's output folder read back through the sink's commit log, so files
+    of a failed attempt don't count."""
     from ..streaming.quotes import enriched_quotes, to_wall_clock
     from ..streaming.runner import run_available_now
     metrics, _ = _materialized_metrics(spark, sf_dir)
     out = S.scratch_dir(spark, "stream-readback")
     run_available_now(enriched_quotes(_event_stream(spark, sf_dir), metrics), out,
                       f"{out}/_checkpoint", state_partitions=_state_partitions(spark))
-    return _round_sum(to_wall_clock(spark.read.parquet(f"{out}/*.parquet")))
+    return _round_sum(to_wall_clock(spark.read.parquet(out)))
 
 
 @register("stream_sink_count", "WITH " + SQL_ENRICHED +
@@ -517,6 +599,78 @@ def q_newest_enriched_top10(spark, sf_dir):
                        F.col("bid").desc_nulls_last(), F.col("ask").desc_nulls_last()).limit(10)
 
 
+# ---------------------------------------------------------------------------
+# Late rows, restart and upsert: all events landed as text files, one file a micro-batch
+
+def _land(spark, sf_dir, folder, batches):
+    """Write the topic payloads of the events of each condition in ``batches`` as the
+    next file of ``folder``."""
+    from ..functions.jsonq import quote_events_to_json
+    events = P.table(spark, sf_dir, "events")
+    for test in batches:
+        payloads = quote_events_to_json(P.intraday_events(events.where(test))).select("value")
+        payloads.repartition(1).write.mode("append").text(folder)
+
+
+def _landed_stream(spark, folder):
+    from ..streaming.quotes import file_source
+    from pyspark.sql.types import StringType, StructField, StructType
+    values = file_source(spark, folder, StructType([StructField("value", StringType())]), fmt="text", max_files_per_trigger=1)
+    return values.repartition(spark.sparkContext.defaultParallelism)
+
+
+@register("late_rows_dropped", "WITH " + SQL_WINDOWS + f"""
+SELECT * FROM win WHERE window_end <= {WATERMARK_CUT}
+  AND (tg IN (1, 5) OR window_end > (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 120 MINUTE)""")
+def q_late_rows_dropped(spark, sf_dir):
+    """Views arrive first, clicks second, all other events last. The late-row filter uses
+    the watermark of the batch before the last, so clicks still count and the last batch
+    loses the windows that the views had closed."""
+    from ..streaming.quotes import to_wall_clock, windowed_quotes
+    folder = S.scratch_dir(spark, "late-landing")
+    kind = F.col("event_type")
+    _land(spark, sf_dir, folder, [kind == "view", kind == "click", ~kind.isin("view", "click")])
+    out = _run_stream(spark, windowed_quotes(_landed_stream(spark, folder)), "late-windows")
+    return _round_sum(to_wall_clock(out))
+
+
+@register("restart_from_checkpoint", "WITH " + SQL_WINDOWS +
+          f"\nSELECT * FROM win WHERE window_end <= {WATERMARK_CUT}")
+def q_restart_from_checkpoint(spark, sf_dir):
+    """Two runs on one checkpoint, the second after the later events have landed: the
+    state of the first carries on, no window is lost or written twice."""
+    from ..streaming.quotes import to_wall_clock, windowed_quotes
+    from ..streaming.runner import run_available_now
+    folder, out = S.scratch_dir(spark, "restart-landing"), S.scratch_dir(spark, "restart-windows")
+    middle = P.table(spark, sf_dir, "events").agg(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), 0.5)).first()[0]
+    late = F.col("ts").cast("timestamp").cast("double") > F.lit(middle)
+    for part in (~late, late):
+        _land(spark, sf_dir, folder, [part])
+        run_available_now(windowed_quotes(_landed_stream(spark, folder)), out, f"{out}/_checkpoint",
+                          state_partitions=_state_partitions(spark))
+    return _round_sum(to_wall_clock(spark.read.parquet(out)))
+
+
+@register("upsert_latest", "WITH " + SQL_TYPED + """
+SELECT bond, tg, "date", volume_money, bid, ask, overturn, update_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY bond, tg, "date" ORDER BY update_ts DESC NULLS LAST,
+         volume_money DESC, bid DESC, ask DESC, overturn DESC) AS rn
+  FROM q) WHERE rn = 1""")
+def q_upsert_latest(spark, sf_dir):
+    """Typed quotes upserted into a date-partitioned table in several micro-batches."""
+    from ..functions.jsonq import parse_quote_json
+    from ..sinks.upsert import upsert_writer
+    from ..streaming.quotes import to_wall_clock
+    from ..streaming.runner import run_available_now
+    folder, target = S.scratch_dir(spark, "upsert-landing"), S.scratch_dir(spark, "upsert-table")
+    kind = F.col("event_type")
+    _land(spark, sf_dir, folder, [kind.isin("view", "error"), kind == "click", ~kind.isin("view", "error", "click")])
+    run_available_now(parse_quote_json(_landed_stream(spark, folder)), None, S.scratch_dir(spark, "upsert-checkpoint"),
+                      output_mode="update", foreach_batch=upsert_writer(target))
+    names = ["bond", "tg", "date", "volume_money", "bid", "ask", "overturn", "update_ts"]
+    return to_wall_clock(spark.read.parquet(target)).select(*names)
+
+
 def bench_variants() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Alternative strategies timed by bench.py next to the registered queries."""
     def sliding_window_preagg(spark, sf_dir):
@@ -526,8 +680,12 @@ def bench_variants() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         S.prepare(spark)
         return liquidity.liquidity_metrics(_exchange(spark, sf_dir), _bonds(spark, sf_dir),
                                            method="kll", salt_buckets=4)
+    def liquidity_metrics_exact(spark, sf_dir):
+        S.prepare(spark)
+        return liquidity.liquidity_metrics(_exchange(spark, sf_dir), _bonds(spark, sf_dir), method="exact")
     return {"sliding_window_preagg": sliding_window_preagg,
-            "liquidity_metrics_salted_kll": liquidity_metrics_salted_kll}
+            "liquidity_metrics_salted_kll": liquidity_metrics_salted_kll,
+            "liquidity_metrics_exact": liquidity_metrics_exact}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -17,6 +17,11 @@ PROXY_EXCLUDED_GROUNDS = (27, 81)
 RETURNFLAG_QUOTE_TYPE = {"A": 1, "R": 2, "N": 3}
 # Trading ground number of each event type, alphabetical order.
 EVENT_TYPE_GROUND = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view": 5}
+# Listed bond ids and quoted bonds overlap in part: ids are twice the part key,
+# intraday bonds twenty times the user.
+LISTED_ID_FACTOR, EVENT_BOND_FACTOR = 2, 20
+# Text feeds: what the quote lines of these numbers hold instead of a value.
+BAD_PRICE_LINE, NO_DATE_LINE, BAD_KEY_LINE = 7, 6, 5
 # Bond list dates: placing ends 2010-01-01 + p_size months; maturity 2015-01-01 + p_size years.
 PLACING_BASE = "2010-01-01"
 MATURITY_BASE = "2015-01-01"
@@ -36,7 +41,7 @@ def _year_start(ts: Column) -> Column:
     return F.date_trunc("YEAR", ts).cast("timestamp_ntz")
 
 
-def exchange_quotes(spark: SparkSession, sf_dir: str, coarse: bool = True) -> DataFrame:
+def exchange_quotes(spark: SparkSession, sf_dir: str, coarse: bool = True, extra=()) -> DataFrame:
     """lineitem -> (bond, tg, date, bid, ask). ``coarse``: date = start of the ship year."""
     li = table(spark, sf_dir, "lineitem")
     date = _year_start(F.col("l_shipdate")) if coarse else F.col("l_shipdate")
@@ -46,10 +51,11 @@ def exchange_quotes(spark: SparkSession, sf_dir: str, coarse: bool = True) -> Da
         date.alias("date"),
         (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("bid"),
         (F.col("l_extendedprice") * (F.lit(1) + F.col("l_tax"))).alias("ask"),
+        *extra,
     )
 
 
-def otc_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def otc_quotes(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     """lineitem -> one OTC quote side per row (bond, org, date, quote_type, price)."""
     li = table(spark, sf_dir, "lineitem")
     qtype = F.create_map(*[x for k, v in RETURNFLAG_QUOTE_TYPE.items() for x in (F.lit(k), F.lit(v))])
@@ -59,14 +65,34 @@ def otc_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         _year_start(F.col("l_shipdate")).alias("date"),
         qtype[F.col("l_returnflag")].alias("quote_type"),
         F.col("l_extendedprice").alias("price"),
+        *extra,
     )
 
 
+def exchange_quotes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exchange feed as the CSV reader delivers it: every column a string,
+    with unreadable prices and keys and missing dates on some lines."""
+    quotes = exchange_quotes(spark, sf_dir, extra=["l_linenumber"])
+    line = F.col("l_linenumber")
+    text = {c: F.col(c).cast("string") for c in ("bond", "tg", "date", "bid", "ask")}
+    text["bid"] = F.when(line == BAD_PRICE_LINE, "n/a").otherwise(text["bid"])
+    text["date"] = F.when(line != NO_DATE_LINE, text["date"])
+    text["tg"] = F.when(line == BAD_KEY_LINE, "").otherwise(text["tg"])
+    return quotes.select(*[c.alias(name) for name, c in text.items()])
+
+
+def otc_quotes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The OTC feed as text; some keys are unreadable."""
+    quotes = otc_quotes(spark, sf_dir, extra=["l_linenumber"])
+    bond = F.when(F.col("l_linenumber") == BAD_KEY_LINE, "abc").otherwise(F.col("bond").cast("string"))
+    return quotes.select(bond.alias("bond"), *[F.col(c).cast("string").alias(c) for c in ("org", "date", "quote_type", "price")])
+
+
 def bonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part -> raw bond list (id, isin_code, date_of_end_placing, maturity_date, usd_volume)."""
     part = table(spark, sf_dir, "part")
     return part.select(
-        F.col("p_partkey").alias("id"),
+        (F.col("p_partkey") * LISTED_ID_FACTOR).alias("id"),
         F.col("p_name").alias("isin_code"),
         F.add_months(F.to_date(F.lit(PLACING_BASE)), F.col("p_size"))
         .cast("timestamp_ntz").alias("date_of_end_placing"),
@@ -81,7 +107,7 @@ def _ground(event_type: Column) -> Column:
     return lookup[event_type]
 
 
-def intraday_events(events: DataFrame) -> DataFrame:
+def intraday_events(events: DataFrame, extra=()) -> DataFrame:
     """events -> quote events with every field a string (the topic payload fields).
 
     Prices go through decimals so their text is exact: bid = value,
@@ -90,7 +116,7 @@ def intraday_events(events: DataFrame) -> DataFrame:
     value = F.col("value").cast("decimal(18,2)")
     return events.select(
         F.col("event_id").cast("string").alias("id"),
-        F.col("user_id").cast("string").alias("bond"),
+        (F.col("user_id") * EVENT_BOND_FACTOR).cast("string").alias("bond"),
         value.cast("string").alias("bid"),
         (value * F.lit(1.01).cast("decimal(3,2)")).cast("string").alias("ask"),
         _ground(F.col("event_type")).cast("string").alias("tg"),
@@ -99,6 +125,7 @@ def intraday_events(events: DataFrame) -> DataFrame:
         F.lit("0").alias("volume"),
         value.cast("string").alias("volume_money"),
         F.lit("0").alias("overturn"),
+        *extra,
     )
 
 
@@ -109,6 +136,18 @@ def intraday_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_events_to_json(ev)
 
 
+def faulty_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic records of which errors are cut short, signups hold a null bid and
+    views a trading ground that is no number."""
+    text = intraday_events(table(spark, sf_dir, "events"), extra=["event_type"])
+    bid = F.when(F.col("event_type") != "signup", F.col("bid"))
+    tg = F.when(F.col("event_type") == "view", "main board").otherwise(F.col("tg"))
+    fields = [(bid if c == "bid" else tg if c == "tg" else F.col(c)).alias(c) for c in text.columns if c != "event_type"]
+    whole = text.select("event_type", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    short = F.expr("substr(value, 1, length(value) - 1)")
+    return whole.select(F.when(F.col("event_type") == "error", short).otherwise(F.col("value")).alias("value"))
+
+
 def snapshot_documents(events: DataFrame, page_size: int = SNAPSHOT_PAGE) -> DataFrame:
     """Landed REST snapshots: one JSON document per page of ``page_size`` events.
 

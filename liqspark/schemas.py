@@ -37,6 +37,11 @@ EXCHANGE = StructType([
     StructField("bid", DoubleType(), False),
     StructField("ask", DoubleType(), False),
 ])
+OTC_KEYS = StructType([
+    StructField("bond", LongType(), False),
+    StructField("org", LongType(), False),
+    StructField("date", TimestampNTZType(), False),
+])
 OTC_PAIRED = StructType([
     StructField("bond", LongType(), False),
     StructField("org", LongType(), False),

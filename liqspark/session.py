@@ -1,12 +1,14 @@
 """Session defaults and shared-storage locations.
 
 Scratch and checkpoint data always live under the folder the cluster names in
-``spark.checkpoint.dir``; only when that is unset (local tests) do we pick a
-fresh temporary folder and set it ourselves.
+``spark.checkpoint.dir``. Where that is unset a local session gets a fresh
+temporary folder; a cluster session is refused, since its executors share no
+local disk.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -63,7 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset: a local/test session. A cluster always names a shared folder.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
         conf_dir = tempfile.mkdtemp(prefix="liqspark-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
@@ -74,3 +77,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system that Spark reads ``path`` with holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_dir`` named; anything else is refused."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.makeQualified(target.getParent()).toString() != fs.makeQualified(root).toString():
+        raise ValueError(f"{path} is not a scratch folder")
+    fs.delete(target, True)
+

@@ -3,10 +3,9 @@
 Each micro-batch (``foreachBatch``):
 
 1. reduce the batch to its newest row per key (an aggregate, skew-safe);
-2. read only the target's partitions the batch touches: the batch's distinct
-   partition values (a handful of dates per micro-batch, at most
-   ``MAX_LISTED_PARTITIONS``) become a partition filter, so the scan prunes
-   to those folders; beyond that bound a semi-join is used instead;
+2. read the target's partitions that the batch touches: a null-safe semi-join
+   with the batch's partition values, which prunes folders at run time when
+   the values are few; a null partition value is a partition like any other;
 3. newest row per key over (old rows of those partitions) + (batch rows);
 4. cut lineage with a reliable ``checkpoint()`` in the shared folder - the
    result is read from the target and is about to overwrite it;
@@ -22,24 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.windows import latest_quote
-from ..session import checkpoint_root
-
-# Largest number of touched partitions listed as a filter (a few dates per
-# micro-batch in practice); above it the target is semi-joined instead.
-MAX_LISTED_PARTITIONS = 1000
-
-
-def _target_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - only probes the folder
-        return True
-    except Exception:  # no table yet
-        return False
-
+from ..session import checkpoint_root, path_exists
 
 def upsert_latest(batch: DataFrame, target: str, keys: Sequence[str] = ("bond", "tg", "date"),
                   ts_col: str = "update_ts", partition_col: str = "date") -> None:
@@ -47,14 +33,11 @@ def upsert_latest(batch: DataFrame, target: str, keys: Sequence[str] = ("bond",
     checkpoint_root(spark)
     newest = latest_quote(batch, keys, ts_col)
     cols = newest.columns
-    if _target_exists(spark, target):
-        touched = newest.select(partition_col).distinct()
-        values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-        current = spark.read.parquet(target).select(*cols)
-        if len(values) <= MAX_LISTED_PARTITIONS:
-            old = current.where(F.col(partition_col).isin(values))
-        else:
-            old = current.join(touched, partition_col, "left_semi")
+    # Only a missing folder means "no table yet"; a table that can't be read fails.
+    if path_exists(spark, target):
+        current = spark.read.schema(newest.schema).parquet(target).select(*cols)
+        touched = newest.select(F.col(partition_col).alias("_touched")).distinct()
+        old = current.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
         merged = latest_quote(old.unionByName(newest), keys, ts_col).select(*cols)
     else:
         merged = newest

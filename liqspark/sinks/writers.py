@@ -67,15 +67,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
-              partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Read a JDBC table, split into ``num_partitions`` range queries when a
-    numeric ``partition_column`` and its bounds are given."""
-    if partition_column and num_partitions and lower is not None and upper is not None:
-        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
-                               upperBound=upper, numPartitions=num_partitions,
-                               properties=properties)
-    return spark.read.jdbc(url, table, properties=properties)
+              partition_column: str, lower: int, upper: int, num_partitions: int) -> DataFrame:
+    """Read a JDBC table as ``num_partitions`` range queries on a numeric column.
+    The bounds are required: without them the whole table goes through one task."""
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
+                           upperBound=upper, numPartitions=num_partitions, properties=properties)
 
 
 def console(stream: DataFrame, checkpoint_dir: str, num_rows: int = 20, truncate: bool = False):

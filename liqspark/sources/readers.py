@@ -13,14 +13,18 @@ from pyspark.sql.types import StructType
 from ..schemas import RAW_BONDS, RAW_EXCHANGE, RAW_OTC
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType,
+             min_partitions: int | None = None) -> DataFrame:
     """Header CSV -> the schema's columns, picked by header name (files may carry
     more columns, in any order). Without inference every column is a string,
-    which is what the all-string raw schemas expect."""
+    which is what the all-string raw schemas expect.
+
+    Files are split by ``spark.sql.files.maxPartitionBytes``; only a caller who
+    knows of one large unsplittable file (gzip) asks for ``min_partitions``,
+    which shuffles the whole scan."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     picked = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-    # A compressed daily drop is one unsplittable split: spread it before the work.
-    return balance_scan(picked)
+    return picked.repartition(min_partitions) if min_partitions else picked
 
 
 def read_exchange_quotes(spark: SparkSession, path: str) -> DataFrame:
@@ -35,21 +39,5 @@ def read_bond_list(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, RAW_BONDS)
 
 
-def balance_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow scan over at least ``min_partitions`` tasks.
-
-    A large table arrives in many splits and is returned unchanged (no extra
-    shuffle). A small or unsplittable input (one Parquet row group, a gzip
-    file) arrives as one split, which would run all map-side work - casts,
-    partial aggregates, window expansion - in a single task; it is
-    round-robin repartitioned instead. Only call this on a plain scan: the
-    split count is read from the scan's plan without running a job.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_parquet_table(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    return balance_scan(spark.read.parquet(path), min_partitions)
+def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

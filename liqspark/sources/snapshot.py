@@ -38,9 +38,20 @@ FIELD_MAP = {
 }
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """One snapshot document per line (JSON lines) -> ``value`` column."""
-    return spark.read.text(path)
+def read_snapshots(spark: SparkSession, path: str, fmt: str = "lines") -> DataFrame:
+    """Snapshot documents -> ``value`` column: ``lines`` holds one document per
+    line, ``documents`` one per file (a response as it came, whatever its line
+    breaks)."""
+    if fmt not in ("lines", "documents"):
+        raise ValueError(f"snapshot format must be lines or documents, got {fmt!r}")
+    return spark.read.text(path, wholetext=fmt == "documents")
+
+
+def snapshot_rejects(docs: DataFrame, value_col: str = "value") -> DataFrame:
+    """The documents that ``snapshot_explode`` takes nothing from though they are
+    not empty snapshots: no JSON object, no ``count``, or ``items`` not a list."""
+    env = F.from_json(F.col(value_col), ENVELOPE)
+    return docs.where(env.isNull() | env["count"].isNull() | env["items"].isNull())
 
 
 def snapshot_explode(docs: DataFrame, value_col: str = "value") -> DataFrame:

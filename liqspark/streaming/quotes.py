@@ -44,8 +44,7 @@ def file_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 def windowed_quotes(values: DataFrame, watermark: str = WATERMARK, window: str = WINDOW,
                     slide: str = SLIDE, keep_window: bool = True) -> DataFrame:
-    """Topic values -> watermarked sliding-window aggregate (plain form: a
-    stream allows one stateful aggregation per key here)."""
+    """Topic values -> watermarked sliding-window aggregate."""
     typed = parse_quote_json(values).withWatermark("update_ts", watermark)
     return sliding_window_agg(typed, window, slide, KEYS, "update_ts",
                               preaggregate=False, keep_window=keep_window)

@@ -2,7 +2,7 @@
 
 Production runs use a processing-time trigger and ``awaitAnyTermination``;
 tests and the registered queries use ``availableNow`` (process what is there,
-then stop) with a timeout, and always stop the query.
+then stop) and always stop the query.
 """
 
 from __future__ import annotations
@@ -60,15 +60,16 @@ def _start(stream, out_dir, checkpoint_dir, fmt, output_mode, processing_time, a
 
 
 def run_available_now(stream: DataFrame, out_dir: str | None, checkpoint_dir: str,
-                      fmt: str = "parquet", output_mode: str = "append", timeout_s: int = 900,
+                      fmt: str = "parquet", output_mode: str = "append", timeout_s: float | None = None,
                       foreach_batch=None, options: dict | None = None,
                       state_partitions: int | None = None) -> StreamingQuery:
-    """Process all available input, wait (bounded), stop; raise on failure."""
+    """Process all available input, wait (without a limit unless ``timeout_s`` is given), stop;
+    raise on failure."""
     q = start(stream, out_dir, checkpoint_dir, fmt, output_mode, available_now=True,
               foreach_batch=foreach_batch, options=options, state_partitions=state_partitions)
     try:
-        done = q.awaitTermination(timeout_s)
-        if not done:
+        done = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination()
+        if done is False:
             raise TimeoutError(f"streaming query did not finish in {timeout_s}s")
         err = q.exception()
         if err is not None:
