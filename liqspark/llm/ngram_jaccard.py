@@ -12,8 +12,10 @@ each document the smallest document of its component.
    any l their prefixes of ``a - o + l`` and ``b - o + l`` shingles share at least l. A set
    of n emits ``n - ceil(3 n / 4) + l`` shingles. l starts at 1 and grows with the estimated
    number of candidates that the prefix would meet; a pair must share min(l of both).
-4. Each posting list first proposes neighbours in size order only, the best one for each
-   class (linear in the postings). Verified links make provisional components, which swallow
+4. Each posting list first proposes two partners for each class: its neighbour in size order,
+   and the class with the fewest rarer shingles before the list's own (of a group of near
+   copies, the one with the fewest edits). Each class keeps the best of either kind, so the
+   work is linear in the postings. Verified links make provisional components, which swallow
    large groups of near copies.
 5. Only lists that still hold two components propose pairs, and only across components;
    pairs with enough shared prefix shingles are verified. Nothing is lost: a pair inside one
@@ -110,7 +112,12 @@ def _sketch(sets: DataFrame, bits: int) -> np.ndarray:
     return counts.reshape(-1)
 
 
-def prefix_of(tokens: np.ndarray, counts: np.ndarray, most_extra: int = MOST_EXTRA):
+def usual_level(counts: np.ndarray) -> float:
+    """What a counter of the sketch holds without any common shingle."""
+    return counts.mean() * 1.5 + 8
+
+
+def prefix_of(tokens: np.ndarray, counts: np.ndarray, usual: float, most_extra: int = MOST_EXTRA):
     """The prefix of one set in rare-first order, its l, and the estimates of its shingles.
 
     The estimated candidate cost is what the base prefix's lists hold above the sketch's
@@ -121,7 +128,6 @@ def prefix_of(tokens: np.ndarray, counts: np.ndarray, most_extra: int = MOST_EXT
     order = np.lexsort((tokens, guess))
     n = len(tokens)
     base = n - (3 * n + 3) // 4 + 1
-    usual = counts.mean() * 1.5 + 8
     cost = np.maximum(guess[order[:base]] - usual, 0).sum()
     need = 1 + min(most_extra - 1, int(np.log2(1 + cost / 64)), n - base)
     chosen = order[: base + need - 1]
@@ -133,7 +139,7 @@ def _postings_task(ngram: int, counts_of):
 
     def run(batches):
         hasher, counts = H.PrefixHasher(), counts_of.value
-        usual, seen = 2 * counts.mean() + 8, set()
+        usual, seen = usual_level(counts), set()
         for batch in batches:
             texts = _texts(batch.column(1))
             for _, part in H.groups(texts):
@@ -146,7 +152,7 @@ def _postings_task(ngram: int, counts_of):
                     if len(seen) >= RECENT:
                         seen.clear()
                     seen.add(c)
-                    prefix, need, guess = prefix_of(tokens, counts)
+                    prefix, need, guess = prefix_of(tokens, counts, usual)
                     k = len(prefix)
                     lots = np.maximum(guess - usual, 0).astype(np.int64) // HOT_LIST
                     rows.append((prefix.view(np.int64), np.full(k, c, np.int64),
@@ -170,9 +176,9 @@ def _verify_task(ngram: int):
         hasher = H.PrefixHasher()
         for batch in batches:
             a, b, left, right = (batch.column(k).to_pylist() for k in range(4))
+            sets = H.shingle_sets([zlib.decompress(t) for pair in zip(left, right) for t in pair], ngram, hasher)
             keep = []
-            for k in range(len(a)):
-                x, y = H.shingle_sets([zlib.decompress(left[k]), zlib.decompress(right[k])], ngram, hasher)
+            for x, y in zip(sets[::2], sets[1::2]):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()).filter(pa.array(keep, pa.bool_())) for v in (a, b)], names=["a", "b"])
@@ -209,14 +215,17 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     postings = source.mapInArrow(_postings_task(ngram, counts_of), POSTINGS)
     by_list = Window.partitionBy("token", "salt").orderBy("shape", "class_id")
     fresh = postings.withColumn("last", F.lag("class_id").over(by_list)).where("last is null or last <> class_id")
+    by_rank = Window.partitionBy("token", "salt").orderBy(F.col("shape").bitwiseAND(F.lit((1 << RANK_BITS) - 1)), "class_id")
     live = stored(fresh.withColumn("next", F.lead("class_id").over(by_list))
                   .where("last is not null or next is not null or salt > 0")
-                  .select("token", "class_id", "shape", "need", "last"), "postings")
-
-    # First links: the neighbour that shares most lists with the class.
-    near = (live.where("last is not null").groupBy("class_id", "last").count()
-            .groupBy("class_id").agg(F.max_by("last", F.struct("count", "last")).alias("last"))
-            .select(F.col("last").alias("a"), F.col("class_id").alias("b")))
+                  .select("token", "class_id", "shape", "need", "last", F.first("class_id").over(by_rank).alias("leader")), "postings")
+
+    # First links: the neighbour and the leader that share most lists with the class.
+    partners = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("other")) for k, c in enumerate(("last", "leader"))]))
+    near = (live.select("class_id", partners.alias("p")).select("class_id", "p.kind", "p.other").where("other <> class_id")
+            .groupBy("class_id", "kind", "other").count()
+            .groupBy("class_id", "kind").agg(F.max_by("other", F.struct("count", "other")).alias("other"))
+            .select(F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b")).distinct())
     taking_part = live.select("class_id").distinct()
     holders = (rows.where("n_shingles > 0 and doc_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"))
                .join(taking_part, "class_id", "left_semi"))
