@@ -631,6 +631,7 @@ def q_late_rows_dropped(spark, sf_dir):
     kind = F.col("event_type")
     _land(spark, sf_dir, folder, [kind == "view", kind == "click", ~kind.isin("view", "click")])
     out = _run_stream(spark, windowed_quotes(_landed_stream(spark, folder)), "late-windows")
+    S.remove_scratch(spark, folder)
     return _round_sum(to_wall_clock(out))
 
 
@@ -648,6 +649,7 @@ def q_restart_from_checkpoint(spark, sf_dir):
         _land(spark, sf_dir, folder, [part])
         run_available_now(windowed_quotes(_landed_stream(spark, folder)), out, f"{out}/_checkpoint",
                           state_partitions=_state_partitions(spark))
+    S.remove_scratch(spark, folder)
     return _round_sum(to_wall_clock(spark.read.parquet(out)))
 
 
@@ -662,11 +664,13 @@ def q_upsert_latest(spark, sf_dir):
     from ..sinks.upsert import upsert_writer
     from ..streaming.quotes import to_wall_clock
     from ..streaming.runner import run_available_now
-    folder, target = S.scratch_dir(spark, "upsert-landing"), S.scratch_dir(spark, "upsert-table")
+    folder, target, progress = (S.scratch_dir(spark, f"upsert-{x}") for x in ("landing", "table", "checkpoint"))
     kind = F.col("event_type")
     _land(spark, sf_dir, folder, [kind.isin("view", "error"), kind == "click", ~kind.isin("view", "error", "click")])
-    run_available_now(parse_quote_json(_landed_stream(spark, folder)), None, S.scratch_dir(spark, "upsert-checkpoint"),
+    run_available_now(parse_quote_json(_landed_stream(spark, folder)), None, progress,
                       output_mode="update", foreach_batch=upsert_writer(target))
+    for used in (folder, progress):
+        S.remove_scratch(spark, used)
     names = ["bond", "tg", "date", "volume_money", "bid", "ask", "overturn", "update_ts"]
     return to_wall_clock(spark.read.parquet(target)).select(*names)
 
