@@ -17,8 +17,11 @@ each document the smallest document of its component.
    copies, the one with the fewest edits). Each class keeps the best of either kind, so the
    work is linear in the postings. Verified links make provisional components, which swallow
    large groups of near copies.
-5. Only lists that still hold two components propose pairs, and only across components;
-   pairs with enough shared prefix shingles are verified. Nothing is lost: a pair inside one
+5. Only lists that still hold two components propose pairs, and only across components, and
+   only where the places of the shared shingle leave room for ``o`` common ones: before it at
+   most as many as either prefix shares with any class (a shingle that no other prefix holds
+   can't be in a set whose prefix reaches past it), from it on what the shorter rest holds.
+   Pairs with enough shared prefix shingles are verified. Nothing is lost: a pair inside one
    component needs no link, every other pair above the threshold meets the prefix bound.
 
 Shingles and classes are told apart by 64-bit hashes; verification compares hashed sets.
@@ -237,18 +240,21 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     known = stored(connected_components(first), "known")
 
     # The rest: pairs across components from lists that hold more than one.
+    rank = F.col("shape").bitwiseAND(F.lit((1 << RANK_BITS) - 1))
     placed = (live.join(known.select(F.col("node").alias("class_id"), "component"), "class_id", "left")
-              .withColumn("component", F.coalesce("component", "class_id")))
+              .withColumns({"component": F.coalesce("component", "class_id"),
+                            "before": F.row_number().over(Window.partitionBy("class_id").orderBy(rank)) - 1}))
     mixed = placed.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
     open_lists = stored(placed.join(mixed.select("token"), "token", "left_semi")
-                        .select("token", "class_id", "component", "need", F.shiftright("shape", RANK_BITS).alias("n"),
-                                F.col("shape").bitwiseAND(F.lit((1 << RANK_BITS) - 1)).alias("rank")), "open")
+                        .select("token", "class_id", "component", "need", "before", F.shiftright("shape", RANK_BITS).alias("n"),
+                                rank.alias("rank")), "open")
     x, y = (open_lists.select(*[F.col(c).alias(c if c == "token" else f"{c}_{s}") for c in open_lists.columns]) for s in "xy")
     share = F.expr("(3 * (n_x + n_y) + 6) div 7")
     need = F.least("need_x", "need_y")
     pairs = (x.join(y, "token")
              .where("component_x <> component_y and class_id_x < class_id_y and 4 * n_x >= 3 * n_y and 4 * n_y >= 3 * n_x")
              .where((F.col("rank_x") < F.col("n_x") - share + need) & (F.col("rank_y") < F.col("n_y") - share + need))
+             .where(F.least("before_x", "before_y") + F.least(F.col("n_x") - F.col("rank_x"), F.col("n_y") - F.col("rank_y")) >= share)
              .groupBy(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"))
              .agg(F.count("*").alias("shared"), F.first(need).alias("need")).where("shared >= need"))
     second = _verified(pairs, texts, ngram)
