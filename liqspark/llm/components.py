@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import Scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,15 +30,15 @@ def _settled(edges: DataFrame) -> bool:
     return ends.groupBy("n").agg(F.sum("go").alias("go"), F.max("come").alias("come")).where("go > 1 or go = 1 and come = 1").isEmpty()
 
 
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of the edge table (a, b): ``component`` is the
     smallest node that can be reached. Nulls and loops are left out. The stars are repeated
-    until all components are stars, about log(n) rounds; every round is a table in shared
-    storage.
+    until all components are stars, about log(n) rounds; every round is a table of
+    ``scratch``, and the last is read by the result.
     """
-    state = stored(edges.where("a is not null and b is not null and a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    state = scratch.table(edges.where("a is not null and b is not null and a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components")
     while not _settled(state):
-        state = stored(_star(_star(state, large=True), large=False).distinct(), name)
+        state = scratch.table(_star(_star(state, large=True), large=False).distinct(), "components")
     return state.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import hashing as H
 from .components import connected_components
-from .tables import shuffle_partitions, stored, text_of
+from .tables import Scratch, stored, text_of
 
 NGRAM = 5
 SKETCH_BITS = 20
@@ -208,7 +208,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id are linked only if they are alike. Other columns are ignored. An empty table gives an
     empty result.
     """
-    spark = docs.sparkSession
+    spark, scratch = docs.sparkSession, Scratch()
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(docs, text_col).alias("text"))
     sets = stored(source.withColumn("text_id", F.xxhash64("text")).mapInArrow(_sets_task(ngram, sketch_bits), SETS), "sets")
     rows = sets.where("part < 0").select("doc_id", "text_id", "n_shingles", "class_id")
@@ -219,7 +219,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by_list = Window.partitionBy("token", "salt").orderBy("shape", "class_id")
     fresh = postings.withColumn("last", F.lag("class_id").over(by_list)).where("last is null or last <> class_id")
     by_rank = Window.partitionBy("token", "salt").orderBy(F.col("shape").bitwiseAND(F.lit((1 << RANK_BITS) - 1)), "class_id")
-    live = stored(fresh.withColumn("next", F.lead("class_id").over(by_list))
+    live = scratch.table(fresh.withColumn("next", F.lead("class_id").over(by_list))
                   .where("last is not null or next is not null or salt > 0")
                   .select("token", "class_id", "shape", "need", "last", F.first("class_id").over(by_rank).alias("leader")), "postings")
 
@@ -234,10 +234,10 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .join(taking_part, "class_id", "left_semi"))
     # Texts under one id may differ, so the set behind each text is looked at again.
     packed = source.where("doc_id is not null").mapInArrow(_packed_task, "doc_id bigint, packed binary")
-    texts = stored(packed.join(holders.hint("shuffle_hash"), "doc_id")
+    texts = scratch.table(packed.join(holders.hint("shuffle_hash"), "doc_id")
                    .mapInArrow(_right_set(ngram), "class_id bigint, packed binary"), "texts")
-    first = stored(_verified(near, texts, ngram), "links")
-    known = stored(connected_components(first), "known")
+    first = scratch.table(_verified(near, texts, ngram), "links")
+    known = connected_components(first, scratch)
 
     # The rest: pairs across components from lists that hold more than one.
     rank = F.col("shape").bitwiseAND(F.lit((1 << RANK_BITS) - 1))
@@ -245,7 +245,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .withColumns({"component": F.coalesce("component", "class_id"),
                             "before": F.row_number().over(Window.partitionBy("class_id").orderBy(rank)) - 1}))
     mixed = placed.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q")
-    open_lists = stored(placed.join(mixed.select("token"), "token", "left_semi")
+    open_lists = scratch.table(placed.join(mixed.select("token"), "token", "left_semi")
                         .select("token", "class_id", "component", "need", "before", F.shiftright("shape", RANK_BITS).alias("n"),
                                 rank.alias("rank")), "open")
     x, y = (open_lists.select(*[F.col(c).alias(c if c == "token" else f"{c}_{s}") for c in open_lists.columns]) for s in "xy")
@@ -258,12 +258,13 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .groupBy(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"))
              .agg(F.count("*").alias("shared"), F.first(need).alias("need")).where("shared >= need"))
     second = _verified(pairs, texts, ngram)
-    parts = connected_components(stored(first.union(second), "links"))
+    parts = connected_components(scratch.table(first.union(second), "links"), scratch)
 
     # Back to documents: a component is named by the smallest doc_id of its classes.
     classes = (rows.where("n_shingles > 0").groupBy("class_id").agg(F.min("doc_id").alias("least"))
                .join(parts.withColumnRenamed("node", "class_id"), "class_id", "left"))
     classes = stored(classes.withColumn("component", F.coalesce("component", "class_id")), "classes")
+    scratch.clear()
     names = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(names, "component").select("class_id", "least", "component_id")
     empty = F.col("n_shingles") == 0

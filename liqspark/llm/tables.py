@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import prepare, scratch_dir
+from ..session import prepare, remove_scratch, scratch_dir
 
 BATCH_ROWS = 500  # texts that a Python task holds at a time
 
@@ -20,10 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read again: lineage is
     cut in storage that outlives any executor."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Scratch().table(df, name)
+
+
+class Scratch:
+    """Stored tables that an operator needs only until its result is stored itself."""
+
+    def __init__(self):
+        self.held = []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = scratch_dir(spark, f"llm-{name}")
+        df.write.parquet(path)
+        self.held.append((spark, path))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete the tables; call it when no result is still to be read from them."""
+        for spark, path in self.held:
+            remove_scratch(spark, path)
+        self.held = []
 
 
 def text_of(df: DataFrame, text_col: str = "text"):

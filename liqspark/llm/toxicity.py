@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .tables import stored, text_of
+from .tables import Scratch, text_of
 
 HEADS = (6, 4)
 # Prior tokens and drift, picked on fold 3 with models of folds 0 and 1 (sf0.1), so without
@@ -197,7 +197,7 @@ def _fold(doc_id):
 def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_TOKENS, most_labels: int = MOST_LABELS) -> ToxicityModel:
     """Fits the model on the labelled rows that are not held out (three folds of four). Rows without a label are
     not used; of several labels of one document the highest counts."""
-    spark = docs.sparkSession
+    spark, scratch = docs.sparkSession, Scratch()
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
@@ -208,7 +208,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
     counts = learnt.mapInArrow(_count_task, "key bigint, fold int, toxic bigint, total bigint").groupBy("key").agg(
         *[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS],
         F.sum("toxic").alias("toxic"), F.sum("total").alias("total")).where("toxic > 0")
-    counts = stored(counts, "tokens")
+    counts = scratch.table(counts, "tokens")
     sizes = counts.groupBy(F.least("toxic", F.lit(1000)).alias("toxic")).count().orderBy(F.desc("toxic")).collect()
     least, room = 1001, most_tokens
     for row in sizes:  # the lowest count at which all tokens still fit
@@ -230,7 +230,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
     model = fitted(FOLDS)
     others = {g: fitted([f for f in FOLDS if f != g]) for g in FOLDS}
     best = learnt.mapInArrow(_best_task(spark.sparkContext.broadcast(others)), "toxic int, tokens bigint, scores array<double>")
-    best = stored(best, "best")
+    best = scratch.table(best, "best")
     clean = best.where("toxic = 0 and tokens > 0").withColumn("top", F.coalesce(F.array_max("scores"), F.lit(0.0)))
     law = clean.agg(F.stddev("top").alias("sd"), F.avg("top").alias("top"), F.avg(F.log("tokens")).alias("logs")).first()
     if law["sd"]:
@@ -238,6 +238,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
         model.shift = model.scale * law["top"] - law["logs"] - EULER
     bins = best.mapInArrow(_evidence_task(model.scale, model.shift), "toxic int, x double").groupBy("x", "toxic").count().collect()
     model.slope, model.intercept = _logistic([(r["x"], r["toxic"], r["count"]) for r in bins])
+    scratch.clear()
     return model
 
 

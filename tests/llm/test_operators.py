@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 from liqspark.llm import chat, components, fingerprint, mixing, ngram_jaccard, pieces, quality, queries, running, secrets, toxicity, url_filter, warc
+from liqspark.llm.tables import Scratch
 
 
 def rows_of(df, *columns):
@@ -126,7 +127,7 @@ def test_jaccard_odd_rows(spark, odd, empty):
 
 def test_connected_components_of_a_long_chain(spark):
     edges = spark.range(200).selectExpr("id as a", "id + 1 as b").union(spark.sql("select 500L, 501L union all select 7L, 7L union all select null, 3L"))
-    got = dict(rows_of(components.connected_components(edges), "node", "component"))
+    got = dict(rows_of(components.connected_components(edges, Scratch()), "node", "component"))
     assert got == {n: 0 for n in range(201)} | {500: 500, 501: 500}
 
 
@@ -247,6 +248,11 @@ def test_fingerprint_odd_rows(spark, odd, empty):
     assert alone.near_next == 1.0
 
 
+def test_fingerprint_boundaries():
+    assert fingerprint.boundaries(np.array([5, 30]), 37, 10).tolist() == [0, 5, 15, 25, 30, 37]
+    assert fingerprint.boundaries(np.array([], int), 0, 4).tolist() == [0, 0] and fingerprint.boundaries(np.array([9]), 9, 4).tolist() == [0, 4, 8, 9]
+
+
 def test_likeness():
     assert fingerprint.common_length("ABCD", "xAyCzD") == 3 and fingerprint.likeness("4:ABCDEF:GH", "4:ABCDEF:GH") == 1.0
     assert fingerprint.likeness("4:ABCDEFG:XY", "16:ABCDEFG:XY") == 0.0
