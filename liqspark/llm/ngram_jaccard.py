@@ -21,7 +21,8 @@ each document the smallest document of its component.
    only where the places of the shared shingle leave room for ``o`` common ones: before it at
    most as many as either prefix shares with any class (a shingle that no other prefix holds
    can't be in a set whose prefix reaches past it), from it on what the shorter rest holds.
-   Pairs with enough shared prefix shingles are verified. Nothing is lost: a pair inside one
+   Every linked pair meets in the base prefixes (l = 1), so only their lists are searched; a
+   pair found there is verified if the prefixes lengthened to l share l shingles. Nothing is lost: a pair inside one
    component needs no link, every other pair above the threshold meets the prefix bound.
 
 Shingles and classes are told apart by 64-bit hashes; verification compares hashed sets.
@@ -250,13 +251,20 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                 rank.alias("rank")), "open")
     x, y = (open_lists.select(*[F.col(c).alias(c if c == "token" else f"{c}_{s}") for c in open_lists.columns]) for s in "xy")
     share = F.expr("(3 * (n_x + n_y) + 6) div 7")
-    need = F.least("need_x", "need_y")
-    pairs = (x.join(y, "token")
-             .where("component_x <> component_y and class_id_x < class_id_y and 4 * n_x >= 3 * n_y and 4 * n_y >= 3 * n_x")
-             .where((F.col("rank_x") < F.col("n_x") - share + need) & (F.col("rank_y") < F.col("n_y") - share + need))
-             .where(F.least("before_x", "before_y") + F.least(F.col("n_x") - F.col("rank_x"), F.col("n_y") - F.col("rank_y")) >= share)
-             .groupBy(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"))
-             .agg(F.count("*").alias("shared"), F.first(need).alias("need")).where("shared >= need"))
+    met = (x.join(y, "token")
+           .where("component_x <> component_y and class_id_x < class_id_y and 4 * n_x >= 3 * n_y and 4 * n_y >= 3 * n_x")
+           .where((F.col("rank_x") <= F.col("n_x") - share) & (F.col("rank_y") <= F.col("n_y") - share))
+           .where(F.least("before_x", "before_y") + F.least(F.col("n_x") - F.col("rank_x"), F.col("n_y") - F.col("rank_y")) >= share)
+           .select(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"), "n_x", "n_y", F.least("need_x", "need_y").alias("need"),
+                   share.alias("share")).distinct())
+    met = scratch.table(met, "met")
+    wanted = met.select(F.col("a").alias("class_id")).union(met.select("b")).distinct()
+    prefixes = (live.join(wanted, "class_id", "left_semi").groupBy("class_id")
+                .agg(F.collect_list(F.struct(rank.alias("rank"), "token")).alias("held")))
+    upto = lambda held, n: F.transform(F.filter(held, lambda h: h["rank"] < F.col(n) - F.col("share") + F.col("need")), lambda h: h["token"])
+    pairs = (met.join(prefixes.select(F.col("class_id").alias("a"), F.col("held").alias("held_x")), "a")
+             .join(prefixes.select(F.col("class_id").alias("b"), F.col("held").alias("held_y")), "b")
+             .where(F.size(F.array_intersect(upto("held_x", "n_x"), upto("held_y", "n_y"))) >= F.col("need")))
     second = _verified(pairs, texts, ngram)
     parts = connected_components(scratch.table(first.union(second), "links"), scratch)
 
