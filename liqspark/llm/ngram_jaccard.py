@@ -258,9 +258,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
            .select(F.col("class_id_x").alias("a"), F.col("class_id_y").alias("b"), "n_x", "n_y", F.least("need_x", "need_y").alias("need"),
                    share.alias("share")).distinct())
     met = scratch.table(met, "met")
-    wanted = met.select(F.col("a").alias("class_id")).union(met.select("b")).distinct()
-    prefixes = (live.join(wanted, "class_id", "left_semi").groupBy("class_id")
-                .agg(F.collect_list(F.struct(rank.alias("rank"), "token")).alias("held")))
+    prefixes = live.groupBy("class_id").agg(F.collect_list(F.struct(rank.alias("rank"), "token")).alias("held"))
     upto = lambda held, n: F.transform(F.filter(held, lambda h: h["rank"] < F.col(n) - F.col("share") + F.col("need")), lambda h: h["token"])
     pairs = (met.join(prefixes.select(F.col("class_id").alias("a"), F.col("held").alias("held_x")), "a")
              .join(prefixes.select(F.col("class_id").alias("b"), F.col("held").alias("held_y")), "b")
