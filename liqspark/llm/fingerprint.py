@@ -3,8 +3,9 @@
 A rolling hash over seven bytes ends a chunk wherever it falls into one of ``b`` classes, so
 the places depend on the text near them only. Every chunk gives one of 64 signs; a
 fingerprint is ``b:signs:signs at 2b``. ``b`` is the power of two that leaves about 24 to 48
-chunks; what follows the 63rd boundary is one chunk, so a signature has at most 64 signs.
-Two fingerprints compare by edit distance where they share a block size.
+chunks; a chunk that grows to ``2b`` without a boundary ends there, so that a text which
+repeats a few words has chunks too; what follows the 63rd boundary is one chunk, so a signature
+has at most 64 signs. Two fingerprints compare by edit distance where they share a block size.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from .tables import shuffle_partitions, stored, text_of
 
 ROLL = 7
 CHUNKS = 48
+LONGEST = 2  # blocks in a chunk
 MOST_SIGNS = 64
 COMMON = 5  # signs in a row that alike signatures share
 SIGNS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -34,6 +36,16 @@ def block_bits(n_bytes: int) -> int:
     return bits
 
 
+def boundaries(ends: np.ndarray, n: int, longest: int) -> np.ndarray:
+    """0, the given ends, further ones in every gap longer than ``longest``, and n."""
+    edge = np.concatenate(([0], ends[ends < n], [n])).astype(np.int64)
+    more = np.maximum(np.diff(edge) - 1, 0) // longest
+    if not more.any():
+        return edge
+    step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    return np.sort(np.concatenate((edge, np.repeat(edge[:-1], more) + step * longest)))
+
+
 def fingerprints(texts: list[bytes], hasher: H.PrefixHasher) -> list[str]:
     """The fingerprint of every text; equal texts have equal ones."""
     out = []
@@ -48,9 +60,10 @@ def fingerprints(texts: list[bytes], hasher: H.PrefixHasher) -> list[str]:
             signs = []
             for level in (bits, bits + 1):
                 top = H.U64((1 << level) - 1)
-                ends = np.flatnonzero((mine >> H.U64(64 - level)) == top) + ROLL
-                ends = ends[: MOST_SIGNS - 1]
-                edge = np.concatenate(([0], ends, [n] if not len(ends) or ends[-1] < n else [])).astype(np.int64) + a
+                edge = boundaries(np.flatnonzero((mine >> H.U64(64 - level)) == top) + ROLL, n, LONGEST << level)
+                if len(edge) > MOST_SIGNS + 1:
+                    edge = np.append(edge[:MOST_SIGNS], n)
+                edge = edge + a
                 signs.append(SIGNS[(hasher.span(sums, edge[:-1], edge[1:]) >> H.U64(58)).astype(np.int64)].tobytes().decode() if n else "")
             out.append(f"{1 << bits}:{signs[0]}:{signs[1]}")
     return out
