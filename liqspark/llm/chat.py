@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .running import join_same, running_total
+from .running import running_total
 
 SLOT_TURNS = 256
 UNNAMED = "unknown"
+CLOSE = "<|im_end|>\n"
 
 
 def rotate_perspectives(turns: DataFrame, slot_turns: int = SLOT_TURNS) -> DataFrame:
@@ -29,21 +30,23 @@ def rotate_perspectives(turns: DataFrame, slot_turns: int = SLOT_TURNS) -> DataF
     repeated turns stay repeated, a null conv_id is a conversation of its own. Other columns
     are ignored; an empty table gives an empty result.
     """
-    said = turns.select("conv_id", "turn", F.coalesce("role", F.lit(UNNAMED)).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
-    present = (said.where("speaker <> 'system'").groupBy("conv_id")
+    text = F.coalesce("text", F.lit(""))
+    said = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("key"), "turn",
+                        F.coalesce("role", F.lit(UNNAMED)).alias("speaker"), text.alias("text"), F.length(text).alias("n"))
+    present = (said.where("speaker <> 'system'").groupBy("key")
                .agg(F.array_sort(F.collect_set("speaker")).alias("speakers")))
-    seen = join_same(said, present, ["conv_id"]).select("conv_id", "turn", "speaker", "text", F.explode("speakers").alias("perspective"))
+    seen = said.join(present, "key").select(*said.columns, F.explode("speakers").alias("perspective"))
     own = F.col("speaker") == F.col("perspective")
     system = F.col("speaker") == "system"
     role = F.when(system, "system").when(own, "assistant").otherwise("user")
     name = F.when(~own & ~system, F.col("speaker"))
     head = F.concat(F.lit("<|im_start|>"), F.col("role"), F.when(F.col("name").isNotNull(), F.concat(F.lit(" name="), F.col("name"))).otherwise(F.lit("")), F.lit("\n"))
     seen = seen.withColumns({"role": role, "name": name}).withColumn("head", head)
-    seen = seen.withColumn("segment", F.concat("head", "text", F.lit("<|im_end|>\n")))
-    seen = seen.withColumns({"size": F.length("segment"), "slot": F.floor(F.coalesce("turn", F.lit(0)) / slot_turns)})
+    seen = seen.withColumns({"size": F.length("head") + F.col("n") + len(CLOSE), "slot": F.floor(F.coalesce("turn", F.lit(0)) / slot_turns)})
     order = [F.col("turn").asc_nulls_first(), F.col("speaker"), F.col("text")]
-    placed = running_total(seen, ["conv_id", "perspective"], "slot", order, "size", "seg_end")
+    placed = running_total(seen, ["key", "perspective"], "slot", order, "size", "seg_end")
+    segment = F.concat("head", "text", F.lit(CLOSE)).alias("segment")
     start = F.col("seg_end") - F.col("size")
     own = F.col("role") == "assistant"
-    return placed.select("conv_id", "perspective", "turn", "role", "name", "segment", start.alias("seg_start"), "seg_end",
+    return placed.select("conv_id", "perspective", "turn", "role", "name", segment, start.alias("seg_start"), "seg_end",
                          F.when(own, F.concat_ws(":", start + F.length("head"), F.col("seg_end") - 1)).otherwise("").alias("mask"))

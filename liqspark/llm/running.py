@@ -19,11 +19,12 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 def running_total(df: DataFrame, keys: list[str], slot: str, order: list, value: str, out: str) -> DataFrame:
     """Adds ``out``, the sum of ``value`` over the rows of the same ``keys`` up to and with
     this one, by ``slot`` and then ``order``. ``slot`` rises with the order and splits a key
-    that holds many rows; only one row a slot is looked at beyond it. ``df`` is read twice."""
+    that holds many rows; only one row a slot is looked at beyond it. Keys and slots must not
+    be null, so that the rows stay where the window has put them. ``df`` is read twice."""
     sums = df.groupBy(*keys, slot).agg(F.sum(value).alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select(*keys, slot, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*keys, slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = df.withColumn(out, F.sum(value).over(inside))
-    joined = join_same(local, before, [*keys, slot])
-    return joined.withColumn(out, F.col(out) + F.col("_before")).drop("_before")
+    joined = local.join(before, [*keys, slot])
+    return joined.select(*df.columns, (F.col(out) + F.col("_before")).alias(out))
