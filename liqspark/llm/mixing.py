@@ -69,7 +69,9 @@ def mix_packets(sized: DataFrame, seed: str = "mix", most: int = MOST, **shares)
     packets = packets.withColumn("offered", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), limit - F.col("begin"))))
     packets = packets.where("copy = 0 OR offered > 0")
     finish = F.when(F.col("offered") > 0, (F.col("begin") + F.col("offered")) / F.col("target")).otherwise(F.lit(1.0))
-    packets = packets.withColumn("finish", finish).withColumn("time", F.floor(F.col("finish") * SLOTS).cast("int"))
+    packets = packets.withColumn("finish", finish)
+    # Packets without words come after all others, spread by their place in the shuffle.
+    packets = packets.withColumn("time", F.when(F.col("offered") > 0, F.floor(F.col("finish") * SLOTS)).otherwise(SLOTS + 1 + F.col("slot")))
     packets = running_total(packets, [], "time", [F.col("finish"), F.col("number"), F.col("copy"), *order], "offered", "running")
     budget = targets.agg(F.floor(F.sum("target")).alias("budget"))
     packets = packets.join(F.broadcast(budget))  # one row
