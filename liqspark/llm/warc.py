@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .running import join_same
 from .url_filter import canonical_url
 
 SLOTS = 4096
@@ -72,7 +71,7 @@ def resolve_revisits(records: DataFrame, renewed=RENEWED, slots: int = SLOTS) ->
     carried = last.select(*key, F.max("last").over(earlier).alias("carried"))
     inside = Window.partitionBy(*key).orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
     asked = usable.withColumn("near", F.max("response").over(inside)).where("kind = 'revisit'")
-    found = join_same(asked, carried, key).select(
+    found = asked.join(carried, key).select(
         "record_id", "canonical", "etag", "last_modified", "headers", F.coalesce("near", "carried").alias("r"))
     lost = events.where("kind = 'revisit' and (canonical is null or time is null)").select(
         "record_id", "canonical", "etag", "last_modified", "headers", F.lit(None).cast(found.schema["r"].dataType).alias("r"))
