@@ -54,10 +54,11 @@ def _pieces(pattern: str, group: int = 0):
 
 
 def find_parts(docs: DataFrame, key: list[str]) -> DataFrame:
-    """``key``, kind, start, end of every part in ``docs`` (``key``, text)."""
+    """``key``, kind, start, end of every part in ``docs`` (``key``, text). Rows that share the
+    key share their text, and their parts are listed once: repeated, they would be summed twice."""
     wanted = [("assign", ASSIGN, 2), ("access", ACCESS, 0), ("hex", HEX, 0), *((n, p, 0) for n, p in PARTS)]
     arrays = stored(docs.select(*key, *[_pieces(p, g).alias(n) for n, p, g in wanted])
-                    .where(" OR ".join(f"size({n}) > 0" for n, _, _ in wanted)), "parts")
+                    .where(" OR ".join(f"size({n}) > 0" for n, _, _ in wanted)).dropDuplicates(key), "parts")
     rows = None
     for name, _, _ in wanted:
         one = arrays.where(f"size({name}) > 0").select(*key, F.lit(name).alias("kind"), F.posexplode(name).alias("pos", "x"))
@@ -86,7 +87,7 @@ def link_parts(parts: DataFrame, key: list[str], scope: int = SCOPE) -> DataFram
 
 def find_secrets(docs: DataFrame, key: list[str], scope: int = SCOPE) -> DataFrame:
     """``key``, kind, start, end of the base secrets and the linked weak ones."""
-    parts = stored(find_parts(docs, key), "spans").distinct()
+    parts = stored(find_parts(docs, key), "spans")
     return parts.where(F.col("kind").isin(*BASE)).unionByName(link_parts(parts, key, scope))
 
 
