@@ -12,9 +12,9 @@
    in clean text). A document's evidence is the sum over its significant segments, and a
    logistic curve on it gives the score.
 
-Bounds: the log-odds table keeps at most ``MOST_TOKENS`` tokens (those most often in toxic
-documents), and at most about ``MOST_LABELS`` labelled rows are learnt from, picked by a hash of
-the id; every document is scored whole.
+Bounds: the log-odds table keeps at most ``MOST_TOKENS`` tokens of toxic documents (those most
+often in them) and every token that lies in clean ones only, and at most about ``MOST_LABELS``
+labelled rows are learnt from, picked by a hash of the id; every document is scored whole.
 """
 
 from __future__ import annotations
@@ -207,25 +207,28 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
 
     counts = learnt.mapInArrow(_count_task, "key bigint, fold int, toxic bigint, total bigint").groupBy("key").agg(
         *[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS],
-        F.sum("toxic").alias("toxic"), F.sum("total").alias("total")).where("toxic > 0")
+        F.sum("toxic").alias("toxic"), F.sum("total").alias("total"))
     counts = scratch.table(counts, "tokens")
-    sizes = counts.groupBy(F.least("toxic", F.lit(1000)).alias("toxic")).count().orderBy(F.desc("toxic")).collect()
+    sizes = counts.where("toxic > 0").groupBy(F.least("toxic", F.lit(1000)).alias("toxic")).count().orderBy(F.desc("toxic")).collect()
     least, room = 1001, most_tokens
     for row in sizes:  # the lowest count at which all tokens still fit
         room -= row["count"]
         if room < 0:
             break
         least = row["toxic"]
-    table = counts.where(F.col("toxic") >= least).toPandas()
+    # A token of clean documents only counts too: without it the rate of its prefix would stand for it.
+    table = counts.where((F.col("toxic") >= least) | (F.col("toxic") == 0)).drop("toxic", "total").toArrow()
     sums = learnt.mapInArrow(_share_task, "fold int, toxic bigint, total bigint").groupBy("fold").agg(F.sum("toxic"), F.sum("total")).collect()
     sizes = {row[0]: (row[1], row[2]) for row in sums}
-    keys = table["key"].to_numpy(np.int64).view(np.uint64)
+    keys = table["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
+    keys = keys[order]
 
     def fitted(folds) -> ToxicityModel:
         toxic, total = ([sum(sizes.get(g, (0, 0))[k] for g in folds) for k in (0, 1)])
-        columns = [sum(table[f"{c}_{g}"].to_numpy(np.float64) for g in folds)[order] for c in ("toxic", "total")]
-        return ToxicityModel(keys[order], *columns, toxic / max(1, total))
+        columns = [sum(table[f"{c}_{g}"].to_numpy() for g in folds)[order] for c in ("toxic", "total")]
+        columns = [c.astype(np.min_scalar_type(c.max(initial=0))) for c in columns]  # exact, in as few bytes as hold the counts
+        return ToxicityModel(keys, *columns, toxic / max(1, total))
 
     model = fitted(FOLDS)
     others = {g: fitted([f for f in FOLDS if f != g]) for g in FOLDS}

@@ -1,6 +1,7 @@
 """Odd rows, empty tables, hot groups and the parts of operators that queries don't reach."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import brute
 from liqspark.llm import chat, components, fingerprint, mixing, ngram_jaccard, pieces, quality, queries, running, secrets, toxicity, url_filter, warc
+from liqspark.llm import hashing as H
 from liqspark.llm.tables import Scratch
 
 
@@ -177,6 +179,34 @@ def test_toxicity_odd_rows(spark, odd, empty):
     assert toxicity.score_toxicity(odd, blank).select("score").distinct().count() == 1
 
 
+def learnt_ids(n):
+    """``n`` ids from 1 on that are not held out."""
+    return [d for d in range(1, 3 * n + 9) if zlib.crc32(str(d).encode()) % 4 != 2][:n]
+
+
+def test_toxicity_keeps_the_counts_of_clean_words(spark):
+    """Words of clean documents only, with a toxic word's prefix and without, and a word of both."""
+    ids = learnt_ids(60)
+    texts = ["dickhead plain words"] * 12 + ["dickens plain words"] * 40 + ["stone plain words"] * 8
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(d, int("head" in t)) for d, t in zip(ids, texts)], "doc_id bigint, toxic int")
+    model = toxicity.learn_toxicity(docs, labels)
+    assert model.share == 0.2
+
+    def want(word):
+        rate = model.share
+        for n in (4, 6, 99):
+            held = [t for t in texts if any(w[:n] == word[:n] for w in t.split())]
+            rate = (sum("head" in t for t in held) + toxicity.STRENGTH * rate) / (len(held) + toxicity.STRENGTH)
+        return np.log(rate / (1 - rate)) - np.log(model.share / (1 - model.share)) - toxicity.DRIFT
+
+    words = ["dickhead", "dickens", "stone", "plain"]
+    levels, _ = toxicity._tokens([" ".join(words).encode()], H.PrefixHasher())
+    got = model.token_scores(levels)
+    assert np.allclose(got, [want(w) for w in words])
+    assert got[1] < -toxicity.DRIFT and got[2] < -toxicity.DRIFT
+
+
 # Mixing
 
 def test_mix_odd_rows(spark, odd, empty):
