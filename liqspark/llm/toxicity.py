@@ -12,9 +12,8 @@
    in clean text). A document's evidence is the sum over its significant segments, and a
    logistic curve on it gives the score.
 
-Bounds: the log-odds table keeps at most ``MOST_TOKENS`` tokens of toxic documents (those most
-often in them) and every token that lies in clean ones only, and at most about ``MOST_LABELS``
-labelled rows are learnt from, picked by a hash of the id; every document is scored whole.
+Bound: at most about ``MOST_LABELS`` labelled rows are learnt from, picked by a hash of the id.
+The log-odds table keeps every token and prefix of theirs; every document is scored whole.
 """
 
 from __future__ import annotations
@@ -36,7 +35,6 @@ HEADS = (6, 4)
 STRENGTH = 8.0
 DRIFT = 2.0
 FOLDS = (0, 1, 3)  # crc32(doc_id) mod 4; 2 is held out
-MOST_TOKENS = 1 << 19
 MOST_LABELS = 1 << 19
 THRESHOLD = 0.3
 EVIDENCE = (-20.0, 60.0)
@@ -194,7 +192,7 @@ def _fold(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_TOKENS, most_labels: int = MOST_LABELS) -> ToxicityModel:
+def learn_toxicity(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_LABELS) -> ToxicityModel:
     """Fits the model on the labelled rows that are not held out (three folds of four). Rows without a label are
     not used; of several labels of one document the highest counts."""
     spark, scratch = docs.sparkSession, Scratch()
@@ -206,18 +204,8 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_tokens: int = MOST_T
     learnt = learnt.select("text", "toxic", _fold(F.col("doc_id")).cast("int").alias("fold"))
 
     counts = learnt.mapInArrow(_count_task, "key bigint, fold int, toxic bigint, total bigint").groupBy("key").agg(
-        *[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS],
-        F.sum("toxic").alias("toxic"), F.sum("total").alias("total"))
-    counts = scratch.table(counts, "tokens")
-    sizes = counts.where("toxic > 0").groupBy(F.least("toxic", F.lit(1000)).alias("toxic")).count().orderBy(F.desc("toxic")).collect()
-    least, room = 1001, most_tokens
-    for row in sizes:  # the lowest count at which all tokens still fit
-        room -= row["count"]
-        if room < 0:
-            break
-        least = row["toxic"]
-    # A token of clean documents only counts too: without it the rate of its prefix would stand for it.
-    table = counts.where((F.col("toxic") >= least) | (F.col("toxic") == 0)).drop("toxic", "total").toArrow()
+        *[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS])
+    table = counts.toArrow()
     sums = learnt.mapInArrow(_share_task, "fold int, toxic bigint, total bigint").groupBy("fold").agg(F.sum("toxic"), F.sum("total")).collect()
     sizes = {row[0]: (row[1], row[2]) for row in sums}
     keys = table["key"].to_numpy().view(np.uint64)

@@ -207,6 +207,18 @@ def test_toxicity_keeps_the_counts_of_clean_words(spark):
     assert got[1] < -toxicity.DRIFT and got[2] < -toxicity.DRIFT
 
 
+def test_toxicity_keeps_rare_tokens_of_any_vocabulary(spark):
+    ids = learnt_ids(300)
+    words = F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.reverse(F.lpad(F.hex(F.col("place") * 1000 + k), 8, "0")))
+    docs = spark.createDataFrame(list(enumerate(ids)), "place bigint, doc_id bigint").select("doc_id", F.array_join(words, " ").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 > 0).cast("int").alias("toxic"))
+    model = toxicity.learn_toxicity(docs, labels)
+    texts = [r.text.lower() for r in docs.select("text").collect()]
+    distinct = [len({w[:n] for t in texts for w in t.split()}) for n in (8, 6, 4)]
+    assert distinct[0] == 300_000 and len(model.keys) == sum(distinct) > 1 << 19
+    assert model.total.sum() == 3 * 300_000
+
+
 # Mixing
 
 def test_mix_odd_rows(spark, odd, empty):
