@@ -26,10 +26,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the row with the smallest doc_id (of rows that
-    share it, the smallest text hash; of equal rows, one). Rows without an id or without words
-    are copies of nothing and stay."""
+    share it, the smallest text hash; of equal rows, one). Unlike texts under one id are groups of
+    their own. Rows without an id or without words are copies of nothing and stay."""
     linked = stored(ngram_jaccard.ngram_jaccard(docs), "groups")
-    first = (linked.where("component_id is not null and n_shingles > 0").groupBy("component_id")
+    first = (linked.where("doc_id is not null and n_shingles > 0").groupBy("group_id")
              .agg(F.min(F.struct("doc_id", "text_id")).alias("first")).select("first.*").withColumnRenamed("text_id", "_text_id"))
     marked = docs.withColumn("_text_id", F.xxhash64("text"))
     grouped = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))

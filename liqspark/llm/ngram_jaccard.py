@@ -201,7 +201,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, ngram: int) -> DataFrame:
 def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   ngram: int = NGRAM, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row per document: doc_id, n_shingles, text_id (xxhash64 of the text), component_id,
-    class_id (smallest doc_id with the same set).
+    class_id (smallest doc_id with the same set), group_id (64-bit hash of the component, null
+    without shingles: where ids repeat, two components may bear the same component_id).
 
     Null and blank texts have no shingles and link with nothing; their component is their own
     id. A null id stays null as component and does not stand for its class. Repeated rows stay
@@ -272,12 +273,13 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = stored(classes.withColumn("component", F.coalesce("component", "class_id")), "classes")
     scratch.clear()
     names = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(names, "component").select("class_id", "least", "component_id")
+    named = classes.join(names, "component").select("class_id", "least", "component_id", "component")
     empty = F.col("n_shingles") == 0
     return (rows.join(named, "class_id", "left")
             .select("doc_id", "n_shingles", "text_id",
                     F.when(F.col("doc_id").isNull(), None).when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                    F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("class_id")))
+                    F.when(empty, F.col("doc_id")).otherwise(F.col("least")).alias("class_id"),
+                    F.when(~empty, F.col("component")).alias("group_id")))
 
 
 def _right_set(ngram: int):

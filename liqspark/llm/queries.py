@@ -22,7 +22,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard.ngram_jaccard(table(spark, sf_dir, "documents"))
+    return ngram_jaccard.ngram_jaccard(table(spark, sf_dir, "documents")).drop("group_id")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

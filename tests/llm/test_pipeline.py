@@ -75,3 +75,12 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     all_ = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
     left = {r.toxic: r["count"] for r in kept}
     assert left[0] >= 0.95 * all_[0] and left.get(1, 0) <= 0.4 * all_[1]
+
+
+def test_unlike_texts_under_one_id_stay(spark, docs):
+    """One id holds two texts, each the smallest of its own group of copies; and an equal row."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, a + " end"), (3, b + " end"), (4, c), (5, c)]
+    given = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], docs.schema).repartition(3)
+    kept = corpus_pipeline.drop_near_copies(spark, given, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (1, b), (4, c)]
