@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, mixing, ngram_jaccard, pieces, quality, secrets, toxicity, url_filter, warc
+from . import chat, fingerprint, mixing, neighbours, ngram_jaccard, pieces, quality, secrets, toxicity, url_filter, warc
 from .tables import table
 
 
@@ -66,6 +66,10 @@ def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def _sql_canonical(url: str) -> str:
     host = f"regexp_replace(regexp_replace({_sql_host(url)}, '^www[.]', ''), ':(80|443)$', '')"
     path = f"regexp_replace({_sql_path(url)}, '([.]html|/+)$', '')"
@@ -212,6 +216,6 @@ SELECT conv_id, perspective, turn, role, name, segment, seg_end - length(segment
   CASE WHEN role = 'assistant' THEN concat(seg_end - length(segment) + length(head), ':', seg_end - 1) ELSE '' END AS mask FROM e"""
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_ngram_jaccard, op4_toxicity, op5_source_mix, op6_quality_rules,
-                                   op7_fingerprint, op8_sentencepiece, op9_warc_revisits, op10_chat_rotation)}
+                                   op7_fingerprint, op8_sentencepiece, op9_warc_revisits, op10_chat_rotation, op11_nearest_neighbours)}
 ORACLES = {"op1_url_filter": SQL_OP1, "op2_secret_scan": SQL_OP2, "op5_source_mix": SQL_OP5, "op6_quality_rules": SQL_OP6,
            "op9_warc_revisits": SQL_OP9, "op10_chat_rotation": SQL_OP10}
