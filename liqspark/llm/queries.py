@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprint, mixing, neighbours, ngram_jaccard, pieces, quality, secrets, toxicity, url_filter, warc
+from . import alignment, chat, fingerprint, mixing, neighbours, ngram_jaccard, pieces, quality, secrets, toxicity, trie, url_filter, warc
 from .tables import table
 
 
@@ -44,14 +44,14 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_path() -> str:
-    """The public SentencePiece model; LLM_TOKENIZERS names another folder of models."""
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """A public tokenizer's file, the SentencePiece model by default; LLM_TOKENIZERS names another folder of models."""
     folder = os.environ.get("LLM_TOKENIZERS")
     if folder:
-        return os.path.join(folder, "piece_bpe_32k.model")
+        return os.path.join(folder, name)
     import public_tokenizers
 
-    return str(public_tokenizers.path("piece_bpe_32k.model"))
+    return str(public_tokenizers.path(name))
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +70,16 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        byte_model = f.read()
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), byte_model, pieces.model_bytes(tokenizer_path()))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def _sql_canonical(url: str) -> str:
     host = f"regexp_replace(regexp_replace({_sql_host(url)}, '^www[.]', ''), ':(80|443)$', '')"
     path = f"regexp_replace({_sql_path(url)}, '([.]html|/+)$', '')"
@@ -215,7 +225,36 @@ e AS (SELECT *, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspectiv
 SELECT conv_id, perspective, turn, role, name, segment, seg_end - length(segment) AS seg_start, seg_end,
   CASE WHEN role = 'assistant' THEN concat(seg_end - length(segment) + length(head), ':', seg_end - 1) ELSE '' END AS mask FROM e"""
 
+# crc32 of the decimal id, bit by bit: a byte is put in, then eight shifts follow it.
+SQL_OP13 = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, count(*) AS own, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+        string_split(CAST(conv_id AS VARCHAR), ''), lambda d: [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::BIGINT ELSE 0 END) END), 4294967295::BIGINT) % 4 AS h
+      FROM t GROUP BY conv_id),
+b AS (SELECT c.*, least(c.h, coalesce(o.own, 0)) AS got FROM c LEFT JOIN c o ON o.conv_id = c.base),
+r AS (SELECT b.conv_id, place AS depth, role, text FROM b JOIN t ON t.conv_id = b.base AND place <= h
+      UNION ALL SELECT b.conv_id, got + place - h, role, text FROM b JOIN t ON t.conv_id = b.conv_id AND place > h),
+k AS (SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+        md5(string_agg(length(role) || ':' || length(text) || ':' || role || text, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM b),
+l AS (SELECT conv_id, max(depth) AS length FROM k GROUP BY conv_id),
+n AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM k GROUP BY key, depth),
+e AS (SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM k JOIN l USING (conv_id) WHERE depth = length GROUP BY key),
+p AS (SELECT DISTINCT x.key, y.key AS parent FROM k x JOIN k y ON x.conv_id = y.conv_id AND y.depth = x.depth - 1),
+m AS (SELECT parent AS key, count(*) AS n_children FROM p GROUP BY parent),
+u AS (SELECT DISTINCT x.key AS above, y.key FROM k x JOIN k y ON x.conv_id = y.conv_id AND x.depth <= y.depth),
+s AS (SELECT above AS key, CAST(count(*) FILTER (m.key IS NULL) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+      FROM u JOIN n ON n.key = u.key LEFT JOIN m ON m.key = u.key GROUP BY above)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM n JOIN s USING (key) LEFT JOIN m USING (key) LEFT JOIN e USING (key) LEFT JOIN p USING (key) LEFT JOIN n q ON q.key = p.parent"""
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secret_scan, op3_ngram_jaccard, op4_toxicity, op5_source_mix, op6_quality_rules,
-                                   op7_fingerprint, op8_sentencepiece, op9_warc_revisits, op10_chat_rotation, op11_nearest_neighbours)}
+                                   op7_fingerprint, op8_sentencepiece, op9_warc_revisits, op10_chat_rotation, op11_nearest_neighbours,
+                                   op12_tokenizer_alignment, op13_conversation_trie)}
 ORACLES = {"op1_url_filter": SQL_OP1, "op2_secret_scan": SQL_OP2, "op5_source_mix": SQL_OP5, "op6_quality_rules": SQL_OP6,
-           "op9_warc_revisits": SQL_OP9, "op10_chat_rotation": SQL_OP10}
+           "op9_warc_revisits": SQL_OP9, "op10_chat_rotation": SQL_OP10,
+           "op13_conversation_trie": SQL_OP13}
