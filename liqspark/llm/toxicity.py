@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ HEADS = (6, 4)
 STRENGTH = 8.0
 DRIFT = 2.0
 FOLDS = (0, 1, 3)  # crc32(doc_id) mod 4; 2 is held out
-MOST_LABELS = 1 << 19
+MOST_LABELS = 1 << 16
 THRESHOLD = 0.3
 EVIDENCE = (-20.0, 60.0)
 LEVEL_MARK = [H.U64(x) for x in (0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)]
@@ -44,26 +45,29 @@ EULER = 0.5772156649015329
 
 @dataclass
 class ToxicityModel:
+    """Scores of tokens and prefixes, in plain arrays that executors need nothing of ours to read."""
+
     keys: np.ndarray  # sorted token and prefix hashes
-    toxic: np.ndarray  # occurrences in toxic documents
-    total: np.ndarray
-    share: float  # of all tokens that lie in toxic documents; 0 without any
+    scores: np.ndarray
     scale: float = 1.0
     shift: float = 0.0
     slope: float = 1.0
     intercept: float = 0.0
 
-    def token_scores(self, levels: list[np.ndarray]) -> np.ndarray:
-        """Scores of tokens given by the hashes of the word and its prefixes."""
-        if not 0 < self.share < 1 or not len(self.keys):
-            return np.full(len(levels[0]), -DRIFT)
-        rate = np.full(len(levels[0]), self.share)
+    def plain(self) -> tuple:
+        return self.keys, self.scores, self.scale, self.shift, self.slope, self.intercept
+
+
+def token_scores(keys: np.ndarray, scores: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
+    """Scores of tokens given by the hashes of the word and its prefixes: that of the longest one
+    known, which has its shorter ones for a prior; without any, the drift."""
+    out = np.full(len(levels[0]), -DRIFT)
+    if len(keys):
         for k in range(len(levels) - 1, -1, -1):
             key = levels[k] ^ LEVEL_MARK[k]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[at] == key
-            rate = (np.where(known, self.toxic[at], 0) + STRENGTH * rate) / (np.where(known, self.total[at], 0) + STRENGTH)
-        return np.log(rate / (1 - rate)) - math.log(self.share / (1 - self.share)) - DRIFT
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            out = np.where(keys[at] == key, scores[at], out)
+    return out
 
 
 def segments(positions: np.ndarray, scores: np.ndarray, before: np.ndarray) -> list[tuple[int, int, float]]:
@@ -97,8 +101,8 @@ def _texts(column) -> list[bytes]:
 
 
 def _count_task(batches):
-    """(key, fold, toxic, total): token counts of labelled texts. The counts of a batch are
-    added up before they leave the task."""
+    """(key, parent, level, fold, toxic, total): token counts of labelled texts; the parent is the next
+    shorter prefix. The counts of a batch are added up before they leave the task."""
     hasher = H.PrefixHasher()
     for batch in batches:
         texts, toxic, group = _texts(batch.column(0)), np.array(batch.column(1).to_pylist()), np.array(batch.column(2).to_pylist())
@@ -111,22 +115,23 @@ def _count_task(batches):
                 levels, edge = _tokens(part, hasher)
                 bad = np.repeat(toxic[chosen[first:first + len(part)]], np.diff(edge)).astype(np.int64)
                 for k, hashes in enumerate(levels):
-                    held.setdefault(k, []).append((hashes ^ LEVEL_MARK[k], bad))
-            keys = np.concatenate([x for v in held.values() for x, _ in v])
-            bad = np.concatenate([x for v in held.values() for _, x in v])
-            found, place = np.unique(keys, return_inverse=True)
-            yield pa.RecordBatch.from_pydict({
-                "key": pa.array(found.view(np.int64)), "fold": pa.array(np.full(len(found), g, np.int32)),
-                "toxic": pa.array(np.bincount(place, bad, len(found)).astype(np.int64)),
-                "total": pa.array(np.bincount(place, minlength=len(found)).astype(np.int64))})
+                    above = levels[k + 1] ^ LEVEL_MARK[k + 1] if k < len(HEADS) else np.zeros_like(hashes)
+                    held.setdefault(k, []).append((hashes ^ LEVEL_MARK[k], above, bad))
+            for k, rows in held.items():
+                keys, above, bad = (np.concatenate(x) for x in zip(*rows))
+                found, first, place = np.unique(keys, return_index=True, return_inverse=True)
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array(found.view(np.int64)), "parent": pa.array(above[first].view(np.int64)), "level": pa.array(np.full(len(found), k, np.int32)),
+                    "fold": pa.array(np.full(len(found), g, np.int32)), "toxic": pa.array(np.bincount(place, bad, len(found)).astype(np.int64)),
+                    "total": pa.array(np.bincount(place, minlength=len(found)).astype(np.int64))})
 
 
-def _scan(texts: list[bytes], model: ToxicityModel, hasher):
+def _scan(texts: list[bytes], keys: np.ndarray, known: np.ndarray, hasher):
     """(tokens, segments) of each text."""
     for _, part in H.groups(texts):
         levels, edge = _tokens(part, hasher)
         distinct, at, place = np.unique(levels[0], return_index=True, return_inverse=True)
-        scores = model.token_scores([level[at] for level in levels])[place]
+        scores = token_scores(keys, known, [level[at] for level in levels])[place]
         total = np.cumsum(scores)
         good = np.flatnonzero(scores > 0)
         cut = np.searchsorted(good, edge)
@@ -139,12 +144,12 @@ def _best_task(models_of):
     """(toxic, tokens, scores of the segments) of labelled texts, each by the model of the
     other folds."""
     def run(batches):
-        hasher, models = H.PrefixHasher(), models_of.value
+        hasher, (keys, models) = H.PrefixHasher(), models_of.value
         for batch in batches:
             texts, fold = _texts(batch.column(0)), np.array(batch.column(2).to_pylist())
             for g in FOLDS:
                 mine = np.flatnonzero(fold == g)
-                rows = list(_scan([texts[k] for k in mine], models[g], hasher))
+                rows = list(_scan([texts[k] for k in mine], keys, models[g], hasher))
                 yield pa.RecordBatch.from_pydict({
                     "toxic": batch.column(1).take(pa.array(mine)).cast(pa.int32()), "tokens": pa.array([n for n, _ in rows], pa.int64()),
                     "scores": pa.array([[s for _, _, s in found] for _, found in rows], pa.list_(pa.float64()))})
@@ -203,25 +208,13 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_L
     learnt = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(sample), "doc_id")
     learnt = learnt.select("text", "toxic", _fold(F.col("doc_id")).cast("int").alias("fold"))
 
-    counts = learnt.mapInArrow(_count_task, "key bigint, fold int, toxic bigint, total bigint").groupBy("key").agg(
-        *[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS])
-    table = counts.toArrow()
-    sums = learnt.mapInArrow(_share_task, "fold int, toxic bigint, total bigint").groupBy("fold").agg(F.sum("toxic"), F.sum("total")).collect()
-    sizes = {row[0]: (row[1], row[2]) for row in sums}
-    keys = table["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    keys = keys[order]
-
-    def fitted(folds) -> ToxicityModel:
-        toxic, total = ([sum(sizes.get(g, (0, 0))[k] for g in folds) for k in (0, 1)])
-        columns = [sum(table[f"{c}_{g}"].to_numpy() for g in folds)[order] for c in ("toxic", "total")]
-        columns = [c.astype(np.min_scalar_type(c.max(initial=0))) for c in columns]  # exact, in as few bytes as hold the counts
-        return ToxicityModel(keys, *columns, toxic / max(1, total))
-
-    model = fitted(FOLDS)
-    others = {g: fitted([f for f in FOLDS if f != g]) for g in FOLDS}
-    best = learnt.mapInArrow(_best_task(spark.sparkContext.broadcast(others)), "toxic int, tokens bigint, scores array<double>")
+    models = {"all": FOLDS} | {g: [f for f in FOLDS if f != g] for g in FOLDS}
+    keys, scores = _scores(learnt, models, scratch)
+    model = ToxicityModel(keys, scores["all"])
+    others = spark.sparkContext.broadcast((keys, {g: scores[g] for g in FOLDS}))
+    best = learnt.mapInArrow(_best_task(others), "toxic int, tokens bigint, scores array<double>")
     best = scratch.table(best, "best")
+    others.destroy()
     clean = best.where("toxic = 0 and tokens > 0").withColumn("top", F.coalesce(F.array_max("scores"), F.lit(0.0)))
     law = clean.agg(F.stddev("top").alias("sd"), F.avg("top").alias("top"), F.avg(F.log("tokens")).alias("logs")).first()
     if law["sd"]:
@@ -233,27 +226,40 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, most_labels: int = MOST_L
     return model
 
 
-def _share_task(batches):
-    hasher = H.PrefixHasher()
-    for batch in batches:
-        texts, toxic, part = _texts(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        rows = []
-        for first, some in H.groups(texts):
-            _, edge = _tokens(some, hasher)
-            rows += [(part[first + k], int(n) * toxic[first + k], int(n)) for k, n in enumerate(np.diff(edge))]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-                                          pa.array([r[2] for r in rows], pa.int64())], names=["fold", "toxic", "total"])
+def _scores(learnt: DataFrame, models: dict, scratch: Scratch) -> tuple[np.ndarray, dict]:
+    """Sorted keys and their scores in each model (name: folds). Counts and scores are tables; only
+    eight bytes a key and four a score, of at most ``MOST_LABELS`` rows' tokens and prefixes, come to the driver."""
+    counts = learnt.mapInArrow(_count_task, "key bigint, parent bigint, level int, fold int, toxic bigint, total bigint").groupBy("key", "parent", "level")
+    counts = scratch.table(counts.agg(*[F.sum(F.when(F.col("fold") == g, F.col(c)).otherwise(0)).alias(f"{c}_{g}") for c in ("toxic", "total") for g in FOLDS]), "counts")
+    of = lambda c, folds: sum((F.col(f"{c}_{g}") for g in folds), F.lit(0))
+    sizes = counts.where("level = 0").agg(*[F.sum(of(c, folds)).alias(f"{c} {m}") for m, folds in models.items() for c in ("toxic", "total")]).first()
+    share = {m: (sizes[f"toxic {m}"] or 0) / max(1, sizes[f"total {m}"] or 0) for m in models}
+    rows, every = None, []
+    for level in range(len(HEADS), -1, -1):
+        here = counts.where(F.col("level") == level)
+        prior = {m: F.lit(share[m]) if rows is None else F.col(f"prior_{m}") for m in models}
+        if rows is not None:
+            here = here.join(rows.select(F.col("key").alias("parent"), *[F.col(f"rate_{m}").alias(f"prior_{m}") for m in models]), "parent")
+        rates = [((of("toxic", folds) + STRENGTH * prior[m]) / (of("total", folds) + STRENGTH)).alias(f"rate_{m}") for m, folds in models.items()]
+        rows = scratch.table(here.select("key", *rates), "rates")
+        every.append(rows)
+    odds = lambda p: F.log(p / (1 - p))
+    score = [(odds(F.col(f"rate_{m}")) - odds(F.lit(share[m])) - DRIFT if 0 < share[m] < 1 else F.lit(-DRIFT)).cast("float").alias(f"{m}") for m in models]
+    table = reduce(DataFrame.union, every).select("key", *score).toArrow()
+    keys = table["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], {m: table[f"{m}"].to_numpy()[order] for m in models}
 
 
 def _score_task(model_of):
     def run(batches):
-        hasher, model = H.PrefixHasher(), model_of.value
+        hasher, (keys, scores, scale, shift, slope, intercept) = H.PrefixHasher(), model_of.value
         for batch in batches:
             score, passages = [], []
-            for n, found in _scan(_texts(batch.column(1)), model, hasher):
-                x = evidence([s for _, _, s in found], n, model.scale, model.shift)
-                score.append(1 / (1 + math.exp(-model.slope * x - model.intercept)))
-                known = [(a, b, s) for a, b, s in found if model.scale * s - model.shift - math.log(max(n, 1)) > 0]
+            for n, found in _scan(_texts(batch.column(1)), keys, scores, hasher):
+                x = evidence([s for _, _, s in found], n, scale, shift)
+                score.append(1 / (1 + math.exp(-slope * x - intercept)))
+                known = [(a, b, s) for a, b, s in found if scale * s - shift - math.log(max(n, 1)) > 0]
                 passages.append(",".join(f"{a}:{b + 1}" for a, b, _ in known))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": pa.array(score, pa.float64()),
                                               "passages": pa.array(passages, pa.string())})
@@ -270,7 +276,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
     empty table gives an empty result. Without labels no token stands out and all documents
     score alike.
     """
-    model_of = docs.sparkSession.sparkContext.broadcast(model)
+    model_of = docs.sparkSession.sparkContext.broadcast(model.plain())
     scored = docs.select(F.col("doc_id").cast("bigint"), text_of(docs).alias("text")).mapInArrow(
         _score_task(model_of), "doc_id bigint, score double, passages string")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
@@ -280,7 +286,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
 def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns. The texts
     are judged where they are, without a join."""
-    model_of = docs.sparkSession.sparkContext.broadcast(model)
+    model_of = docs.sparkSession.sparkContext.broadcast(model.plain())
     held = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), text_of(docs).alias("_text"))
     kept = held.mapInArrow(_keep_task(model_of, threshold), held.schema)
     return kept.select("row.*")
@@ -288,12 +294,12 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
 
 def _keep_task(model_of, threshold: float):
     def run(batches):
-        hasher, model = H.PrefixHasher(), model_of.value
+        hasher, (keys, scores, scale, shift, slope, intercept) = H.PrefixHasher(), model_of.value
         for batch in batches:
             keep = []
-            for n, found in _scan(_texts(batch.column(1)), model, hasher):
-                x = evidence([s for _, _, s in found], n, model.scale, model.shift)
-                keep.append(1 / (1 + math.exp(-model.slope * x - model.intercept)) < threshold)
+            for n, found in _scan(_texts(batch.column(1)), keys, scores, hasher):
+                x = evidence([s for _, _, s in found], n, scale, shift)
+                keep.append(1 / (1 + math.exp(-slope * x - intercept)) < threshold)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
