@@ -26,6 +26,7 @@ HEADLINE = [
     "liquidity_rank",
     "otc_pairing",
     "sliding_window_agg",
+    "sliding_window_plain",
     "sliding_window_preagg",
     "latest_quote",
     "snapshot_explode",

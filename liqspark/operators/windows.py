@@ -5,14 +5,15 @@ key (window, bond, tg, date) -> sum(volume_money), max(bid), max(ask),
 max(update_ts), count(update_ts). Grouping on ``date`` splits a window that
 crosses midnight; a null event time falls in no window.
 
-Batch can pre-aggregate (``preaggregate=True``): every aggregate is
-decomposable and all events of one ``gcd(window, slide)`` bucket belong to the
-same windows, so rows are first reduced per bucket and only the reduced rows
-are copied into the window/slide windows (30x for 30 min / 1 min). That pays
-off for dense feeds (many quotes per key and minute); for sparse feeds (a
-quote per key every few minutes, as a polled snapshot gives) it only adds a
-shuffle, so the plain form - one Expand, a map-side partial aggregate, one
-shuffle - is the default.
+Three ways to the same rows (``method``):
+
+* ``frames`` (batch default): rows are reduced per ``gcd(window, slide)`` bucket, a window frame lists
+  the at most window / bucket buckets that end in each bucket, and every output window is made once, from
+  the last bucket with events that it covers. A quote is never copied into the windows it lies in: one
+  row a (key, bucket) is shuffled, and a key holds at most a day's buckets.
+* ``plain`` (streams; the only form the state store can keep): one Expand of window / slide copies
+  (30 for 30 min / 1 min), a map-side partial aggregate, one shuffle.
+* ``buckets``: reduced per bucket, then the reduced rows are copied into their windows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import broadcast_if_small
@@ -70,27 +71,72 @@ def _project(agg: DataFrame, keys: Sequence[str], keep_window: bool) -> DataFram
     return agg.select(*cols)
 
 
+METHODS = ("frames", "plain", "buckets")
+
+
 def sliding_window_agg(quotes: DataFrame, window: str = WINDOW, slide: str = SLIDE,
                        keys: Sequence[str] = KEYS, ts_col: str = "update_ts",
-                       preaggregate: bool = False, keep_window: bool = True) -> DataFrame:
-    """Windowed quote aggregate. ``preaggregate=False`` is the plain form (and the
-    only one used on streams)."""
+                       method: str | None = None, keep_window: bool = True) -> DataFrame:
+    """Windowed quote aggregate by ``method``: ``frames`` in batch and ``plain`` on
+    streams if none is named."""
     keys = list(keys)
-    if not preaggregate:
+    method = method or ("plain" if quotes.isStreaming else "frames")
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}, got {method!r}")
+    if method == "plain":
         agg = quotes.groupBy(F.window(ts_col, window, slide).alias("window"), *keys).agg(
             *_final_aggs("volume_money", "bid", "ask", ts_col, F.count(ts_col)))
         return _project(agg, keys, keep_window)
 
     bucket_us = math.gcd(duration_us(window), duration_us(slide))
+    if method == "frames":
+        return _framed(quotes, duration_us(window), duration_us(slide), bucket_us, keys, ts_col, keep_window)
     bucket = F.window(ts_col, f"{bucket_us} microseconds").start
-    pre = quotes.where(F.col(ts_col).isNotNull()).groupBy(*keys, bucket.alias("_bucket")).agg(
-        F.sum("volume_money").alias("_vm"), F.max("bid").alias("_bid"), F.max("ask").alias("_ask"),
-        F.max(ts_col).alias("_ts"), F.count(ts_col).alias("_cnt"))
+    pre = quotes.where(F.col(ts_col).isNotNull()).groupBy(*keys, bucket.alias("_bucket")).agg(*_partial_aggs(ts_col))
     agg = pre.groupBy(F.window("_bucket", window, slide).alias("window"), *keys).agg(
         *_final_aggs("_vm", "_bid", "_ask", "_ts", F.sum("_cnt")))
     return _project(agg, keys, keep_window)
 
 
+def _partial_aggs(ts_col: str) -> list[Column]:
+    return [F.sum("volume_money").alias("_vm"), F.max("bid").alias("_bid"), F.max("ask").alias("_ask"),
+            F.max(ts_col).alias("_ts"), F.count(ts_col).alias("_cnt")]
+
+
+def _framed(quotes: DataFrame, window_us: int, slide_us: int, bucket_us: int, keys: list[str], ts_col: str, keep_window: bool) -> DataFrame:
+    """Windows made from the last bucket with events that each covers.
+
+    In buckets, a window of length w that starts at s covers s .. s + w - 1. Bucket m is the last one of
+    the windows with s + w - 1 >= m that start at or before m and end before the key's next bucket.
+    """
+    width, step = window_us // bucket_us, slide_us // bucket_us
+    timed = quotes.where(F.col(ts_col).isNotNull()).withColumn("_us", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    number = F.expr(f"(_us - pmod(_us, {bucket_us}L)) div {bucket_us}L")
+    pre = timed.groupBy(*keys, number.alias("_m")).agg(*_partial_aggs(ts_col))
+    in_order = Window.partitionBy(*keys).orderBy("_m")
+    part = F.struct("_m", "_vm", "_bid", "_ask", "_ts", "_cnt")
+    framed = pre.select(*keys, "_m", F.lead("_m").over(in_order).alias("_next"),
+                        F.collect_list(part).over(in_order.rangeBetween(1 - width, 0)).alias("_held"))
+    # Starts are multiples of the step; ``sequence`` counts in steps.
+    first = F.col("_m") - (width - 1)
+    last = F.least(F.col("_m"), F.coalesce(F.col("_next") - width, F.col("_m")))
+    up, down = F.ceil(first / F.lit(step)).cast("bigint"), F.floor(last / F.lit(step)).cast("bigint")
+    starts = F.when(up <= down, F.sequence(up, down))
+    windows = framed.select(*keys, "_held", F.explode(starts).alias("_start"))
+    windows = windows.withColumn("_start", F.col("_start") * step)
+    inside = F.filter("_held", lambda p: p["_m"] >= F.col("_start"))
+    windows = windows.select(*keys, "_start", inside.alias("_in"))
+    of = lambda c: F.transform("_in", lambda p: p[c])
+    known = F.filter(of("_vm"), lambda v: v.isNotNull())
+    total = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast("double"), lambda s, v: s + v))
+    count = F.aggregate(of("_cnt"), F.lit(0).cast("bigint"), lambda s, v: s + v)
+    kind = quotes.schema[ts_col].dataType
+    start, end = (F.timestamp_micros(F.col("_start") * bucket_us + more).cast(kind) for more in (0, window_us))
+    frame = [start.alias("window_start"), end.alias("window_end")] if keep_window else []
+    return windows.select(*frame, *keys, total.alias("volume_money"), F.array_max(of("_bid")).alias("bid"), F.array_max(of("_ask")).alias("ask"),
+                          F.array_max(of("_ts")).alias("update_ts"), count.alias("cnt"))
+
+
 def latest_quote(quotes: DataFrame, keys: Sequence[str] = ("bond", "tg"),
                  ts_col: str = "update_ts") -> DataFrame:
     """Newest row per key: latest ``ts_col`` (nulls last), ties by the remaining

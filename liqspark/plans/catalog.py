@@ -428,10 +428,10 @@ def _round_sum(df):
     return df.withColumn("volume_money", F.round("volume_money", 6))
 
 
-def _windows(spark, sf_dir, preaggregate=False):
+def _windows(spark, sf_dir, method=None):
     from ..operators.windows import sliding_window_agg
     from ..streaming.quotes import to_wall_clock
-    win = sliding_window_agg(_typed_quotes(spark, sf_dir), preaggregate=preaggregate)
+    win = sliding_window_agg(_typed_quotes(spark, sf_dir), method=method)
     return _round_sum(to_wall_clock(win))
 
 
@@ -446,11 +446,14 @@ def q_window_single_observation(spark, sf_dir):
     return _windows(spark, sf_dir).where(F.col("cnt") == 1)
 
 
-@register("latest_quote", "WITH " + SQL_TYPED + """
+SQL_LATEST = "WITH " + SQL_TYPED + """
 SELECT bond, tg, volume_money, bid, ask, overturn, "date", update_ts FROM (
   SELECT *, row_number() OVER (PARTITION BY bond, tg ORDER BY update_ts DESC NULLS LAST,
          volume_money DESC, bid DESC, ask DESC, overturn DESC, "date" DESC) AS rn
-  FROM q) WHERE rn = 1""")
+  FROM q) WHERE rn = 1"""
+
+
+@register("latest_quote", SQL_LATEST)
 def q_latest_quote(spark, sf_dir):
     """Newest quote per (bond, tg)."""
     from ..operators.windows import latest_quote
@@ -600,39 +603,84 @@ def q_newest_enriched_top10(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Late rows, restart and upsert: all events landed as text files, one file a micro-batch
+# Late rows, restart, failure and upsert: all events landed as text files in several parts, one
+# run (a new query on the same checkpoint) after each
 
-def _land(spark, sf_dir, folder, batches):
-    """Write the topic payloads of the events of each condition in ``batches`` as the
-    next file of ``folder``."""
+def _land(spark, sf_dir, folder, test):
+    """Write the topic payloads of the events of a condition as new files of ``folder``. A
+    condition that is null for an event does not hold."""
     from ..functions.jsonq import quote_events_to_json
-    events = P.table(spark, sf_dir, "events")
-    for test in batches:
-        payloads = quote_events_to_json(P.intraday_events(events.where(test))).select("value")
-        payloads.repartition(1).write.mode("append").text(folder)
+    events = P.table(spark, sf_dir, "events").where(test)
+    quote_events_to_json(P.intraday_events(events)).select("value").write.mode("append").text(folder)
 
 
 def _landed_stream(spark, folder):
     from ..streaming.quotes import file_source
     from pyspark.sql.types import StringType, StructField, StructType
-    values = file_source(spark, folder, StructType([StructField("value", StringType())]), fmt="text", max_files_per_trigger=1)
-    return values.repartition(spark.sparkContext.defaultParallelism)
+    return file_source(spark, folder, StructType([StructField("value", StringType())]), fmt="text")
 
 
-@register("late_rows_dropped", "WITH " + SQL_WINDOWS + f"""
-SELECT * FROM win WHERE window_end <= {WATERMARK_CUT}
-  AND (tg IN (1, 5) OR window_end > (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 120 MINUTE)""")
-def q_late_rows_dropped(spark, sf_dir):
-    """Views arrive first, clicks second, all other events last. The late-row filter uses
-    the watermark of the batch before the last, so clicks still count and the last batch
-    loses the windows that the views had closed."""
-    from ..streaming.quotes import to_wall_clock, windowed_quotes
-    folder = S.scratch_dir(spark, "late-landing")
-    kind = F.col("event_type")
-    _land(spark, sf_dir, folder, [kind == "view", kind == "click", ~kind.isin("view", "click")])
-    out = _run_stream(spark, windowed_quotes(_landed_stream(spark, folder)), "late-windows")
+def _is(*kinds):
+    return F.coalesce(F.col("event_type").isin(*kinds), F.lit(False))
+
+
+def _late_parts():
+    return [_is("view"), _is("click"), ~_is("view", "click")]
+
+
+def _late_runs(spark, sf_dir):
+    """Views arrive first, clicks next, all other events last, each in a run of its own: a run
+    drops the windows that the runs before it have closed. Returns the output folder and the
+    windows dropped by each run."""
+    from ..streaming.quotes import windowed_quotes
+    from ..streaming.runner import dropped_by_watermark, run_available_now
+    folder, out = S.scratch_dir(spark, "late-landing"), S.scratch_dir(spark, "late-windows")
+    dropped = []
+    for part in _late_parts():
+        _land(spark, sf_dir, folder, part)
+        query = run_available_now(windowed_quotes(_landed_stream(spark, folder)), out, f"{out}/_checkpoint",
+                                  state_partitions=_state_partitions(spark))
+        dropped.append(dropped_by_watermark(query))
     S.remove_scratch(spark, folder)
-    return _round_sum(to_wall_clock(out))
+    return out, dropped
+
+
+# The watermark that a run meets: of views for clicks, of views and clicks for all others.
+SQL_LATE = SQL_WINDOWS + """,
+late AS (
+  SELECT win.*, CASE WHEN tg = 5 THEN 1 WHEN tg = 1 THEN 2 ELSE 3 END AS run,
+         CASE WHEN tg = 5 THEN false
+              WHEN tg = 1 THEN window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 120 MINUTE
+              ELSE window_end <= (SELECT max(ts) FROM events WHERE event_type IN ('view', 'click')) - INTERVAL 120 MINUTE END AS dropped
+  FROM win
+)"""
+
+
+@register("late_rows_dropped", "WITH " + SQL_LATE + f"""
+SELECT window_start, window_end, bond, tg, "date", volume_money, bid, ask, update_ts, cnt
+FROM late WHERE NOT dropped AND window_end <= {WATERMARK_CUT}""")
+def q_late_rows_dropped(spark, sf_dir):
+    """Windows written by three runs of which the later ones bring late rows."""
+    from ..streaming.quotes import to_wall_clock
+    out, _ = _late_runs(spark, sf_dir)
+    return _round_sum(to_wall_clock(spark.read.parquet(out)))
+
+
+@register("late_windows_counted", "WITH " + SQL_LATE + """
+SELECT run, count(*) FILTER (dropped) AS windows_dropped FROM (SELECT run, dropped FROM late UNION ALL SELECT unnest([1, 2, 3]), false)
+GROUP BY run""")
+def q_late_windows_counted(spark, sf_dir):
+    """What each run lost behind the watermark, from the progress that the query reports."""
+    _, dropped = _late_runs(spark, sf_dir)
+    return spark.createDataFrame(list(enumerate(dropped, 1)), "run int, windows_dropped bigint")
+
+
+def _halves(spark, sf_dir):
+    """Conditions for the earlier and the later half of the events (by time; no time counts as early)."""
+    at = F.col("ts").cast("timestamp").cast("double")
+    middle = P.table(spark, sf_dir, "events").agg(F.percentile_approx(at, 0.5)).first()[0]
+    late = F.coalesce(at > F.lit(middle), F.lit(False))
+    return ~late, late
 
 
 @register("restart_from_checkpoint", "WITH " + SQL_WINDOWS +
@@ -643,43 +691,196 @@ def q_restart_from_checkpoint(spark, sf_dir):
     from ..streaming.quotes import to_wall_clock, windowed_quotes
     from ..streaming.runner import run_available_now
     folder, out = S.scratch_dir(spark, "restart-landing"), S.scratch_dir(spark, "restart-windows")
-    middle = P.table(spark, sf_dir, "events").agg(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), 0.5)).first()[0]
-    late = F.col("ts").cast("timestamp").cast("double") > F.lit(middle)
-    for part in (~late, late):
-        _land(spark, sf_dir, folder, [part])
+    for part in _halves(spark, sf_dir):
+        _land(spark, sf_dir, folder, part)
         run_available_now(windowed_quotes(_landed_stream(spark, folder)), out, f"{out}/_checkpoint",
                           state_partitions=_state_partitions(spark))
     S.remove_scratch(spark, folder)
     return _round_sum(to_wall_clock(spark.read.parquet(out)))
 
 
-@register("upsert_latest", "WITH " + SQL_TYPED + """
+def _run_failing_once(spark, make_stream, checkpoint, write, output_mode="append", state_partitions=None):
+    """Runs a stream into ``write`` (batch, id), which breaks off once after it has written; then
+    runs it again on the same checkpoint, which replays the broken batch."""
+    from ..streaming.runner import run_available_now
+    broken = []
+
+    def breaking(batch, batch_id):
+        write(batch, batch_id)
+        if not broken:
+            broken.append(batch_id)
+            raise RuntimeError("broken off on purpose")
+
+    for attempt in (1, 2):
+        try:
+            run_available_now(make_stream(), None, checkpoint, output_mode=output_mode, foreach_batch=breaking, state_partitions=state_partitions)
+        except Exception:
+            if attempt == 2 or not broken:
+                raise
+
+
+def _failed_and_recovered(spark, sf_dir):
+    """The two halves, with a failure inside the second one's first batch. Batches go to folders of
+    their own number, so a replayed one replaces what the broken one left. Returns (output, checkpoint)."""
+    from ..streaming.quotes import windowed_quotes
+    from ..streaming.runner import run_available_now
+    folder, out, checkpoint = (S.scratch_dir(spark, f"failure-{x}") for x in ("landing", "windows", "checkpoint"))
+    write = lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    stream = lambda: windowed_quotes(_landed_stream(spark, folder))
+    n = _state_partitions(spark)
+    early, late = _halves(spark, sf_dir)
+    _land(spark, sf_dir, folder, early)
+    run_available_now(stream(), None, checkpoint, foreach_batch=write, state_partitions=n)
+    _land(spark, sf_dir, folder, late)
+    _run_failing_once(spark, stream, checkpoint, write, state_partitions=n)
+    S.remove_scratch(spark, folder)
+    return out, checkpoint
+
+
+@register("recovery_after_failed_batch", "WITH " + SQL_WINDOWS +
+          f"\nSELECT * FROM win WHERE window_end <= {WATERMARK_CUT}")
+def q_recovery_after_failed_batch(spark, sf_dir):
+    """A batch fails after it has written and is replayed: no window is lost or doubled."""
+    from ..streaming.quotes import to_wall_clock
+    out, checkpoint = _failed_and_recovered(spark, sf_dir)
+    S.remove_scratch(spark, checkpoint)
+    return _round_sum(to_wall_clock(spark.read.parquet(out).drop("batch")))
+
+
+@register("open_windows_in_state", "WITH " + SQL_WINDOWS +
+          f"""\nSELECT window_start, window_end, bond, tg, "date", cnt, update_ts FROM win WHERE window_end > {WATERMARK_CUT}""")
+def q_open_windows_in_state(spark, sf_dir):
+    """The windows that are still open after the replay, read from the state store."""
+    from ..streaming.quotes import to_wall_clock
+    from ..streaming.runner import state_rows
+    out, checkpoint = _failed_and_recovered(spark, sf_dir)
+    rows = state_rows(spark, checkpoint)
+    key, held = rows.schema["key"].dataType.names, rows.schema["value"].dataType.names
+    # Buffers in the order of the aggregates: sum (total, or total and whether empty), max bid, max ask, max time, count.
+    frame, *names = [F.col("key").getField(k) for k in key]
+    return to_wall_clock(rows.select(
+        frame["start"].alias("window_start"), frame["end"].alias("window_end"), *[n.alias(k) for n, k in zip(names, ("bond", "tg", "date"))],
+        F.col("value").getField(held[-1]).alias("cnt"), F.col("value").getField(held[-2]).alias("update_ts")))
+
+
+SQL_UPSERT = "WITH " + SQL_TYPED + """
 SELECT bond, tg, "date", volume_money, bid, ask, overturn, update_ts FROM (
   SELECT *, row_number() OVER (PARTITION BY bond, tg, "date" ORDER BY update_ts DESC NULLS LAST,
          volume_money DESC, bid DESC, ask DESC, overturn DESC) AS rn
-  FROM q) WHERE rn = 1""")
+  FROM q) WHERE rn = 1"""
+UPSERT_NAMES = ["bond", "tg", "date", "volume_money", "bid", "ask", "overturn", "update_ts"]
+
+
+def _upsert_parts():
+    return [_is("view", "error"), _is("click"), ~_is("view", "error", "click")]
+
+
+@register("upsert_latest", SQL_UPSERT)
 def q_upsert_latest(spark, sf_dir):
-    """Typed quotes upserted into a date-partitioned table in several micro-batches."""
+    """Typed quotes upserted into a date-partitioned table in three runs."""
     from ..functions.jsonq import parse_quote_json
-    from ..sinks.upsert import upsert_writer
+    from ..sinks.upsert import read_upserted, upsert_writer
     from ..streaming.quotes import to_wall_clock
     from ..streaming.runner import run_available_now
     folder, target, progress = (S.scratch_dir(spark, f"upsert-{x}") for x in ("landing", "table", "checkpoint"))
-    kind = F.col("event_type")
-    _land(spark, sf_dir, folder, [kind.isin("view", "error"), kind == "click", ~kind.isin("view", "error", "click")])
-    run_available_now(parse_quote_json(_landed_stream(spark, folder)), None, progress,
-                      output_mode="update", foreach_batch=upsert_writer(target))
+    for part in _upsert_parts():
+        _land(spark, sf_dir, folder, part)
+        run_available_now(parse_quote_json(_landed_stream(spark, folder)), None, progress,
+                          output_mode="update", foreach_batch=upsert_writer(target))
+    for used in (folder, progress):
+        S.remove_scratch(spark, used)
+    return to_wall_clock(read_upserted(spark, target)).select(*UPSERT_NAMES)
+
+
+@register("upsert_after_crash", SQL_UPSERT)
+def q_upsert_after_crash(spark, sf_dir):
+    """The same, but every run breaks off in its commit: once with the rows written and the version
+    not switched, once after the switch. The stream replays the batch; stale folders are deleted."""
+    from ..functions.jsonq import parse_quote_json
+    from ..sinks import upsert
+    from ..streaming.quotes import to_wall_clock
+    from ..streaming.runner import run_available_now
+    folder, target, progress = (S.scratch_dir(spark, f"crash-{x}") for x in ("landing", "table", "checkpoint"))
+    stream = lambda: parse_quote_json(_landed_stream(spark, folder))
+    real, write = upsert._switch, upsert.upsert_writer(target)
+    for k, part in enumerate(_upsert_parts()):
+        _land(spark, sf_dir, folder, part)
+        if k % 2:
+            _run_failing_once(spark, stream, progress, write, "update")
+            continue
+        upsert._switch = _broken_off
+        try:
+            run_available_now(stream(), None, progress, output_mode="update", foreach_batch=write)
+        except Exception as e:
+            if "broken off on purpose" not in str(e):
+                raise
+        finally:
+            upsert._switch = real
+        run_available_now(stream(), None, progress, output_mode="update", foreach_batch=write)
+    upsert.vacuum(spark, target)
     for used in (folder, progress):
         S.remove_scratch(spark, used)
-    names = ["bond", "tg", "date", "volume_money", "bid", "ask", "overturn", "update_ts"]
-    return to_wall_clock(spark.read.parquet(target)).select(*names)
+    return to_wall_clock(upsert.read_upserted(spark, target)).select(*UPSERT_NAMES)
+
+
+def _broken_off(*_):
+    raise RuntimeError("broken off on purpose")
+
+
+# ---------------------------------------------------------------------------
+# Newest quote and republished snapshots on streams
+
+@register("stream_latest_quote", SQL_LATEST)
+def q_stream_latest_quote(spark, sf_dir):
+    """Newest quote per (bond, tg) as an unwindowed state in update mode, kept in an upserted table; the
+    query is started anew for each of three landed parts, which are not in the order of time."""
+    from ..functions.jsonq import parse_quote_json
+    from ..operators.windows import latest_quote
+    from ..sinks.upsert import read_upserted, upsert_writer
+    from ..streaming.quotes import to_wall_clock
+    from ..streaming.runner import run_available_now
+    folder, target, progress = (S.scratch_dir(spark, f"latest-{x}") for x in ("landing", "table", "checkpoint"))
+    write = upsert_writer(target, keys=("bond", "tg"), partition_col="tg")
+    early, late = _halves(spark, sf_dir)
+    for part in (late & _is("view", "click"), early, late & ~_is("view", "click")):
+        _land(spark, sf_dir, folder, part)
+        run_available_now(latest_quote(parse_quote_json(_landed_stream(spark, folder))), None, progress, output_mode="update",
+                          foreach_batch=write, state_partitions=_state_partitions(spark))
+    for used in (folder, progress):
+        S.remove_scratch(spark, used)
+    return to_wall_clock(read_upserted(spark, target)).select("bond", "tg", "volume_money", "bid", "ask", "overturn", "date", "update_ts")
+
+
+@register("stream_snapshot_events", "WITH " + SQL_EVENT_TEXT + "\nSELECT DISTINCT * FROM ev_text")
+def q_stream_snapshot_events(spark, sf_dir):
+    """Four polls, each repeating the whole quarter of the one before: snapshots land as
+    documents, one a file, and every event comes out once."""
+    from ..sources.snapshot import published_once, snapshot_explode, snapshot_stream
+    from ..streaming.runner import run_available_now
+    folder, out = S.scratch_dir(spark, "poll-landing"), S.scratch_dir(spark, "poll-events")
+    at = F.col("ts").cast("timestamp").cast("double")
+    events = P.table(spark, sf_dir, "events")
+    cuts = events.agg(F.percentile_approx(at, [0.25, 0.5, 0.75])).first()[0] or [0.0] * 3
+    quarter = F.lit(0)
+    for cut in cuts:
+        quarter = quarter + F.when(at > F.lit(cut), 1).otherwise(0)
+    for poll in range(4):
+        docs = P.snapshot_documents(events.where(quarter.isin(poll - 1, poll)))
+        docs.write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+        stream = published_once(snapshot_explode(snapshot_stream(spark, folder)), "3650 days")
+        run_available_now(stream.drop("event_time"), out, f"{out}/_checkpoint", state_partitions=_state_partitions(spark))
+    S.remove_scratch(spark, folder)
+    return spark.read.parquet(out)
 
 
 def bench_variants() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Alternative strategies timed by bench.py next to the registered queries."""
     def sliding_window_preagg(spark, sf_dir):
         S.prepare(spark)
-        return _windows(spark, sf_dir, preaggregate=True)
+        return _windows(spark, sf_dir, method="buckets")
+    def sliding_window_plain(spark, sf_dir):
+        S.prepare(spark)
+        return _windows(spark, sf_dir, method="plain")
     def liquidity_metrics_salted_kll(spark, sf_dir):
         S.prepare(spark)
         return liquidity.liquidity_metrics(_exchange(spark, sf_dir), _bonds(spark, sf_dir),
@@ -688,6 +889,7 @@ def bench_variants() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         S.prepare(spark)
         return liquidity.liquidity_metrics(_exchange(spark, sf_dir), _bonds(spark, sf_dir), method="exact")
     return {"sliding_window_preagg": sliding_window_preagg,
+            "sliding_window_plain": sliding_window_plain,
             "liquidity_metrics_salted_kll": liquidity_metrics_salted_kll,
             "liquidity_metrics_exact": liquidity_metrics_exact}
 

@@ -84,6 +84,47 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds."""
+    fs, target = _located(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)]
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """A new file of a few kilobytes; an existing one is an error."""
+    fs, target = _located(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    fs, target = _located(spark, path)
+    data = fs.open(target)
+    try:
+        return bytes(data.readAllBytes()).decode()
+    finally:
+        data.close()
+
+
+def move_file(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a file; False if there is one of that name already."""
+    fs, target = _located(spark, path)
+    return not path_exists(spark, to) and fs.rename(target, spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = _located(spark, path)
+    fs.delete(target, True)
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``scratch_dir`` named; anything else is refused."""
     root = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))

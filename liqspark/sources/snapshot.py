@@ -47,6 +47,26 @@ def read_snapshots(spark: SparkSession, path: str, fmt: str = "lines") -> DataFr
     return spark.read.text(path, wholetext=fmt == "documents")
 
 
+def snapshot_stream(spark: SparkSession, path: str, fmt: str = "documents", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Snapshots landing in ``path`` as a stream of ``value``; formats as in ``read_snapshots``."""
+    if fmt not in ("lines", "documents"):
+        raise ValueError(f"snapshot format must be lines or documents, got {fmt!r}")
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.text(path, wholetext=fmt == "documents")
+
+
+def published_once(events: DataFrame, delay: str = "120 minutes") -> DataFrame:
+    """A stream of quote events without the copies that later polls repeat: one event per
+    (id, update_ts), so an update of a quote stays. ``delay`` is how long a quote is repeated by later polls;
+    the state forgets it after that, and events older than the watermark are dropped (they have been
+    seen, or came too late). Adds ``event_time``, the watermark's column; an event without a
+    readable ``update_ts`` has no time to be told apart by and is dropped."""
+    timed = events.withColumn("event_time", F.col("update_ts").try_cast("timestamp")).where("event_time is not null")
+    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["id", "update_ts"])
+
+
 def snapshot_rejects(docs: DataFrame, value_col: str = "value") -> DataFrame:
     """The documents that ``snapshot_explode`` takes nothing from though they are
     not empty snapshots: no JSON object, no ``count``, or ``items`` not a list."""

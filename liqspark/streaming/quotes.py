@@ -47,7 +47,7 @@ def windowed_quotes(values: DataFrame, watermark: str = WATERMARK, window: str =
     """Topic values -> watermarked sliding-window aggregate."""
     typed = parse_quote_json(values).withWatermark("update_ts", watermark)
     return sliding_window_agg(typed, window, slide, KEYS, "update_ts",
-                              preaggregate=False, keep_window=keep_window)
+                              method="plain", keep_window=keep_window)
 
 
 def enriched_quotes(values: DataFrame, metrics: DataFrame, watermark: str = WATERMARK,

@@ -10,6 +10,8 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -77,3 +79,28 @@ def run_available_now(stream: DataFrame, out_dir: str | None, checkpoint_dir: st
     finally:
         q.stop()
     return q
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """State rows (of windows: distinct window and key, a batch each) that a query has dropped because they
+    came behind the watermark, over the micro-batches it still reports
+    (``spark.sql.streaming.numRecentProgressUpdates``, 100 by default; more are an error, not a smaller count)."""
+    reports = query.recentProgress
+    if reports and reports[0].batchId > 0 and len(reports) >= _reports_kept(query):
+        raise RuntimeError("more micro-batches than the session keeps progress reports of")
+    return sum(op.numRowsDroppedByWatermark for r in reports for op in r.stateOperators)
+
+
+def _reports_kept(query: StreamingQuery) -> int:
+    from pyspark.sql import SparkSession
+    return int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+
+
+def state_rows(spark, checkpoint_dir: str, operator: int = 0) -> DataFrame:
+    """The state of a stopped query's stateful operator as of its last batch: key and value structs. An
+    aggregation's value holds the buffers in the order of its aggregates; their fields are numbered
+    (``max_2``) because several may bear one name."""
+    rows = spark.read.format("statestore").option("operatorId", str(operator)).load(checkpoint_dir)
+    fields = rows.schema["value"].dataType.fields
+    numbered = StructType([StructField(f"{f.name}_{k}", f.dataType) for k, f in enumerate(fields)])
+    return rows.select("key", F.col("value").cast(numbered).alias("value"))

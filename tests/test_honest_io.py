@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from liqspark import session as S
 from liqspark.operators import clean
 from liqspark.plans import catalog, proxies as P, stream_job
-from liqspark.sinks.upsert import upsert_latest
+from liqspark.sinks import upsert
+from liqspark.sinks.upsert import read_upserted, upsert_latest, vacuum
 from liqspark.sources.snapshot import read_snapshots, snapshot_explode, snapshot_rejects
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def quotes(spark, rows):
 
 
 def table_rows(spark, path):
-    return sorted((r.bond, r.bid, r.date is None) for r in spark.read.parquet(path).collect())
+    return sorted((r.bond, r.bid, r.date is None) for r in read_upserted(spark, path).collect())
 
 
 def test_upsert_keeps_rows_without_a_date(spark, tmp_dir):
@@ -37,13 +38,75 @@ def test_upsert_keeps_rows_without_a_date(spark, tmp_dir):
 def test_upsert_refuses_a_damaged_table(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert_latest(quotes(spark, [(i, 1.0, 1, 1) for i in range(50)]), path)
-    for part in glob.glob(f"{path}/date=*/*.parquet"):
+    for part in glob.glob(f"{path}/data/*/*/*.parquet"):
         with open(part, "wb") as f:
             f.write(b"not parquet")
     with pytest.raises(Exception):
         upsert_latest(quotes(spark, [(1, 2.0, 1, 2)]), path)
 
 
+@pytest.mark.parametrize("at", ["write", "switch", "after"])
+def test_upsert_survives_a_crash(spark, tmp_dir, monkeypatch, at):
+    """The commit breaks off before its rows are written, with them written, or after the switch. Readers
+    see the old table or the new one, the replay ends in the right one, stale folders go."""
+    path = f"{tmp_dir}/t"
+    first = quotes(spark, [(1, 1.0, None, 1), (2, 2.0, 1, 1), (3, 3.0, 2, 1)])
+    second = quotes(spark, [(1, 0.5, None, 0), (2, 9.0, 1, 2), (4, 4.0, 1, 1)])
+    upsert_latest(first, path)
+    before = table_rows(spark, path)
+    old_reader = read_upserted(spark, path)
+    real_switch, real_merge, calls = upsert._switch, upsert.latest_quote, []
+
+    def broken_switch(*args):
+        if at == "after":
+            real_switch(*args)
+        raise RuntimeError("crash")
+
+    def broken_merge(df, *args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("crash")
+        return real_merge(df, *args)
+
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "_switch", broken_switch) if at != "write" else m.setattr(upsert, "latest_quote", broken_merge)
+        with pytest.raises(RuntimeError, match="crash"):
+            upsert_latest(second, path)
+    want = [(1, 1.0, True), (2, 9.0, False), (3, 3.0, False), (4, 4.0, False)]
+    assert table_rows(spark, path) == (want if at == "after" else before)
+    upsert_latest(second, path)
+    assert table_rows(spark, path) == want
+    assert sorted((r.bond, r.bid) for r in old_reader.collect()) == [(1, 1.0), (2, 2.0), (3, 3.0)]  # its folders are still there
+    folders = set(glob.glob(f"{path}/data/*"))
+    gone = vacuum(spark, path)
+    assert table_rows(spark, path) == want and gone == len(folders) - len(glob.glob(f"{path}/data/*")) > 0 or at == "write"
+    assert vacuum(spark, path) == 0
+
+
+def test_two_writers_cannot_commit_one_version(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    upsert_latest(quotes(spark, [(1, 1.0, 1, 1)]), path)
+    held = upsert._manifest(spark, path, 1)
+    upsert._switch(spark, path, 2, held)
+    with pytest.raises(RuntimeError, match="another writer"):
+        upsert._switch(spark, path, 2, held)
+    assert upsert.current_version(spark, path) == 2 and len(table_rows(spark, path)) == 1
+
+
+def test_upserted_versions_and_partitions(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    with pytest.raises(FileNotFoundError):
+        read_upserted(spark, path)
+    upsert_latest(quotes(spark, [(1, 1.0, None, 1), (2, 2.0, 1, 1)]), path)
+    upsert_latest(quotes(spark, [(1, 5.0, None, 2)]), path)
+    upsert_latest(quotes(spark, []), path)  # an empty batch is no new version
+    assert upsert.current_version(spark, path) == 2
+    assert sorted(r.bid for r in read_upserted(spark, path, version=1).collect()) == [1.0, 2.0]
+    assert [r.bid for r in read_upserted(spark, path, partitions=[None]).collect()] == [5.0]
+    schema = read_upserted(spark, path).schema
+    assert read_upserted(spark, path, schema, ["2031-01-01"]).count() == 0
+
+
 def test_upsert_table_holds_the_newest_quote_of_the_stream(spark, tmp_dir):
     _, metrics = catalog._materialized_metrics(spark, SF)
     P.intraday_json(spark, SF).select("value").write.text(f"{tmp_dir}/landing")
@@ -51,7 +114,7 @@ def test_upsert_table_holds_the_newest_quote_of_the_stream(spark, tmp_dir):
     q = stream_job.start(spark, values, metrics, f"{tmp_dir}/out", available_now=True, upsert_table=f"{tmp_dir}/table")
     q.awaitTermination()
     assert q.exception() is None
-    got = spark.read.parquet(f"{tmp_dir}/table")
+    got = read_upserted(spark, f"{tmp_dir}/table")
     events = P.table(spark, SF, "events")
     assert got.agg(F.max("update_ts").cast("timestamp_ntz")).first()[0] == events.agg(F.max("ts").cast("timestamp_ntz")).first()[0]
     assert got.count() == events.select("user_id", "event_type", F.to_date("ts")).distinct().count()

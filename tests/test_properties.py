@@ -4,6 +4,8 @@ strategies agree, SQL = DSL, n*m fan-out."""
 import datetime as dt
 import random
 
+import pytest
+
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -65,8 +67,8 @@ def test_sql_and_dsl_medians_agree(spark):
 def test_preaggregated_windows_equal_native(spark):
     from liqspark.plans import catalog
     q = catalog._typed_quotes(spark, SF)
-    a = sliding_window_agg(q, preaggregate=True).withColumn("volume_money", F.round("volume_money", 6))
-    b = sliding_window_agg(q, preaggregate=False).withColumn("volume_money", F.round("volume_money", 6))
+    a = sliding_window_agg(q, method="buckets").withColumn("volume_money", F.round("volume_money", 6))
+    b = sliding_window_agg(q, method="plain").withColumn("volume_money", F.round("volume_money", 6))
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0
 
@@ -79,8 +81,8 @@ def test_preaggregation_with_uneven_slide(spark):
              t0 + dt.timedelta(seconds=rng.randint(0, 3600))) for _ in range(200)]
     df = spark.createDataFrame(rows, "bond long, tg long, date date, volume_money double, "
                                      "bid double, ask double, update_ts timestamp")
-    a = sliding_window_agg(df, "10 minutes", "4 minutes", preaggregate=True)
-    b = sliding_window_agg(df, "10 minutes", "4 minutes", preaggregate=False)
+    a = sliding_window_agg(df, "10 minutes", "4 minutes", method="buckets")
+    b = sliding_window_agg(df, "10 minutes", "4 minutes", method="plain")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -144,3 +146,21 @@ def test_salted_and_single_stage_kll_agree_on_proxy_quotes(spark):
     c = liquidity.median_by_bond_date(spreads, method="percentile_approx")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.exceptAll(c).count() == 0
+
+
+@pytest.mark.parametrize("window,slide", [("30 minutes", "1 minute"), ("10 minutes", "4 minutes"), ("5 minutes", "5 minutes")])
+def test_framed_windows_equal_native(spark, window, slide):
+    """Dense and sparse keys, null prices, null times, times before 1970 and over midnight."""
+    rng = random.Random(7)
+    base = dt.datetime(1969, 12, 31, 23, 40)
+    rows = []
+    for _ in range(400):
+        ts = None if rng.random() < .03 else base + dt.timedelta(seconds=rng.randrange(0, rng.choice([600, 40_000])))
+        price = None if rng.random() < .2 else float(rng.randrange(100))
+        rows.append((rng.randrange(3), rng.choice([1, 2, None]), ts.date() if ts else None, price, price, price, ts))
+    q = spark.createDataFrame(rows, "bond long, tg long, date date, volume_money double, bid double, ask double, update_ts timestamp").repartition(3)
+    a, b = sliding_window_agg(q, window, slide, method="frames"), sliding_window_agg(q, window, slide, method="plain")
+    assert a.schema.simpleString() == b.schema.simpleString() and b.count() > 100
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    with pytest.raises(ValueError):
+        sliding_window_agg(q, method="other")

@@ -8,7 +8,7 @@ import time
 from pyspark.sql import functions as F
 
 from liqspark.operators.windows import sliding_window_agg
-from liqspark.sinks.upsert import upsert_writer
+from liqspark.sinks.upsert import read_upserted, upsert_writer
 from liqspark.streaming.quotes import windowed_quotes
 from liqspark.streaming.runner import run_available_now
 
@@ -87,13 +87,13 @@ def test_foreach_batch_upsert_keeps_newest_and_replay_is_noop(spark, tmp_dir):
     stream = parse_quote_json(_text_stream(spark, src)).select("bond", "tg", "date", "bid", "update_ts")
     write = upsert_writer(target)
     run_available_now(stream, None, f"{tmp_dir}/ck", foreach_batch=write)
-    got = sorted((r.tg, str(r.date), r.bid) for r in spark.read.parquet(target).collect())
+    got = sorted((r.tg, str(r.date), r.bid) for r in read_upserted(spark, target).collect())
     assert got == [(20, "2019-10-01", 2.0), (20, "2019-10-02", 5.0), (30, "2019-10-01", 4.0)]
     # Replaying a batch changes nothing.
     replay = parse_quote_json(spark.read.text(f"{src}/a.json")).select(
         "bond", "tg", "date", "bid", "update_ts")
     write(replay, 0)
-    again = sorted((r.tg, str(r.date), r.bid) for r in spark.read.parquet(target).collect())
+    again = sorted((r.tg, str(r.date), r.bid) for r in read_upserted(spark, target).collect())
     assert again == got
 
 
@@ -141,13 +141,51 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
     batch = spark.createDataFrame([(1, 1, dt.date(2019, 10, 3), 9.0, dt.datetime(2019, 10, 3, 11))],
                                   df.schema)
     upsert_latest(batch, target)
-    got = spark.read.parquet(target)
+    got = read_upserted(spark, target)
     assert got.count() == 25
     assert got.where("bond = 1 AND date = '2019-10-03'").first().bid == 9.0
-    # The read of the current table is pruned to the touched date.
-    cur = spark.read.parquet(target).where(F.col("date").isin([dt.date(2019, 10, 3)]))
-    plan = cur._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan and "2019-10-03" in plan
+    # Only the touched date has moved to the second version's folder, and it alone is read for it.
+    from liqspark.sinks.upsert import _manifest
+    one, two = (_manifest(spark, target, v) for v in (1, 2))
+    assert [k for k in two if one[k] != two[k]] == ["_partition=2019-10-03"]
+    files = read_upserted(spark, target, partitions=["2019-10-03"]).inputFiles()
+    assert files and all("_partition=2019-10-03" in f and "/data/000000000002-" in f for f in files)
+
+
+def test_dropped_windows_are_counted(spark, tmp_dir):
+    from liqspark.streaming.runner import dropped_by_watermark
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    base, dropped = time.time() - 1000, []
+    for k, ts in enumerate(["2019-10-01T12:00:00", "2019-10-01T09:50:00", "2019-10-01T05:00:00"]):
+        _land(src, f"f{k}", [_event(ts, k)], base + 10 * k)
+        dropped.append(dropped_by_watermark(run_available_now(windowed_quotes(_text_stream(spark, src, 10)), out, ck)))
+    assert dropped == [0, 10, 30]
+
+
+def test_open_windows_are_read_from_state(spark, tmp_dir):
+    from liqspark.streaming.runner import state_rows
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    _land(src, "a", [_event("2019-10-01T12:00:00", 1), _event("2019-10-01T09:50:00", 2, tg=30)], time.time() - 100)
+    run_available_now(windowed_quotes(_text_stream(spark, src)), out, ck)
+    held = state_rows(spark, ck).select("key.*", "value.*").collect()
+    closed = spark.read.parquet(out).count()
+    assert closed == 10 and len(held) == 50 and sorted({r.tg for r in held}) == [20, 30]
+
+
+def test_published_once_keeps_updates_and_drops_repeats(spark, tmp_dir):
+    from liqspark.sources.snapshot import published_once, snapshot_explode, snapshot_stream
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    item = lambda i, ts, **more: {"id": str(i), "emission_id": "5", "trading_ground_id": "1", "update_time": ts, **more}
+    page = lambda *items: json.dumps({"count": len(items), "items": items}, indent=1).split("\n")
+    base = time.time() - 1000
+    polls = [page(item(1, "2019-10-01T10:00:00"), item(2, "2019-10-01T10:00:00"), item(9, "soon")),
+             page(item(1, "2019-10-01T10:00:00"), item(2, "2019-10-01T10:05:00"), item(3, "2019-10-01T10:05:00")), page(),
+             page(item(1, "2019-10-01T10:00:00"), item(3, "2019-10-01T10:05:00"), item(3, "2019-10-01T10:05:00"))]
+    for k, lines in enumerate(polls):
+        _land(src, f"p{k}", lines, base + 10 * k)
+        run_available_now(published_once(snapshot_explode(snapshot_stream(spark, src))), out, ck)
+    got = sorted((r.id, r.update_ts[-8:]) for r in spark.read.parquet(out).collect())
+    assert got == [("1", "10:00:00"), ("2", "10:00:00"), ("2", "10:05:00"), ("3", "10:05:00")]
 
 
 def test_stream_enrichment_without_broadcast_matches(spark, tmp_dir):
