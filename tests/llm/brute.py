@@ -1,9 +1,11 @@
 """Plain Python versions of the operators, for small tables."""
 
 import hashlib
+import itertools
 import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 WHITE = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -80,3 +82,65 @@ def mix(rows, most=2, seed="mix"):
             taken[d] += words
             room -= words
     return taken, size, goal
+
+
+def trie(rows):
+    """Nodes of rows (conv_id, turn, role, text): (conv_id, depth, parent, members, children, leaves, saved, ends)."""
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs[c].append(((turn is not None, turn or 0), role or "", text or ""))
+    own = {c: [(r, t) for _, r, t in sorted(v)] for c, v in convs.items()}
+    members, ends, children = defaultdict(list), defaultdict(list), defaultdict(list)
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(math.fmod(c, 20))
+        rebuilt = own.get(base, [])[:h] + turns[h:]
+        for d in range(len(rebuilt) + 1):
+            members[tuple(rebuilt[:d])].append(c)
+        ends[tuple(rebuilt)].append(c)
+    for k in members:
+        if k:
+            children[k[:-1]].append(k)
+    total, out = {}, []
+    for k in sorted(members, key=len, reverse=True):
+        leaves = sum(total[c][0] for c in children[k]) or 1
+        saved = sum(total[c][1] for c in children[k]) + ((len(members[k]) - 1) * len(WHITE.findall(k[-1][1])) if k else 0)
+        total[k] = leaves, saved
+        ids = ",".join(map(str, sorted(ends[k])))
+        out.append((min(members[k]), len(k), min(members[k[:-1]]) if k else None, len(members[k]), len(children[k]), leaves, saved,
+                    hashlib.sha256(ids.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def aligned(texts, tokenizer, pieces, bytes_a, bytes_b):
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups hash) of each text by the libraries' own encoding of the whole text."""
+    docs, count = [], Counter()
+    for text in texts:
+        a, b = (tokenizer.encode(" " + text, add_special_tokens=False).ids, pieces.encode(text)) if text else ([], [])
+        raw = (" " + text).encode() if text else b""
+        if not text or b"".join(bytes_a[k] for k in a) != raw or b"".join(bytes_b(k) for k in b) != raw:
+            docs.append(None)
+            continue
+        end_a, end_b = (list(itertools.accumulate(sizes)) for sizes in ([len(bytes_a[k]) for k in a], [len(bytes_b(k)) for k in b]))
+        groups, i, j = [], 0, 0
+        for end in sorted(set(end_a) & set(end_b)):
+            p, q = end_a.index(end, i) + 1, end_b.index(end, j) + 1
+            groups.append((a[i:p], b[j:q]))
+            i, j = p, q
+        links = Counter((x, y) for left, right in groups for x in left for y in right)
+        count.update(links.keys())
+        docs.append((len(a), len(b), groups, links))
+    best = defaultdict(int)
+    for (x, _), n in count.items():
+        best[x] = max(best[x], n)
+    out = []
+    for doc in docs:
+        if doc is None:
+            out.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = doc
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((n_a, n_b, len(groups), sum(links.values()), sum(m for k, m in links.items() if count[k] == best[k[0]]),
+                    sum(m * count[k] for k, m in links.items()), hashlib.sha256(text.encode()).hexdigest()))
+    return out
