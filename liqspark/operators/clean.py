@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..schemas import (BONDS, EXCHANGE, OTC_KEYS, OTC_PAIRED, REJECT_COL, enforce_schema, split_quarantine,
@@ -25,7 +25,7 @@ def _not_null(df: DataFrame, cols: Iterable[str]):
 
 
 def clean_exchange_quotes(raw: DataFrame, excluded_grounds: Iterable[int] = EXCLUDED_GROUNDS,
-                          mode: str = "drop") -> DataFrame:
+                          mode: str = "drop", observation: Observation | None = None) -> DataFrame:
     """Exchange quotes -> (bond, tg, date, bid, ask), typed, non-null.
 
     Raw nulls are filtered first (pushed to the scan), excluded trading grounds
@@ -37,17 +37,17 @@ def clean_exchange_quotes(raw: DataFrame, excluded_grounds: Iterable[int] = EXCL
     excluded = list(excluded_grounds)
     if excluded:
         typed = typed.where(~F.col("tg").isin(excluded) | F.col("tg").isNull())
-    return enforce_schema(typed, EXCHANGE, mode)
+    return enforce_schema(typed, EXCHANGE, mode, observation)
 
 
-def clean_bonds(raw: DataFrame, mode: str = "drop") -> DataFrame:
+def clean_bonds(raw: DataFrame, mode: str = "drop", observation: Observation | None = None) -> DataFrame:
     """Bond list -> (id, isin, date_of_end_placing, maturity_date, usd_volume)."""
     keep = raw.where(_not_null(raw, ["id", "isin_code"]))
     typed = typed_select(keep, BONDS, renames={"isin": "isin_code"})
-    return enforce_schema(typed, BONDS, mode)
+    return enforce_schema(typed, BONDS, mode, observation)
 
 
-def _otc_side(raw: DataFrame, quote_type: int, price_name: str, mode: str) -> DataFrame:
+def otc_side(raw: DataFrame, quote_type: int, price_name: str, mode: str, observation: Observation | None = None) -> DataFrame:
     """One side, typed, with its non-null contract enforced in ``mode`` before
     any join could drop a bad key. Unpriced quotes (price null or not above 0)
     are left out in every mode."""
@@ -60,10 +60,10 @@ def _otc_side(raw: DataFrame, quote_type: int, price_name: str, mode: str) -> Da
         return side.select(*[F.coalesce(k, F.raise_error(F.lit(f"OTC quote with a bad {f.name}")).cast(f.dataType)).alias(f.name)
                              for k, f in zip(keys, OTC_KEYS.fields)], price_name)
     typed = side.select(*[k.alias(f.name) for k, f in zip(keys, OTC_KEYS.fields)], price_name)
-    return enforce_schema(typed, OTC_KEYS, mode)
+    return enforce_schema(typed, OTC_KEYS, mode, observation)
 
 
-def pair_otc_quotes(raw: DataFrame, mode: str = "drop") -> DataFrame:
+def pair_otc_quotes(raw: DataFrame, mode: str = "drop", observations: tuple[Observation, Observation] | None = None) -> DataFrame:
     """OTC quotes arrive one side per row; pair every bid with every ask of the
     same (bond, org, date).
 
@@ -74,9 +74,11 @@ def pair_otc_quotes(raw: DataFrame, mode: str = "drop") -> DataFrame:
 
     A priced quote whose key doesn't cast is dropped, fails the job
     (``assert``), or (``quarantine``) comes out unpaired with its broken fields.
+    ``observations`` (of bids, of asks) count the rejects; not with ``assert``, which has none.
     """
-    bids = _otc_side(raw, OTC_BID, "bid", mode)
-    asks = _otc_side(raw, OTC_ASK, "ask", mode)
+    of_bids, of_asks = observations or (None, None)
+    bids = otc_side(raw, OTC_BID, "bid", mode, of_bids)
+    asks = otc_side(raw, OTC_ASK, "ask", mode, of_asks)
     names = [f.name for f in OTC_PAIRED.fields]
     if mode != "quarantine":
         return bids.join(asks, ["bond", "org", "date"], "inner").select(*names)

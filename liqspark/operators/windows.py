@@ -98,6 +98,22 @@ def sliding_window_agg(quotes: DataFrame, window: str = WINDOW, slide: str = SLI
     return _project(agg, keys, keep_window)
 
 
+def chained_window_agg(quotes: DataFrame, window: str = WINDOW, slide: str = SLIDE, keys: Sequence[str] = KEYS,
+                       ts_col: str = "update_ts") -> DataFrame:
+    """The aggregate of a watermarked stream by two stateful operators: quotes into rows of one
+    ``gcd(window, slide)`` bucket, then closed buckets into their windows. Only bucket rows are copied
+    into windows, and a window's state is opened by its first closed bucket, not by its first quote: the first
+    operator holds a row a key and open bucket, the second window / slide rows a key. Same windows as
+    ``sliding_window_agg``, in append mode."""
+    keys = list(keys)
+    bucket = f"{math.gcd(duration_us(window), duration_us(slide))} microseconds"
+    pre = quotes.groupBy(F.window(ts_col, bucket).alias("_minute"), *keys).agg(*_partial_aggs(ts_col))
+    closed = pre.withColumn("_at", F.window_time("_minute"))
+    agg = closed.groupBy(F.window("_at", window, slide).alias("window"), *keys).agg(
+        *_final_aggs("_vm", "_bid", "_ask", "_ts", F.sum("_cnt")))
+    return _project(agg, keys, True)
+
+
 def _partial_aggs(ts_col: str) -> list[Column]:
     return [F.sum("volume_money").alias("_vm"), F.max("bid").alias("_bid"), F.max("ask").alias("_ask"),
             F.max(ts_col).alias("_ts"), F.count(ts_col).alias("_cnt")]

@@ -250,6 +250,40 @@ def q_otc_strict_quarantine(spark, sf_dir):
     return _shown(clean.pair_otc_quotes(P.otc_quotes_text(spark, sf_dir), mode="quarantine"), ["bond", "bid", "ask"])
 
 
+SQL_REJECTS = "WITH " + SQL_EXCHANGE_TEXT + "," + SQL_OTC_TEXT + """,
+bond AS (SELECT p_partkey * 2 AS id FROM part)
+SELECT 'exchange' AS feed, 'tg' AS field, count(*) FILTER (line = 5) AS rejected, count(*) AS n_rows FROM ext
+UNION ALL SELECT 'exchange', 'bid', count(*) FILTER (line = 7), count(*) FROM ext
+UNION ALL SELECT 'exchange', '', count(*) FILTER (line IN (5, 7)), count(*) FROM ext
+UNION ALL SELECT 'otc_bids', 'bond', count(*) FILTER (bad), count(*) FROM side WHERE flag = 'A'
+UNION ALL SELECT 'otc_bids', '', count(*) FILTER (bad), count(*) FROM side WHERE flag = 'A'
+UNION ALL SELECT 'otc_asks', 'bond', count(*) FILTER (bad), count(*) FROM side WHERE flag = 'R'
+UNION ALL SELECT 'otc_asks', '', count(*) FILTER (bad), count(*) FROM side WHERE flag = 'R'
+UNION ALL SELECT 'bonds', 'id', count(*) FILTER (id % 14 = 0), count(*) FROM bond
+UNION ALL SELECT 'bonds', '', count(*) FILTER (id % 14 = 0), count(*) FROM bond"""
+
+
+@register("reject_counts", "SELECT * FROM (" + SQL_REJECTS + ") WHERE rejected > 0 OR field = ''")
+def q_reject_counts(spark, sf_dir):
+    """Rejected rows of every feed and, of those, the ones that break each field (a feed's total has
+    no field): counted while the metrics and the OTC pairs are made and written, without a scan of their own."""
+    from pyspark.sql import Observation
+    from ..schemas import rejects
+    from ..sinks.writers import write_parquet
+    seen = {feed: Observation(feed) for feed in ("exchange", "bonds", "otc_bids", "otc_asks")}
+    exchange = clean.clean_exchange_quotes(P.exchange_quotes_text(spark, sf_dir), P.PROXY_EXCLUDED_GROUNDS, observation=seen["exchange"])
+    bonds = clean.clean_bonds(P.bonds_text(spark, sf_dir), observation=seen["bonds"])
+    pairs = clean.pair_otc_quotes(P.otc_quotes_text(spark, sf_dir), observations=(seen["otc_bids"], seen["otc_asks"]))
+    for df, name in ((liquidity.liquidity_metrics(exchange, bonds, sort=False), "counted-metrics"), (pairs, "counted-pairs")):
+        S.remove_scratch(spark, write_parquet(df, S.scratch_dir(spark, name)))
+    rows = []
+    for feed, observation in seen.items():
+        counts = rejects(observation)
+        rows += [(feed, "", counts["rejected"], counts["rows"])]
+        rows += [(feed, c.removeprefix("bad_"), n, counts["rows"]) for c, n in counts.items() if c.startswith("bad_") and n]
+    return spark.createDataFrame(rows, "feed string, field string, rejected bigint, n_rows bigint")
+
+
 # ---------------------------------------------------------------------------
 # CSV scans: the whole feed written as header CSV, then read as the batch job reads it
 
@@ -504,6 +538,55 @@ def q_notebook_head(spark, sf_dir):
     return metrics.orderBy("id").limit(10)
 
 
+SQL_LAST_YEAR = """(SELECT strftime(max(date_trunc('year', l_shipdate)), '%Y%m%d') FROM lineitem)"""
+
+
+@register("metrics_latest_anchor", "WITH " + SQL_METRICS + f"\nSELECT *, {SQL_LAST_YEAR} AS anchor_date FROM metrics")
+def q_metrics_latest_anchor(spark, sf_dir):
+    """Three daily copies as partitions of one table, each of the quotes up to its day; the newest day is written
+    neither last nor once. Read back: the newest day."""
+    from ..sinks.writers import read_newest_metrics, write_metrics_day
+    exchange, path = _exchange(spark, sf_dir), S.scratch_dir(spark, "metrics-days")
+    days = [r[0] for r in exchange.select("date").distinct().orderBy(F.col("date").desc()).limit(3).collect()]
+    for day in [days[0], *days[:0:-1], days[0], *days[1:2]] if days else []:
+        metrics = liquidity.liquidity_metrics(exchange.where(F.col("date") <= F.lit(day)), _bonds(spark, sf_dir), sort=False)
+        write_metrics_day(metrics, path, day.strftime("%Y%m%d"))
+    return read_newest_metrics(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# Large sides bucketed by bond
+
+def _buckets(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@register("bucketed_bond_rank", "WITH " + SQL_METRICS + "\nSELECT * FROM metrics")
+def q_bucketed_bond_rank(spark, sf_dir):
+    """The bond list and the ranks, both written in buckets of the bond, joined without a shuffle."""
+    from ..sinks.bucketed import join_bucketed, write_bucketed, write_bucketed_lookup
+    ranks = liquidity.rank_by_median(liquidity.spread_medians(_exchange(spark, sf_dir)))
+    listed = write_bucketed(_bonds(spark, sf_dir), S.scratch_dir(spark, "bucketed-bonds"), "id", _buckets(spark))
+    ranked = write_bucketed_lookup(ranks, S.scratch_dir(spark, "bucketed-ranks"), "bond", _buckets(spark))
+    return join_bucketed(spark, listed, ranked).select(*liquidity.METRIC_COLUMNS)
+
+
+@register("bucketed_enrichment", "WITH " + SQL_METRICS + "," + SQL_TYPED + """
+SELECT q.*, m.isin, m.bid_ask_spread_relative_median AS baspread_rel_median, m.bid_ask_spread_relative_rank AS baspread_rel_rank
+FROM q LEFT JOIN metrics m ON m.id = q.bond""")
+def q_bucketed_enrichment(spark, sf_dir):
+    """Every typed quote with its bond's metrics, both sides bucketed; the quotes of a bond lie in eight
+    buckets, so a bond with most of them is not one task."""
+    from ..sinks.bucketed import join_bucketed, write_bucketed, write_bucketed_lookup
+    from ..streaming.quotes import to_wall_clock
+    metrics = _metrics(spark, sf_dir, sort=False).select(
+        "id", "isin", F.col("bid_ask_spread_relative_median").alias("baspread_rel_median"),
+        F.col("bid_ask_spread_relative_rank").alias("baspread_rel_rank"))
+    quotes = write_bucketed(to_wall_clock(_typed_quotes(spark, sf_dir)), S.scratch_dir(spark, "bucketed-quotes"), "bond", _buckets(spark), salts=8)
+    lookup = write_bucketed_lookup(metrics, S.scratch_dir(spark, "bucketed-metrics"), "id", _buckets(spark), salts=8)
+    return join_bucketed(spark, quotes, lookup, "left").drop("id")
+
+
 # ---------------------------------------------------------------------------
 # Streaming (file source standing in for the topic; availableNow, then read back)
 
@@ -549,6 +632,38 @@ def q_stream_sliding_window(spark, sf_dir):
     return _round_sum(to_wall_clock(out))
 
 
+def _chained(spark, sf_dir):
+    from ..streaming.quotes import chained_quotes
+    from ..streaming.runner import run_available_now
+    out = S.scratch_dir(spark, "stream-chained")
+    run_available_now(chained_quotes(_event_stream(spark, sf_dir)), out, f"{out}/_checkpoint", state_partitions=_state_partitions(spark))
+    return out
+
+
+@register("stream_chained_windows", "WITH " + SQL_WINDOWS +
+          f"\nSELECT * FROM win WHERE window_end <= {WATERMARK_CUT}")
+def q_stream_chained_windows(spark, sf_dir):
+    """The same windows by two stateful operators: per minute, then 30 minutes every minute."""
+    from ..streaming.quotes import to_wall_clock
+    return _round_sum(to_wall_clock(spark.read.parquet(_chained(spark, sf_dir))))
+
+
+@register("stream_chained_state", "WITH " + SQL_TYPED + f""",
+minutes AS (SELECT DISTINCT date_trunc('minute', update_ts) AS m, bond, tg, "date" FROM q),
+open AS (SELECT * FROM minutes WHERE m + INTERVAL 1 MINUTE > {WATERMARK_CUT}),
+begun AS (SELECT DISTINCT m - to_minutes(k) AS w, bond, tg, "date" FROM minutes, range(0, 30) r(k) WHERE m + INTERVAL 1 MINUTE <= {WATERMARK_CUT})
+SELECT 'minutes' AS held, count(*) AS state_rows FROM open
+UNION ALL SELECT 'windows', count(*) FROM begun WHERE w + INTERVAL 30 MINUTE > {WATERMARK_CUT}""")
+def q_stream_chained_state(spark, sf_dir):
+    """What each of the two operators still holds at the end, from the state store: minutes not yet closed,
+    and open windows with a closed minute."""
+    from ..streaming.runner import state_rows
+    out = _chained(spark, sf_dir)
+    # Operators are numbered from the output back.
+    windows, minutes = (state_rows(spark, f"{out}/_checkpoint", operator).agg(F.count(F.lit(1)).alias("state_rows")) for operator in (0, 1))
+    return minutes.select(F.lit("minutes").alias("held"), "state_rows").unionByName(windows.select(F.lit("windows").alias("held"), "state_rows"))
+
+
 def _enriched_stream_output(spark, sf_dir):
     from ..streaming.quotes import enriched_quotes, to_wall_clock
     metrics, _ = _materialized_metrics(spark, sf_dir)

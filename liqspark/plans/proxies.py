@@ -20,6 +20,7 @@ EVENT_TYPE_GROUND = {"click": 1, "error": 2, "purchase": 3, "signup": 4, "view":
 # Listed bond ids and quoted bonds overlap in part: ids are twice the part key,
 # intraday bonds twenty times the user.
 LISTED_ID_FACTOR, EVENT_BOND_FACTOR = 2, 20
+BAD_ID_EVERY = 14
 # Text feeds: what the quote lines of these numbers hold instead of a value.
 BAD_PRICE_LINE, NO_DATE_LINE, BAD_KEY_LINE = 7, 6, 5
 # Bond list dates: placing ends 2010-01-01 + p_size months; maturity 2015-01-01 + p_size years.
@@ -102,6 +103,14 @@ def bonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bonds_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bond list as text; the ids of some are unreadable."""
+    sized = bonds(spark, sf_dir)
+    bad = F.col("id") % BAD_ID_EVERY == 0
+    return sized.select(F.when(bad, "n/a").otherwise(F.col("id").cast("string")).alias("id"),
+                        *[F.col(c).cast("string").alias(c) for c in sized.columns if c != "id"])
+
+
 def _ground(event_type: Column) -> Column:
     lookup = F.create_map(*[x for k, v in EVENT_TYPE_GROUND.items() for x in (F.lit(k), F.lit(v))])
     return lookup[event_type]

@@ -14,7 +14,7 @@ No RDD round trip, so predicates and column pruning still reach the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, LongType, StringType, StructField,
                                StructType, TimestampNTZType, TimestampType)
@@ -109,10 +109,28 @@ def _violations(schema: StructType) -> Column:
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
-def enforce_schema(df: DataFrame, schema: StructType, mode: str = "drop") -> DataFrame:
-    """Enforce the non-null contract of ``schema`` on an already typed ``df``."""
+def _observed(df: DataFrame, schema: StructType, observation: Observation) -> DataFrame:
+    required = [f.name for f in schema.fields if not f.nullable]
+    broken = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"bad_{c}") for c in required]
+    bad_rows = F.count(F.when(F.size(_violations(schema)) > 0, 1))
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), bad_rows.alias("rejected"), *broken)
+
+
+def rejects(observation: Observation) -> dict[str, int]:
+    """What an observation given to ``enforce_schema`` has counted: ``rows`` and ``rejected`` rows, and
+    ``bad_<field>`` for every non-nullable field (a row that breaks two counts in both). Waits for the
+    first action over the frame. Rows of map tasks run again after a lost executor count again: a
+    figure to watch a feed by; the rows themselves are those of ``quarantine``."""
+    return dict(observation.get)
+
+
+def enforce_schema(df: DataFrame, schema: StructType, mode: str = "drop", observation: Observation | None = None) -> DataFrame:
+    """Enforce the non-null contract of ``schema`` on an already typed ``df``. An ``observation`` counts
+    the rejects on the way, in whatever job reads the rows: no scan of its own (see ``rejects``)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    if observation is not None:
+        df = _observed(df, schema, observation)
     required = [F.col(f.name).isNotNull() for f in schema.fields if not f.nullable]
     if not required:
         return df.withColumn(REJECT_COL, _violations(schema)) if mode == "quarantine" else df

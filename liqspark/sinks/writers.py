@@ -10,6 +10,8 @@ split into parallel range queries on a numeric column.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.sentinel import apply_far_date_sentinel
 from ..schemas import METRICS
@@ -41,6 +43,33 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
     return path
 
 
+ANCHOR = "anchor_date"
+
+
+def write_metrics_day(df: DataFrame, path: str, anchor: str) -> str:
+    """The metrics of one day as the partition ``anchor_date=<yyyyMMdd>`` of the table at ``path``. A day
+    that is written again replaces its own partition and no other; a day without rows changes
+    nothing."""
+    if not (len(anchor) == 8 and anchor.isdecimal()):
+        raise ValueError(f"an anchor is yyyyMMdd, got {anchor!r}")
+    (df.withColumn(ANCHOR, F.lit(anchor)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(ANCHOR).parquet(path))
+    return path
+
+
+def read_metrics_days(spark: SparkSession, path: str) -> DataFrame:
+    """All days of the table; the anchor stays text (inferred it would be a number)."""
+    return spark.read.schema(StructType([*METRICS.fields, StructField(ANCHOR, StringType())])).parquet(path)
+
+
+def read_newest_metrics(spark: SparkSession, path: str, upto: str | None = None) -> DataFrame:
+    """The newest day of the table, or the newest at or before ``upto``. The day is a scalar subquery
+    over the partition column alone, so the scan is pruned to one partition when it starts."""
+    days = read_metrics_days(spark, path)
+    wanted = days if upto is None else days.where(F.col(ANCHOR) <= upto)
+    return spark.sql(f"SELECT * FROM {{days}} WHERE {ANCHOR} = (SELECT max({ANCHOR}) FROM {{wanted}})", days=days, wanted=wanted)
+
+
 def read_metrics_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.jsonq import parse_quote_json
-from ..operators.windows import KEYS, SLIDE, WATERMARK, WINDOW, enrich_with_metrics, sliding_window_agg
+from ..operators.windows import KEYS, SLIDE, WATERMARK, WINDOW, chained_window_agg, enrich_with_metrics, sliding_window_agg
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
@@ -50,6 +50,12 @@ def windowed_quotes(values: DataFrame, watermark: str = WATERMARK, window: str =
                               method="plain", keep_window=keep_window)
 
 
+def chained_quotes(values: DataFrame, watermark: str = WATERMARK, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """The windows of ``windowed_quotes`` by two stateful operators in one append query."""
+    typed = parse_quote_json(values).withWatermark("update_ts", watermark)
+    return chained_window_agg(typed, window, slide, KEYS, "update_ts")
+
+
 def enriched_quotes(values: DataFrame, metrics: DataFrame, watermark: str = WATERMARK,
                     window: str = WINDOW, slide: str = SLIDE, keep_window: bool = False,
                     broadcast_max_bytes: int | None = None) -> DataFrame:
