@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .running import running_total
 
 SLOT_TURNS = 256
+BEFORE_ALL = -(1 << 62)  # slot of turns without a number
 UNNAMED = "unknown"
 CLOSE = "<|im_end|>\n"
 
@@ -31,7 +32,7 @@ def rotate_perspectives(turns: DataFrame, slot_turns: int = SLOT_TURNS) -> DataF
     are ignored; an empty table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))
-    said = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("key"), "turn",
+    said = turns.select("conv_id", F.coalesce(F.concat(F.lit("id:"), F.col("conv_id").cast("string")), F.lit("null")).alias("key"), "turn",
                         F.coalesce("role", F.lit(UNNAMED)).alias("speaker"), text.alias("text"), F.length(text).alias("n"))
     present = (said.where("speaker <> 'system'").groupBy("key")
                .agg(F.array_sort(F.collect_set("speaker")).alias("speakers")))
@@ -42,7 +43,7 @@ def rotate_perspectives(turns: DataFrame, slot_turns: int = SLOT_TURNS) -> DataF
     name = F.when(~own & ~system, F.col("speaker"))
     head = F.concat(F.lit("<|im_start|>"), F.col("role"), F.when(F.col("name").isNotNull(), F.concat(F.lit(" name="), F.col("name"))).otherwise(F.lit("")), F.lit("\n"))
     seen = seen.withColumns({"role": role, "name": name}).withColumn("head", head)
-    seen = seen.withColumns({"size": F.length("head") + F.col("n") + len(CLOSE), "slot": F.floor(F.coalesce("turn", F.lit(0)) / slot_turns)})
+    seen = seen.withColumns({"size": F.length("head") + F.col("n") + len(CLOSE), "slot": F.coalesce(F.floor(F.col("turn") / slot_turns), F.lit(BEFORE_ALL))})
     order = [F.col("turn").asc_nulls_first(), F.col("speaker"), F.col("text")]
     placed = running_total(seen, ["key", "perspective"], "slot", order, "size", "seg_end")
     segment = F.concat("head", "text", F.lit(CLOSE)).alias("segment")
