@@ -24,23 +24,25 @@ RENEWED = ("cache-control", "date", "expires", "vary")
 
 def page_captures(pages: DataFrame) -> DataFrame:
     """Capture records that follow from ``pages``: every page is fetched in full and asked
-    for again later; some replies carry another tag, no tag or come before any response."""
+    for again later; some replies carry another tag, no tag or come before any response.
+    A time beyond the ends of bigint is null."""
     page, body = F.col("page_id"), F.md5(F.coalesce("html", F.lit("")))
     day = lambda x: F.concat(F.lit("day "), x.cast("string"))
+    time = lambda later: F.try_add(F.try_multiply(page, F.lit(1000)), later)
     head = lambda **h: F.map_from_arrays(F.array(*[F.lit(k.replace("_", "-")) for k in h]), F.array(*h.values()))
     full = pages.select(
         F.concat(F.lit("f"), page.cast("string")).alias("record_id"), F.lit("response").alias("kind"), "url",
-        (page * 1000).alias("time"), body.alias("etag"), day(page % 9).alias("last_modified"),
+        time(F.lit(0)).alias("time"), body.alias("etag"), day(page % 9).alias("last_modified"),
         head(cache_control=F.lit("max-age=60"), content_length=F.length(F.coalesce("html", F.lit(""))).cast("string"),
              content_type=F.lit("text/html"), date=day(page)).alias("headers"), body.alias("digest"))
-    lag = F.pmod(page * 7919, F.lit(9973)) + 1
+    lag = F.pmod(F.pmod(page, F.lit(9973)) * 7919, F.lit(9973)) + 1
     tag = F.when(page % 5 == 0, F.md5(F.concat_ws(":", F.lit("new"), page.cast("string")))).when(page % 7 != 0, body)
     again = pages.select(
         F.concat(F.lit("r"), page.cast("string")).alias("record_id"), F.lit("revisit").alias("kind"),
         F.concat(F.col("url"), F.when(F.col("url").contains("#"), "").otherwise("#again")).alias("url"),
-        F.when(page % 11 == 0, page * 1000 - 500).otherwise(page * 1000 + lag * 50).alias("time"), tag.alias("etag"),
+        time(F.when(page % 11 == 0, F.lit(-500)).otherwise(lag * 50)).alias("time"), tag.alias("etag"),
         day(page % 9 + F.when(page % 35 == 14, 1).otherwise(0)).alias("last_modified"),
-        head(content_type=F.lit("text/plain"), date=day(page + 1), expires=day(page + 2)).alias("headers"),
+        head(content_type=F.lit("text/plain"), date=day(F.try_add(page, F.lit(1))), expires=day(F.try_add(page, F.lit(2)))).alias("headers"),
         F.lit(None).cast("string").alias("digest"))
     return full.unionByName(again)
 
@@ -60,9 +62,11 @@ def resolve_revisits(records: DataFrame, renewed=RENEWED, slots: int = SLOTS) ->
                             "etag", "last_modified", "digest",
                             F.array_sort(F.map_entries(F.coalesce("headers", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))))).alias("headers"))
     span = events.agg(F.min("time").alias("low"), F.max("time").alias("high"))
-    width = F.greatest(F.lit(1), F.floor((F.col("high") - F.col("low")) / slots))
+    # In doubles, which hold any span; times that become equal share a slot, so slots still rise with time.
+    low, high = F.col("low").cast("double"), F.col("high").cast("double")
+    width = F.greatest(F.lit(1.0), (high - low) / slots)
     events = (events.join(F.broadcast(span))  # one row
-              .withColumn("slot", F.floor((F.col("time") - F.col("low")) / width)).drop("low", "high"))
+              .withColumn("slot", F.floor((F.col("time").cast("double") - low) / width)).drop("low", "high"))
     payload = F.when(F.col("kind") == "response", F.struct("time", "record_id", "etag", "last_modified", "digest", "headers"))
     usable = events.where("canonical is not null and time is not null").withColumn("response", payload)
     key = ["canonical", "slot"]
