@@ -4,8 +4,8 @@ A rolling hash over seven bytes ends a chunk wherever it falls into one of ``b``
 the places depend on the text near them only. Every chunk gives one of 64 signs; a
 fingerprint is ``b:signs:signs at 2b``. ``b`` is the power of two that leaves about 24 to 48
 chunks; a chunk that grows to ``2b`` without a boundary ends there, so that a text which
-repeats a few words has chunks too; what follows the 63rd boundary is one chunk, so a signature
-has at most 64 signs. Two fingerprints compare by edit distance where they share a block size.
+repeats a few words has chunks too. Where that gives more than 64 chunks ``b`` is doubled until it
+does not: every chunk has a sign, and a signature at most 64. Two fingerprints compare by edit distance where they share a block size.
 """
 
 from __future__ import annotations
@@ -46,6 +46,14 @@ def boundaries(ends: np.ndarray, n: int, longest: int) -> np.ndarray:
     return np.sort(np.concatenate((edge, np.repeat(edge[:-1], more) + step * longest)))
 
 
+def _edges(rolling: np.ndarray, n: int, level: int) -> np.ndarray:
+    """Chunk edges of a text of ``n`` bytes for blocks of ``1 << level``."""
+    if 1 << level > 2 * n + ROLL:  # beyond the text: no boundary but its ends
+        return np.array([0, n], np.int64)
+    hit = (rolling >> H.U64(64 - level)) == H.U64((1 << level) - 1)
+    return boundaries(np.flatnonzero(hit) + ROLL, n, LONGEST << level)
+
+
 def fingerprints(texts: list[bytes], hasher: H.PrefixHasher) -> list[str]:
     """The fingerprint of every text; equal texts have equal ones."""
     out = []
@@ -57,12 +65,12 @@ def fingerprints(texts: list[bytes], hasher: H.PrefixHasher) -> list[str]:
         for text, a in zip(part, begins.tolist()):
             n, bits = len(text), block_bits(len(text))
             mine = rolling[a:max(a, a + n - ROLL + 1)]
+            edges = [_edges(mine, n, bits), _edges(mine, n, bits + 1)]
+            while len(edges[0]) > MOST_SIGNS + 1:
+                bits += 1
+                edges = [edges[1], _edges(mine, n, bits + 1)]
             signs = []
-            for level in (bits, bits + 1):
-                top = H.U64((1 << level) - 1)
-                edge = boundaries(np.flatnonzero((mine >> H.U64(64 - level)) == top) + ROLL, n, LONGEST << level)
-                if len(edge) > MOST_SIGNS + 1:
-                    edge = np.append(edge[:MOST_SIGNS], n)
+            for edge in edges:
                 edge = edge + a
                 signs.append(SIGNS[(hasher.span(sums, edge[:-1], edge[1:]) >> H.U64(58)).astype(np.int64)].tobytes().decode() if n else "")
             out.append(f"{1 << bits}:{signs[0]}:{signs[1]}")
