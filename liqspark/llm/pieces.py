@@ -6,8 +6,8 @@ another character; each task keeps a table of the distinct chunks it has met, se
 chunk once when it is new, and joins ids and decoded text back by position. A model with
 pieces across markers is used on whole texts instead.
 
-The table is the task's own: no shuffle, and its size is bounded (``MOST_CHUNKS``; a full table
-is started anew).
+The table is the task's own: no shuffle, and its size is bounded (``MOST_CHUNKS`` entries and ``MOST_CHARS``
+characters of chunks, ids and decoded text; a full table is started anew).
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from .tables import text_of
 
 MARK = "▁"
 MOST_CHUNKS = 400_000
+MOST_CHARS = 64_000_000
 MOST_CHUNK = 4096  # longer chunks are segmented anew each time, not kept
 CHUNK = re.compile(f"[ {MARK}]+[^ {MARK}]*")
 RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -31,11 +32,11 @@ RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 stri
 class ChunkEncoder:
     """Encodes and decodes texts with a SentencePiece model through its chunk table."""
 
-    def __init__(self, model: bytes, most_chunks: int = MOST_CHUNKS):
+    def __init__(self, model: bytes, most_chunks: int = MOST_CHUNKS, most_chars: int = MOST_CHARS):
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.most_chunks = most_chunks
+        self.most_chunks, self.most_chars, self.chars = most_chunks, most_chars, 0
         pieces = [self.processor.id_to_piece(k) for k in range(self.processor.get_piece_size())]
         self.lone = self.processor.piece_to_id(MARK)
         self.separable = MARK in pieces and not any(re.search(f"[^{MARK}]{MARK}", p) for p in pieces) and self._plain()
@@ -57,9 +58,12 @@ class ChunkEncoder:
         if found is None:
             found = self.segment(chunk)
             if len(chunk) <= MOST_CHUNK:
-                if len(self.table) >= self.most_chunks:
+                size = len(chunk) + len(found[1]) + len(found[2])
+                if len(self.table) >= self.most_chunks or self.chars + size > self.most_chars:
                     self.table.clear()
+                    self.chars = 0
                 self.table[chunk] = found
+                self.chars += size
         return found
 
     def run(self, text: str) -> tuple[int, str, str]:
