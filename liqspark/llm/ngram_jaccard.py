@@ -205,7 +205,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     without shingles: where ids repeat, two components may bear the same component_id).
 
     Null and blank texts have no shingles and link with nothing; their component is their own
-    id. A null id stays null as component and does not stand for its class. Repeated rows stay
+    id. A null id stays null as component and names no class, but links its neighbours. Repeated rows stay
     repeated; rows that share an id are told apart by their texts, so different texts under one
     id are linked only if they are alike. Other columns are ignored. An empty table gives an
     empty result.
@@ -236,8 +236,14 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .join(taking_part, "class_id", "left_semi"))
     # Texts under one id may differ, so the set behind each text is looked at again.
     packed = source.where("doc_id is not null").mapInArrow(_packed_task, "doc_id bigint, packed binary")
-    texts = scratch.table(packed.join(holders.hint("shuffle_hash"), "doc_id")
-                   .mapInArrow(_right_set(ngram), "class_id bigint, packed binary"), "texts")
+    held = packed.join(holders.hint("shuffle_hash"), "doc_id")
+    # Classes whose documents all lack an id are found by their text: one of each reaches the join.
+    nameless = (rows.where("n_shingles > 0").groupBy("class_id").agg(F.min("doc_id").alias("some"), F.min("text_id").alias("text_id"))
+                .where("some is null").select("class_id", F.col("text_id").alias("doc_id")).join(taking_part, "class_id", "left_semi"))
+    loose = (source.where("doc_id is null").select(F.xxhash64("text").alias("doc_id"), "text")
+             .mapInArrow(_packed_task, "doc_id bigint, packed binary").dropDuplicates(["doc_id"]))
+    held = held.unionByName(loose.join(nameless.hint("shuffle_hash"), "doc_id"))
+    texts = scratch.table(held.mapInArrow(_right_set(ngram), "class_id bigint, packed binary"), "texts")
     first = scratch.table(_verified(near, texts, ngram), "links")
     known = connected_components(first, scratch)
 
