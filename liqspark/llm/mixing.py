@@ -1,11 +1,11 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame functions only.
 
 Every source is a queue of its documents in an order shuffled by a hash of the id, run
-through twice. A packet is one pass over one document; its virtual finish time is the words
-of its source so far divided by the source's target, so all sources reach their targets
-together at time 1. The packets of all sources are sorted by finish time and cut at the total
-budget. The packet that meets its source's target is cut there, so every source takes its
-target to the word.
+through twice. Its packets are pieces of at most 64 words, in order; a packet's virtual finish
+time is the words of its source up to its end, divided by the source's target, so all sources
+come to their targets together at time 1. The packets of all sources are sorted by finish time
+and cut at the total budget, the sum of the targets. Nothing else ends a source: what it takes
+differs from its target by about a packet, however long its documents are.
 
 Each running total is kept per slot (a piece of the hash range, or of the finish times), so a
 source that holds most rows is spread over many tasks.
@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .running import join_same, running_total
-from .tables import stored, text_of
+from .tables import stored, text_of, whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
 SLOTS = 4096
+PACKET = 64  # words in a packet at most
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -48,68 +49,74 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return sources.select("source", "source_size", "number", target.alias("target"))
 
 
-def mix_packets(sized: DataFrame, seed: str = "mix", most: int = MOST, **shares) -> DataFrame:
-    """The packets of ``sized`` (doc_id, source, size and other columns): those columns,
-    source_size, target, row (number, slot, seq: names the document's row), copy, words (that
-    the mix takes), finish and running (words of the mix up to this packet).
+def mix_packets(sized: DataFrame, most: int = MOST, share: float = SHARE, packet: int = PACKET, **shares) -> DataFrame:
+    """The packets of ``sized`` (doc_id, source, size, mark and other columns): those columns,
+    source_size, target, row (number, slot, seq: names the document's row), copy (the pass over the
+    document), words (that the mix takes), finish and running (words of the queue up to this packet).
 
-    Every row has at least the packet of copy 0, with no words if it is left out.
+    Every row has a packet at least; those of a row without words hold none and come last.
     """
-    targets = stored(source_targets(sized, most=most, **shares), "targets")
+    targets = stored(source_targets(sized, most=most, share=share, **shares), "targets")
     rows = join_same(sized, targets.hint("shuffle_hash"), ["source"])
-    mark = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = rows.withColumn("mark", mark).withColumn("slot", F.conv(F.substring("mark", 1, 3), 16, 10).cast("int"))
-    order = [F.col("mark"), F.col("size")]
+    rows = rows.withColumn("slot", F.conv(F.substring("mark", 1, 3), 16, 10).cast("int"))
+    order = [F.col(c) for c in ("mark", "size", *sorted(set(sized.columns) - {"mark", "size"}))]
     queued = running_total(rows, ["number"], "slot", order, "size", "upto")
     queued = queued.withColumn("seq", F.row_number().over(Window.partitionBy("number", "slot").orderBy(*order)))
-    limit = F.floor("target")
-    copies = F.explode(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda c: F.struct(
-        c.alias("copy"), (F.col("upto") - F.col("size") + c * F.col("source_size")).alias("begin"))))
-    packets = queued.withColumn("packet", copies).select("*", "packet.copy", "packet.begin")
-    packets = packets.withColumn("offered", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), limit - F.col("begin"))))
-    packets = packets.where("copy = 0 OR offered > 0")
-    finish = F.when(F.col("offered") > 0, (F.col("begin") + F.col("offered")) / F.col("target")).otherwise(F.lit(1.0))
-    packets = packets.withColumn("finish", finish)
+    queued = queued.withColumn("pieces", F.ceil(F.col("size") / packet))
+    last = F.when(F.col("pieces") > 0, most * F.col("pieces") - 1).otherwise(0)
+    packets = queued.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))))
+    copy, part = F.floor(F.col("piece") / F.greatest(F.lit(1), "pieces")), F.col("piece") % F.greatest(F.lit(1), "pieces")
+    packets = packets.withColumns({"copy": copy, "offered": F.least(F.lit(packet), F.col("size") - part * packet).cast("bigint"),
+                                   "begin": F.col("upto") - F.col("size") + copy * F.col("source_size") + part * packet})
+    packets = packets.withColumn("finish", F.when(F.col("offered") > 0, (F.col("begin") + F.col("offered")) / F.col("target")))
+    # Slots rise with the finish time: evenly up to 2, by its logarithm after it (sources of small weight end late).
     # Packets without words come after all others, spread by their place in the shuffle.
-    packets = packets.withColumn("time", F.when(F.col("offered") > 0, F.floor(F.col("finish") * SLOTS)).otherwise(SLOTS + 1 + F.col("slot")))
-    packets = running_total(packets, [], "time", [F.col("finish"), F.col("number"), F.col("copy"), *order], "offered", "running")
-    budget = targets.agg(F.floor(F.sum("target")).alias("budget"))
+    time = F.when(F.col("finish") <= 2, F.floor(F.col("finish") * SLOTS)).otherwise(2 * SLOTS + F.floor(F.log2(F.col("finish") / 2) * SLOTS))
+    packets = packets.withColumn("time", F.coalesce(time, F.lit(1 << 40) + F.col("slot")))
+    packets = running_total(packets, [], "time", [F.col("finish"), F.col("number"), F.col("begin")], "offered", "running")
+    budget = targets.agg(F.floor(F.sum("source_size") * min(share, most)).alias("budget"))  # the sum of the targets
     packets = packets.join(F.broadcast(budget))  # one row
-    over = F.greatest(F.lit(0).cast("bigint"), F.col("running") - F.col("budget"))
-    words = F.greatest(F.lit(0).cast("bigint"), F.col("offered") - over)
-    return packets.select(*[c for c in sized.columns], "source_size", "target", F.struct("number", "slot", "seq").alias("row"),
+    words = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("offered"), F.col("budget") - F.col("running") + F.col("offered")))
+    return packets.select(*sized.columns, "source_size", "target", F.struct("number", "slot", "seq").alias("row"),
                           "copy", words.alias("words"), "finish", "running")
 
 
-def sized_documents(docs: DataFrame, keep: dict, text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Size, source and the ``keep`` columns of every document, without its text."""
-    return stored(docs.select(F.col(source_col).alias("source"), F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("bigint").alias("size"),
-                              *[c.alias(n) for n, c in keep.items()]), "sizes")
+def sized_documents(docs: DataFrame, keep: dict, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    seed: str = "mix") -> DataFrame:
+    """doc_id, source, size, mark (its place in the shuffle: a hash of the id, without one of the
+    text) and the ``keep`` columns of every document, without its text."""
+    text = text_of(docs, text_col)
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(text)))
+    return stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                              F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"),
+                              F.md5(F.concat_ws(":", F.lit(seed), name)).alias("mark"), *[c.alias(n) for n, c in keep.items()]), "sizes")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **shares) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
     A null text has no words and nothing is taken of it; a null source is a source of its
-    own; null ids share one place in the shuffle. Rows of equal id and size are
+    own; rows without an id are shuffled by their texts. Rows of equal id and size are
     interchangeable, so reruns agree. Without any words all targets are 0. Other columns are
     ignored; an empty table gives an empty result.
     """
-    packets = mix_packets(sized_documents(docs, {"doc_id": F.col(id_col)}, text_col, source_col), **shares)
+    packets = mix_packets(sized_documents(docs, {}, id_col, text_col, source_col), **shares)
     return packets.groupBy("row").agg(*[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target")],
                                       F.sum("words").alias("taken")).drop("row")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **shares) -> DataFrame:
-    """The mix itself: ``docs`` with a row for each packet taken; a packet that was cut keeps
-    the text's first words."""
-    mark = F.xxhash64(*[F.col(c) for c in docs.columns])
-    packets = mix_packets(sized_documents(docs, {"doc_id": F.col(id_col), "_mark": mark}, text_col, source_col), **shares)
-    taken = packets.where("words > 0").select(F.col("doc_id").alias(id_col), "_mark", F.col("words").alias("_words"), F.col("size").alias("_size"))
-    marked = docs.withColumn("_mark", mark)
-    once = F.row_number().over(Window.partitionBy(id_col, "_mark").orderBy(F.lit(1)))  # equal rows are packets of one row
-    marked = marked.withColumn("_once", once).where("_once = 1")
-    joined = join_same(marked, taken, [id_col, "_mark"])
-    head = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1, F.col("_words").cast("int")), "")
-    cut = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col(text_col))
-    return joined.select(*[cut.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    """The mix itself: ``docs`` with a row for each pass over a document that the mix takes; a pass
+    that the budget ends keeps the text's first words. Rows that share id and size go by a hash of the whole
+    row, so the mix does not depend on the order in which they are read."""
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    packets = mix_packets(sized_documents(docs, {"whole": whole}, id_col, text_col, source_col), **shares)
+    taken = (packets.groupBy("row", "copy").agg(F.sum("words").alias("words"), *[F.first(c).alias(c) for c in ("doc_id", "whole", "size")])
+             .where("words > 0").select("doc_id", "whole", "words", "size"))
+    marked = docs.select(F.col(id_col).alias("doc_id"), whole.alias("whole"), whole_row(docs))
+    once = F.row_number().over(Window.partitionBy("doc_id", "whole").orderBy(F.lit(1)))  # of equal rows, one stands for each that is taken
+    joined = join_same(marked.withColumn("once", once).where("once = 1"), taken, ["doc_id", "whole"])
+    text = F.col("carried")[text_col]
+    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1, F.col("words").cast("int")), "")
+    cut = F.when(F.col("words") < F.col("size"), head).otherwise(text)
+    return joined.select(*[cut.alias(c) if c == text_col else F.col("carried")[c].alias(c) for c in docs.columns])

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import alignment, chat, fingerprint, mixing, neighbours, ngram_jaccard, pieces, quality, secrets, toxicity, trie, url_filter, warc
-from .tables import table
+from .tables import stored, table
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,9 +36,13 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.apply_policy(quality.quality_ledger(table(spark, sf_dir, "documents")), "v3")
+    """The ledger is stored once; policy and ablations read its bits. ``n_sole``: documents that the policy
+    would keep without the row's sole rule."""
+    ledger = stored(quality.quality_ledger(table(spark, sf_dir, "documents")), "ledger")
+    alone = quality.ablations(ledger).where("policy = 'v3'").select(F.col("rule").alias("sole_rule"), F.col("alone").alias("n_sole"))
+    judged = quality.apply_policy(ledger, "v3").join(F.broadcast(alone), "sole_rule", "left")  # a row for each rule
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         "kept", "fail_bits", "sole_rule")
+                         "kept", "fail_bits", "sole_rule", "n_sole")
 
 
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +159,7 @@ FROM d LEFT JOIN g USING (doc_id)"""
 
 SQL_OP5 = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-                  md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS mark FROM documents),
+                  md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS mark, row_number() OVER () AS row FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number FROM d GROUP BY source),
 s1 AS (SELECT *, CASE number % 3 WHEN 1 THEN 3.0::DOUBLE WHEN 2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight,
        CAST(2 * source_size AS DOUBLE) AS bound, sum(source_size) OVER () AS total FROM s0),
@@ -165,9 +170,11 @@ t AS (SELECT source, source_size, number, coalesce(least(bound, weight * max(CAS
 q AS (SELECT d.*, source_size, number, target, CAST(sum(size) OVER (PARTITION BY number ORDER BY mark, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS begin
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-p AS (SELECT *, greatest(0, least(size, CAST(floor(target) AS BIGINT) - begin)) AS first,
-        greatest(0, least(size, CAST(floor(target) AS BIGINT) - begin - source_size)) AS second FROM q)
-SELECT doc_id, source, size, source_size, target, CAST(first + second AS BIGINT) AS taken FROM p"""
+k AS (SELECT *, (size + 63) // 64 AS n, unnest(range(2 * ((size + 63) // 64))) AS piece FROM q WHERE size > 0),
+p AS (SELECT *, least(64, size - piece % n * 64) AS offered, begin + piece // n * source_size + piece % n * 64 AS start FROM k),
+r AS (SELECT *, sum(offered) OVER (ORDER BY CAST(start + offered AS DOUBLE) / target, number, start ROWS UNBOUNDED PRECEDING) AS running FROM p),
+u AS (SELECT row, sum(greatest(0, least(offered, (SELECT CAST(floor(1.5 * sum(size)) AS BIGINT) FROM d) - running + offered))) AS taken FROM r GROUP BY row)
+SELECT doc_id, source, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM q LEFT JOIN u USING (row)"""
 
 SQL_OP6 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -188,10 +195,11 @@ x AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)
       FROM d LEFT JOIN words USING (doc_id) LEFT JOIN reps USING (doc_id) LEFT JOIN lines USING (doc_id)),
 b AS (SELECT *, CAST(CAST(n_words < 20 AS INT) + 2 * CAST(100 * n_repeat_words > 30 * n_words AS INT) + 4 * CAST(10 * n_symbols > n_words AS INT)
         + 8 * CAST(2 * n_dup_lines > n_lines AS INT) + 16 * CAST(word_chars < 2 * n_words OR word_chars > 20 * n_words AS INT)
-        + 32 * CAST(n_upper > 20 AND 2 * n_upper > n_upper + n_lower AS INT) AS BIGINT) AS fail_bits FROM x)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits,
+        + 32 * CAST(n_upper > 20 AND 2 * n_upper > n_upper + n_lower AS INT) AS BIGINT) AS fail_bits FROM x),
+c2 AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits,
   CASE fail_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols' WHEN 8 THEN 'repeated_lines'
-                 WHEN 16 THEN 'word_length' WHEN 32 THEN 'shouting' END AS sole_rule FROM b"""
+                 WHEN 16 THEN 'word_length' WHEN 32 THEN 'shouting' END AS sole_rule FROM b)
+SELECT *, CASE WHEN sole_rule IS NOT NULL THEN count(*) OVER (PARTITION BY sole_rule) END AS n_sole FROM c2"""
 
 SQL_OP9 = f"""
 WITH p AS (SELECT *, md5(coalesce(html, '')) AS body FROM pages),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .running import join_same
-from .tables import stored, text_of
+from .tables import stored, text_of, whole_row
 
 SCOPE = 200
 
@@ -119,12 +119,12 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    scope: int = SCOPE) -> DataFrame:
     """``docs`` with every span of its text replaced by ``mask`` (spans that overlap by one).
     Rows without a span, null texts and all other columns stay as they are."""
-    key = ["_doc", "_text_id"]
-    keyed = docs.withColumns({"_doc": F.col(id_col), "_text_id": F.xxhash64(text_of(docs, text_col))})
-    found = find_secrets(keyed.select(*key, text_of(keyed, text_col).alias("text")), key, scope)
-    spans = found.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    key = ["doc_id", "text_id"]
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(docs, text_col)).alias("text_id"), whole_row(docs))
+    text = F.col("carried")[text_col]
+    found = find_secrets(keyed.select(*key, F.coalesce(text, F.lit("")).alias("text")), key, scope)
+    spans = found.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     joined = join_same(keyed, spans, key, "left")
-    text = F.col(text_col)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
     piece = lambda at, to: F.substr(text, (at + 1).cast("int"), (to - at).cast("int"))
 
@@ -134,6 +134,6 @@ def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return F.struct(F.greatest(held["at"], span["end"]).alias("at"),
                         F.when(fresh, F.concat(held["out"], cut)).otherwise(held["out"]).alias("out"))
 
-    done = F.aggregate("_spans", start, step, lambda x: F.concat(F.array_join(x["out"], ""), piece(x["at"], F.length(text).cast("bigint"))))
-    return joined.select(*[F.when(F.col("_spans").isNotNull(), done).otherwise(text).alias(text_col) if c == text_col else F.col(c)
+    done = F.aggregate("spans", start, step, lambda x: F.concat(F.array_join(x["out"], ""), piece(x["at"], F.length(text).cast("bigint"))))
+    return joined.select(*[F.when(F.col("spans").isNotNull(), done).otherwise(text).alias(c) if c == text_col else F.col("carried")[c].alias(c)
                            for c in docs.columns])

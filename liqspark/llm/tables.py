@@ -48,5 +48,10 @@ def text_of(df: DataFrame, text_col: str = "text"):
     return F.coalesce(F.col(text_col), F.lit(""))
 
 
+def whole_row(df: DataFrame):
+    """All columns as one struct ``carried``: whatever they are called, they clash with no column of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("carried")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
