@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from liqspark.llm import mixing, ngram_jaccard, pieces, queries, secrets, toxicity
-from liqspark.llm.tables import stored, table
+from liqspark.llm.tables import stored, table, whole_row
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +30,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     their own. Rows without an id or without words are copies of nothing and stay."""
     linked = stored(ngram_jaccard.ngram_jaccard(docs), "groups")
     first = (linked.where("doc_id is not null and n_shingles > 0").groupBy("group_id")
-             .agg(F.min(F.struct("doc_id", "text_id")).alias("first")).select("first.*").withColumnRenamed("text_id", "_text_id"))
-    marked = docs.withColumn("_text_id", F.xxhash64("text"))
+             .agg(F.min(F.struct("doc_id", "text_id")).alias("first")).select("first.*"))
     grouped = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
-    same = Window.partitionBy("doc_id", "_text_id").orderBy(F.lit(1))
-    kept = (marked.where(grouped).join(first.hint("shuffle_hash"), ["doc_id", "_text_id"], "left_semi")
-            .withColumn("_place", F.row_number().over(same)).where("_place = 1"))
-    return kept.select(*docs.columns).unionByName(docs.where(~grouped))
+    marked = docs.where(grouped).select("doc_id", F.xxhash64("text").alias("text_id"), whole_row(docs))
+    same = Window.partitionBy("doc_id", "text_id").orderBy(*_sortable(docs))
+    kept = (marked.join(first.hint("shuffle_hash"), ["doc_id", "text_id"], "left_semi")
+            .withColumn("place", F.row_number().over(same)).where("place = 1"))
+    return kept.select("carried.*").unionByName(docs.where(~grouped))
+
+
+def _sortable(docs: DataFrame) -> list:
+    """The order of rows that share id and text: by a hash of the whole row, so that any arrangement keeps the same one."""
+    return [F.xxhash64(*[F.col("carried")[c] for c in docs.columns])]
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
