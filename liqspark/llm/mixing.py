@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .running import join_same, running_total
-from .tables import stored, text_of, whole_row
+from .tables import fresh_names, stored, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -111,12 +111,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row, so the mix does not depend on the order in which they are read."""
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     packets = mix_packets(sized_documents(docs, {"whole": whole}, id_col, text_col, source_col), **shares)
-    taken = (packets.groupBy("row", "copy").agg(F.sum("words").alias("words"), *[F.first(c).alias(c) for c in ("doc_id", "whole", "size")])
-             .where("words > 0").select("doc_id", "whole", "words", "size"))
-    marked = docs.select(F.col(id_col).alias("doc_id"), whole.alias("whole"), whole_row(docs))
-    once = F.row_number().over(Window.partitionBy("doc_id", "whole").orderBy(F.lit(1)))  # of equal rows, one stands for each that is taken
-    joined = join_same(marked.withColumn("once", once).where("once = 1"), taken, ["doc_id", "whole"])
-    text = F.col("carried")[text_col]
-    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1, F.col("words").cast("int")), "")
-    cut = F.when(F.col("words") < F.col("size"), head).otherwise(text)
-    return joined.select(*[cut.alias(c) if c == text_col else F.col("carried")[c].alias(c) for c in docs.columns])
+    names = ("doc_id", "whole", "words", "size")
+    taken = packets.groupBy("row", "copy").agg(F.sum("words").alias("words"), *[F.first(c).alias(c) for c in ("doc_id", "whole", "size")]).where("words > 0")
+    name, mark, words, size, once = fresh_names(docs, "_name", "_whole", "_words", "_size", "_once")
+    taken = taken.select(*[F.col(c).alias(f) for c, f in zip(names, (name, mark, words, size))])
+    marked = docs.withColumns({name: F.col(id_col), mark: whole})
+    of_equals = F.row_number().over(Window.partitionBy(name, mark).orderBy(F.lit(1)))  # one row stands for each that is taken
+    joined = join_same(marked.withColumn(once, of_equals).where(F.col(once) == 1), taken, [name, mark])
+    head = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1, F.col(words).cast("int")), "")
+    cut = F.when(F.col(words) < F.col(size), head).otherwise(F.col(text_col))
+    return joined.select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

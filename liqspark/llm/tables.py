@@ -53,5 +53,16 @@ def whole_row(df: DataFrame):
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("carried")
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each made longer until no column of ``df`` is called so. A row that keeps its own columns beside
+    such helpers costs the optimizer less than a struct whose fields a hash of the whole row refers to."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken or f"_right_{name}".lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -287,7 +287,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHO
     """The rows of ``docs`` that score below the threshold, with all their columns. The texts
     are judged where they are, without a join."""
     model_of = docs.sparkSession.sparkContext.broadcast(model.plain())
-    held = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), text_of(docs).alias("_text"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of(docs).alias("_text"))
     kept = held.mapInArrow(_keep_task(model_of, threshold), held.schema)
     return kept.select("row.*")
 

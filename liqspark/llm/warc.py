@@ -73,7 +73,9 @@ def resolve_revisits(records: DataFrame, renewed=RENEWED, slots: int = SLOTS) ->
     last = usable.groupBy(*key).agg(F.max("response").alias("last"))
     earlier = Window.partitionBy("canonical").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select(*key, F.max("last").over(earlier).alias("carried"))
-    inside = Window.partitionBy(*key).orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
+    # Places of times instead of times: the one before the least bigint is still a number.
+    usable = usable.withColumn("place", F.dense_rank().over(Window.partitionBy(*key).orderBy("time")))
+    inside = Window.partitionBy(*key).orderBy("place").rangeBetween(Window.unboundedPreceding, -1)
     asked = usable.withColumn("near", F.max("response").over(inside)).where("kind = 'revisit'")
     found = asked.join(carried, key).select(
         "record_id", "canonical", "etag", "last_modified", "headers", F.coalesce("near", "carried").alias("r"))
