@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from liqspark.llm import mixing, ngram_jaccard, pieces, queries, secrets, toxicity
-from liqspark.llm.tables import stored, table, whole_row
+from liqspark.llm.tables import fresh_names, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,16 +32,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = (linked.where("doc_id is not null and n_shingles > 0").groupBy("group_id")
              .agg(F.min(F.struct("doc_id", "text_id")).alias("first")).select("first.*"))
     grouped = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
-    marked = docs.where(grouped).select("doc_id", F.xxhash64("text").alias("text_id"), whole_row(docs))
-    same = Window.partitionBy("doc_id", "text_id").orderBy(*_sortable(docs))
-    kept = (marked.join(first.hint("shuffle_hash"), ["doc_id", "text_id"], "left_semi")
-            .withColumn("place", F.row_number().over(same)).where("place = 1"))
-    return kept.select("carried.*").unionByName(docs.where(~grouped))
-
-
-def _sortable(docs: DataFrame) -> list:
-    """The order of rows that share id and text: by a hash of the whole row, so that any arrangement keeps the same one."""
-    return [F.xxhash64(*[F.col("carried")[c] for c in docs.columns])]
+    text_id, place = fresh_names(docs, "_text_id", "_place")
+    # Rows that share id and text go by a hash of the whole row, so any arrangement keeps the same one.
+    same = Window.partitionBy("doc_id", text_id).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    kept = (docs.withColumn(text_id, F.xxhash64("text")).where(grouped)
+            .join(first.withColumnRenamed("text_id", text_id).hint("shuffle_hash"), ["doc_id", text_id], "left_semi")
+            .withColumn(place, F.row_number().over(same)).where(F.col(place) == 1))
+    return kept.drop(text_id, place).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where(~grouped))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
