@@ -66,21 +66,36 @@ def targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
     return got
 
 
-def mix(rows, most=2, seed="mix"):
-    """{doc_id: words taken} for rows (doc_id, source, text)."""
+def mix_passes(rows, most=2, seed="mix", packet=64, share=1.5):
+    """[(doc_id, pass, words taken)] for rows (doc_id, source, text): the packets of all sources in one
+    queue by finish time, ended by the budget alone."""
     size = {d: len(WHITE.findall(t or "")) for d, _, t in rows}
     by = defaultdict(list)
     for d, s, _ in rows:
         by[s].append(d)
     goal = targets({s: sum(size[d] for d in ds) for s, ds in by.items()})
+    queue = []
+    for number, s in enumerate(sorted(by, key=lambda s: (s is None, (s or "").encode()))):
+        done = 0
+        for turn in range(most):
+            for d in sorted(by[s], key=lambda d: (hashlib.md5(f"{seed}:{d}".encode()).hexdigest(), size[d])):
+                for start in range(0, size[d], packet):
+                    words = min(packet, size[d] - start)
+                    done += words
+                    queue.append((done / goal[s], number, done, d, turn, words))
+    room, taken = math.floor(share * sum(size.values())), defaultdict(int)
+    for _, _, _, d, turn, words in sorted(queue):
+        taken[d, turn] += min(words, room)
+        room -= min(words, room)
+    return [(d, turn, n) for (d, turn), n in taken.items() if n], size, goal
+
+
+def mix(rows, **more):
+    """{doc_id: words taken}, sizes and targets."""
+    passes, size, goal = mix_passes(rows, **more)
     taken = dict.fromkeys(size, 0)
-    for s, ds in by.items():
-        queue = sorted(ds, key=lambda d: (hashlib.md5(f"{seed}:{d}".encode()).hexdigest(), size[d]))
-        room = math.floor(goal[s])
-        for d in queue * most:
-            words = min(size[d], room)
-            taken[d] += words
-            room -= words
+    for d, _, n in passes:
+        taken[d] += n
     return taken, size, goal
 
 
