@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -429,6 +430,53 @@ def test_every_chunk_has_a_sign(spark):
     assert sum(fingerprint.likeness(x, y) for x, y in zip(a, b)) / len(ends) > 0.9
 
 
+def test_corpus_chunk_table_against_the_library(spark, odd, empty):
+    import sentencepiece
+    model = pieces.model_bytes(queries.tokenizer_path())
+    library, rng = sentencepiece.SentencePieceProcessor(model_proto=model), random.Random(2)
+    parts = ["a", " ", "  ", "\n", "▁", "é", "😀", "the", "\x00", "\u200b", "</s>", "<0x41>", " word", " " + "y" * 5000]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randint(0, 30)))) for k in range(300)] + [(None, "a"), (7, None), (7, "a b"), (7, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    docs = odd.select("doc_id", "text").unionByName(docs).withColumn("slot", F.lit("clash")).withColumn("block", F.lit(1))
+    want = sorted((str(r.doc_id), library.encode(r.text or "")) for r in docs.collect())
+    for block_chunks, table_parts in ((1, 1), (40, 3), (1 << 20, None)):
+        got = pieces.encode_documents(docs, model, tokens=True, block_chunks=block_chunks, parts=table_parts).collect()
+        assert sorted((str(r.doc_id), r.ids) for r in got) == want
+    assert pieces.encode_documents(empty, model, tokens=True).count() == 0
+
+
+def test_blocks_join_back_by_position():
+    rng = random.Random(3)
+    for size in (0, 1, 9, 3000):
+        chunks = [" " + "w" * rng.randint(0, 3) + str(int(rng.paretovariate(0.5)) % 900) for _ in range(size)]
+        lists, positions = pieces.pack_block(chunks, 7)
+        assert sorted(c for words in lists.values() for c in words) == sorted(set(chunks))
+        assert all(pieces.unpack_words(pieces.pack_words(words)) == words for words in lists.values())
+        answers = {}
+        for part, words in lists.items():
+            ids = [[] if w.endswith("5") else [len(w)] * (len(w) - 1) + [70_000] for w in words]
+            answers[part] = tuple(pieces._unpack(pieces._pack(np.array(list(map(len, ids))), np.array([i for k in ids for i in k]))))
+        ids, ends = pieces.join_back(positions, answers)
+        want = [[] if c.endswith("5") else [len(c)] * (len(c) - 1) + [70_000] for c in chunks]
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] == want
+        if size:
+            with pytest.raises(RuntimeError):
+                pieces.join_back(positions, dict(list(answers.items())[1:]))
+
+
+def test_a_chunk_is_segmented_once_in_its_part(monkeypatch):
+    with open(queries.tokenizer_path(), "rb") as f:
+        model = f.read()
+    seen = []
+    segment = pieces.ChunkEncoder.ids
+    monkeypatch.setattr(pieces.ChunkEncoder, "ids", lambda self, chunks: seen.extend(chunks) or segment(self, chunks))
+    rows = [[0, k, 0, pieces.pack_words([" the", f" word{k % 4}", " "])] for k in range(20)]
+    columns = [*map(list, zip(*rows)), [None] * 20, [None] * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, pieces.PACKED_ARROW)], schema=pieces.PACKED_ARROW)
+    (answer,) = pieces._table_task(type("Held", (), {"value": model}))([batch])
+    assert sorted(seen) == [" ", " the", " word0", " word1", " word2", " word3"] and answer.num_rows == 20
+
+
 def test_chunk_table_is_bounded_by_characters():
     with open(queries.tokenizer_path(), "rb") as f:
         encoder = pieces.ChunkEncoder(f.read(), most_chars=20_000)
