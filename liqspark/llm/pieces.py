@@ -20,9 +20,12 @@ A model with pieces across markers is used on whole texts instead.
 
 from __future__ import annotations
 
+import bz2
 import hashlib
 import re
 import zlib
+from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -101,22 +104,22 @@ class ChunkEncoder:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers, each in the fewest bytes that hold its largest, byte by byte in planes."""
+    """Arrays of whole numbers, each in the fewest bytes that hold its largest."""
     out = []
     for values in arrays:
         width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-        planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-        out.append(np.array([len(values), width], "<u8").tobytes() + planes.T.tobytes())
-    return zlib.compress(b"".join(out), 6)
+        kept = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+        out.append(np.array([len(values), width], "<u8").tobytes() + kept.tobytes())
+    return bz2.compress(b"".join(out))
 
 
 def _unpack(packed: bytes) -> list[np.ndarray]:
-    raw, at, out = zlib.decompress(packed), 0, []
+    raw, at, out = bz2.decompress(packed), 0, []
     while at < len(raw):
         n, width = (int(x) for x in np.frombuffer(raw, "<u8", 2, at))
-        planes = np.zeros((n, 8), np.uint8)
-        planes[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 16).reshape(width, n).T
-        out.append(planes.view("<u8").reshape(-1).astype(np.int64))
+        values = np.zeros((n, 8), np.uint8)
+        values[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 16).reshape(n, width)
+        out.append(values.view("<u8").reshape(-1).astype(np.int64))
         at += 16 + n * width
     return out
 
@@ -124,13 +127,13 @@ def _unpack(packed: bytes) -> list[np.ndarray]:
 def pack_words(words: list[str]) -> bytes:
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     sizes = _pack(lengths)
-    return len(sizes).to_bytes(4, "little") + sizes + zlib.compress("".join(words).encode(), 6)
+    return len(sizes).to_bytes(4, "little") + sizes + bz2.compress("".join(words).encode())
 
 
 def unpack_words(packed: bytes) -> list[str]:
     end = 4 + int.from_bytes(packed[:4], "little")
     ends = np.cumsum(_unpack(packed[4:end])[0])
-    text, starts = zlib.decompress(packed[end:]).decode(), np.concatenate([[0], ends[:-1]])
+    text, starts = bz2.decompress(packed[end:]).decode(), np.concatenate([[0], ends[:-1]])
     return [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
@@ -138,7 +141,7 @@ def pack_block(chunks: list[str], parts: int) -> tuple[dict[int, list[str]], byt
     """Distinct chunks of a block by part, each list in order of first use, and the packed
     positions: whether a chunk is used for the first time, which earlier one it repeats, and
     the parts of the new ones."""
-    number = {c: k for k, c in enumerate(dict.fromkeys(chunks))}
+    number = defaultdict(count().__next__)
     codes = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
     highest = np.maximum.accumulate(codes)
     new = np.ones(len(codes), bool)
@@ -164,9 +167,9 @@ def join_back(positions: bytes, answers: dict[int, tuple[np.ndarray, np.ndarray]
     ordered = [answers[p] for p in sorted(answers)]
     by_part, ids = np.concatenate([n for n, _ in ordered]), np.concatenate([i for _, i in ordered])
     place = np.argsort(part_of, kind="stable")
-    count, start = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
-    count[place], start[place] = by_part, np.cumsum(by_part) - by_part
-    each = count[codes]
+    size_of, start = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+    size_of[place], start[place] = by_part, np.cumsum(by_part) - by_part
+    each = size_of[codes]
     ends = np.cumsum(each)
     return ids[np.repeat(start[codes] - (ends - each), each) + np.arange(ends[-1])], ends
 
