@@ -24,6 +24,7 @@ import bz2
 import hashlib
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from itertools import count
 
@@ -119,7 +120,7 @@ def _unpack(packed: bytes) -> list[np.ndarray]:
         n, width = (int(x) for x in np.frombuffer(raw, "<u8", 2, at))
         values = np.zeros((n, 8), np.uint8)
         values[:, :width] = np.frombuffer(raw, np.uint8, n * width, at + 16).reshape(n, width)
-        out.append(values.view("<u8").reshape(-1).astype(np.int64))
+        out.append(values.view("<u8").reshape(-1).astype(np.int32))
         at += 16 + n * width
     return out
 
@@ -137,12 +138,12 @@ def unpack_words(packed: bytes) -> list[str]:
     return [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-def pack_block(chunks: list[str], parts: int) -> tuple[dict[int, list[str]], bytes]:
+def pack_block(number: dict[str, int], numbers: array, parts: int) -> tuple[dict[int, list[str]], bytes]:
     """Distinct chunks of a block by part, each list in order of first use, and the packed
     positions: whether a chunk is used for the first time, which earlier one it repeats, and
-    the parts of the new ones."""
-    number = defaultdict(count().__next__)
-    codes = np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks))
+    the parts of the new ones. ``number`` counts the distinct chunks by first use, ``numbers``
+    are those of the chunks in order."""
+    codes = np.frombuffer(numbers, np.int32) if numbers else np.empty(0, np.int32)
     highest = np.maximum.accumulate(codes)
     new = np.ones(len(codes), bool)
     new[1:] = highest[1:] > highest[:-1]
@@ -160,7 +161,7 @@ def join_back(positions: bytes, answers: dict[int, tuple[np.ndarray, np.ndarray]
     if {p: len(n) for p, (n, _) in answers.items()} != dict(zip(*(x.tolist() for x in np.unique(part_of, return_counts=True)))):
         raise RuntimeError("a block and its chunks differ: the documents came in another order when a task ran again")
     new = np.unpackbits(flags.astype(np.uint8))[:size].astype(bool)
-    codes = np.empty(size, np.int64)
+    codes = np.empty(size, np.int32)
     codes[new], codes[~new] = np.arange(len(part_of)), old
     if not size:
         return codes, codes
@@ -176,8 +177,8 @@ def join_back(positions: bytes, answers: dict[int, tuple[np.ndarray, np.ndarray]
 
 def _blocks_task(parts: int, block_chunks: int):
     """Documents to packed rows of blocks."""
-    def rows(place, doc_ids, counts, chunks):
-        lists, positions = pack_block(chunks, parts)
+    def rows(place, doc_ids, counts, number, numbers):
+        lists, positions = pack_block(number, numbers, parts)
         words = {part: pack_words(lists[part]) for part in lists}
         name = hashlib.blake2b(f"{TaskContext.get().partitionId()}:{place}".encode(), digest_size=8)
         for packed in (positions, *words.values()):
@@ -188,19 +189,19 @@ def _blocks_task(parts: int, block_chunks: int):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED_ARROW)], schema=PACKED_ARROW)
 
     def run(batches):
-        place, doc_ids, counts, chunks = 0, [], [], []
+        place, doc_ids, counts, number, numbers = 0, [], [], defaultdict(count().__next__), array("i")
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 found = CHUNK.findall(" " + text) if text else []
                 doc_ids.append(doc_id)
                 counts.append(len(found))
-                chunks += found
-                if len(chunks) >= block_chunks or len(doc_ids) >= block_chunks:
-                    yield rows(place, doc_ids, counts, chunks)
-                    place, doc_ids, counts, chunks = place + 1, [], [], []
+                numbers.extend(map(number.__getitem__, found))
+                if len(numbers) >= block_chunks or len(doc_ids) >= block_chunks:
+                    yield rows(place, doc_ids, counts, number, numbers)
+                    place, doc_ids, counts, number, numbers = place + 1, [], [], defaultdict(count().__next__), array("i")
         if doc_ids:
-            yield rows(place, doc_ids, counts, chunks)
+            yield rows(place, doc_ids, counts, number, numbers)
 
     return run
 

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -449,7 +450,8 @@ def test_blocks_join_back_by_position():
     rng = random.Random(3)
     for size in (0, 1, 9, 3000):
         chunks = [" " + "w" * rng.randint(0, 3) + str(int(rng.paretovariate(0.5)) % 900) for _ in range(size)]
-        lists, positions = pieces.pack_block(chunks, 7)
+        number = {c: k for k, c in enumerate(dict.fromkeys(chunks))}
+        lists, positions = pieces.pack_block(number, array("i", [number[c] for c in chunks]), 7)
         assert sorted(c for words in lists.values() for c in words) == sorted(set(chunks))
         assert all(pieces.unpack_words(pieces.pack_words(words)) == words for words in lists.values())
         answers = {}
