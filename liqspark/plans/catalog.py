@@ -507,11 +507,10 @@ def _materialized_metrics(spark, sf_dir):
 @register("enriched_quotes_batch", "WITH " + SQL_ENRICHED + "\nSELECT * FROM enriched")
 def q_enriched_quotes_batch(spark, sf_dir):
     """Batch twin of the stream: windows left-joined with the metrics."""
-    from ..operators.windows import enrich_with_metrics, sliding_window_agg
+    from ..operators.windows import enriched_windows
     from ..streaming.quotes import to_wall_clock
     metrics, _ = _materialized_metrics(spark, sf_dir)
-    win = sliding_window_agg(_typed_quotes(spark, sf_dir))
-    return _round_sum(to_wall_clock(enrich_with_metrics(win, metrics)))
+    return _round_sum(to_wall_clock(enriched_windows(_typed_quotes(spark, sf_dir), metrics)))
 
 
 # ---------------------------------------------------------------------------

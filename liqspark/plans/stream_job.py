@@ -38,7 +38,7 @@ def start(spark: SparkSession, values: DataFrame, metrics_path: str, output: str
           available_now: bool = False, state_partitions: int | None = None,
           metrics_format: str = "parquet") -> StreamingQuery:
     metrics = read_metrics(spark, metrics_path, metrics_format)
-    stream = quotes.enriched_quotes(values, metrics, keep_window=False)
+    stream = quotes.enriched_quotes(values, metrics, keep_window=False, update_mode=bool(upsert_table))
     if upsert_table:
         return runner.start(stream, None, f"{upsert_table.rstrip('/')}/_checkpoint",
                             processing_time=trigger, available_now=available_now,

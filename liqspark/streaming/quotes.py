@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.jsonq import parse_quote_json
-from ..operators.windows import KEYS, SLIDE, WATERMARK, WINDOW, chained_window_agg, enrich_with_metrics, sliding_window_agg
+from ..operators.windows import KEYS, SLIDE, WATERMARK, WINDOW, chained_window_agg, enrich_with_metrics, enriched_windows, sliding_window_agg
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str,
@@ -43,11 +43,12 @@ def file_source(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 
 def windowed_quotes(values: DataFrame, watermark: str = WATERMARK, window: str = WINDOW,
-                    slide: str = SLIDE, keep_window: bool = True) -> DataFrame:
-    """Topic values -> watermarked sliding-window aggregate."""
+                    slide: str = SLIDE, keep_window: bool = True, update_mode: bool = False) -> DataFrame:
+    """Topic values -> watermarked sliding-window aggregate, for append mode or, by the native
+    operator, ``update_mode``."""
     typed = parse_quote_json(values).withWatermark("update_ts", watermark)
     return sliding_window_agg(typed, window, slide, KEYS, "update_ts",
-                              method="plain", keep_window=keep_window)
+                              method="plain" if update_mode else None, keep_window=keep_window)
 
 
 def chained_quotes(values: DataFrame, watermark: str = WATERMARK, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
@@ -58,11 +59,14 @@ def chained_quotes(values: DataFrame, watermark: str = WATERMARK, window: str =
 
 def enriched_quotes(values: DataFrame, metrics: DataFrame, watermark: str = WATERMARK,
                     window: str = WINDOW, slide: str = SLIDE, keep_window: bool = False,
-                    broadcast_max_bytes: int | None = None) -> DataFrame:
+                    broadcast_max_bytes: int | None = None, update_mode: bool = False) -> DataFrame:
     """The full intraday enrichment; ``keep_window=False`` drops the window as
     the original output did (so one key can appear once per window)."""
-    win = windowed_quotes(values, watermark, window, slide, keep_window=keep_window)
-    return enrich_with_metrics(win, metrics, broadcast_max_bytes)
+    if update_mode:
+        win = windowed_quotes(values, watermark, window, slide, keep_window=keep_window, update_mode=True)
+        return enrich_with_metrics(win, metrics, broadcast_max_bytes)
+    typed = parse_quote_json(values).withWatermark("update_ts", watermark)
+    return enriched_windows(typed, metrics, window, slide, keep_window, broadcast_max_bytes)
 
 
 def to_wall_clock(df: DataFrame, cols=("window_start", "window_end", "update_ts")) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.streaming import StreamingQuery
 
+from .held_windows import LATE, held_state, is_held
+
 
 @contextmanager
 def _shuffle_partitions(spark, n: int | None):
@@ -88,7 +90,8 @@ def dropped_by_watermark(query: StreamingQuery) -> int:
     reports = query.recentProgress
     if reports and reports[0].batchId > 0 and len(reports) >= _reports_kept(query):
         raise RuntimeError("more micro-batches than the session keeps progress reports of")
-    return sum(op.numRowsDroppedByWatermark for r in reports for op in r.stateOperators)
+    held = sum((r.observedMetrics[LATE]["late"] or 0) for r in reports if LATE in r.observedMetrics)
+    return held + sum(op.numRowsDroppedByWatermark for r in reports for op in r.stateOperators)
 
 
 def _reports_kept(query: StreamingQuery) -> int:
@@ -99,7 +102,10 @@ def _reports_kept(query: StreamingQuery) -> int:
 def state_rows(spark, checkpoint_dir: str, operator: int = 0) -> DataFrame:
     """The state of a stopped query's stateful operator as of its last batch: key and value structs. An
     aggregation's value holds the buffers in the order of its aggregates; their fields are numbered
-    (``max_2``) because several may bear one name."""
+    (``max_2``) because several may bear one name. Windows that are held as buckets come out as windows, in the
+    same form."""
+    if is_held(spark, checkpoint_dir, operator):
+        return held_state(spark, checkpoint_dir, operator)
     rows = spark.read.format("statestore").option("operatorId", str(operator)).load(checkpoint_dir)
     fields = rows.schema["value"].dataType.fields
     numbered = StructType([StructField(f"{f.name}_{k}", f.dataType) for k, f in enumerate(fields)])
