@@ -218,7 +218,8 @@ def _named(kinds: list[tuple[str, str]]) -> list:
 
 
 def _known(bit: int):
-    return F.when(F.col("nulls").bitwiseAND(F.lit(1 << bit)) == 0, F.col(VALUES[bit]))
+    # Values are filled where null, so what pandas hands back as null was NaN.
+    return F.when(F.col("nulls").bitwiseAND(F.lit(1 << bit)) == 0, F.coalesce(F.col(VALUES[bit]), F.lit(float("nan"))))
 
 
 def _aggregates() -> list:
