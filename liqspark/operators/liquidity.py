@@ -118,11 +118,16 @@ def rank_by_median(medians: DataFrame, num_partitions: int | None = None) -> Dat
         (F.col("_current") / F.col("_total")).alias("bid_ask_spread_relative_rank"))
 
 
+def daily_medians(exchange: DataFrame, accuracy: int = MEDIAN_ACCURACY,
+                  method: str = "percentile_approx", salt_buckets: int = KLL_SALT_BUCKETS) -> DataFrame:
+    """Cleaned exchange quotes -> median relative spread per bond and day."""
+    return median_by_bond_date(with_relative_spread(exchange), accuracy, method, salt_buckets)
+
+
 def spread_medians(exchange: DataFrame, accuracy: int = MEDIAN_ACCURACY,
                    method: str = "percentile_approx", salt_buckets: int = KLL_SALT_BUCKETS) -> DataFrame:
     """Cleaned exchange quotes -> per-bond median relative spread."""
-    daily = median_by_bond_date(with_relative_spread(exchange), accuracy, method, salt_buckets)
-    return median_by_bond(daily, accuracy)
+    return median_by_bond(daily_medians(exchange, accuracy, method, salt_buckets), accuracy)
 
 
 def liquidity_metrics(exchange: DataFrame, bonds: DataFrame, accuracy: int = MEDIAN_ACCURACY,
@@ -135,7 +140,15 @@ def liquidity_metrics(exchange: DataFrame, bonds: DataFrame, accuracy: int = MED
     The bond list is broadcast only when its counted size bound fits the
     broadcast threshold; otherwise the join is a sort-merge join.
     """
-    ranks = rank_by_median(spread_medians(exchange, accuracy, method, salt_buckets), num_partitions)
+    daily = daily_medians(exchange, accuracy, method, salt_buckets)
+    return metrics_of_daily(daily, bonds, accuracy, num_partitions, sort)
+
+
+def metrics_of_daily(daily: DataFrame, bonds: DataFrame, accuracy: int = MEDIAN_ACCURACY,
+                     num_partitions: int | None = None, sort: bool = True) -> DataFrame:
+    """``liquidity_metrics`` from the daily medians on. A day's median does not depend on other days, so the
+    metrics of several spans of days can share one table of them (``daily.where(date <= ...)``)."""
+    ranks = rank_by_median(median_by_bond(daily, accuracy), num_partitions)
     bonds, _ = broadcast_if_small(bonds)
     joined = bonds.join(ranks, bonds["id"] == ranks["bond"], "inner").select(*METRIC_COLUMNS)
     return joined.orderBy(F.col("id").asc()) if sort else joined

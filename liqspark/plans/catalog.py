@@ -543,13 +543,16 @@ SQL_LAST_YEAR = """(SELECT strftime(max(date_trunc('year', l_shipdate)), '%Y%m%d
 @register("metrics_latest_anchor", "WITH " + SQL_METRICS + f"\nSELECT *, {SQL_LAST_YEAR} AS anchor_date FROM metrics")
 def q_metrics_latest_anchor(spark, sf_dir):
     """Three daily copies as partitions of one table, each of the quotes up to its day; the newest day is written
-    neither last nor once. Read back: the newest day."""
-    from ..sinks.writers import read_newest_metrics, write_metrics_day
-    exchange, path = _exchange(spark, sf_dir), S.scratch_dir(spark, "metrics-days")
-    days = [r[0] for r in exchange.select("date").distinct().orderBy(F.col("date").desc()).limit(3).collect()]
+    neither last nor once. Read back: the newest day. The copies share one table of daily medians: the quotes are
+    read and shuffled once, not once a copy."""
+    from ..sinks.writers import read_newest_metrics, write_metrics_day, write_parquet
+    path, medians = S.scratch_dir(spark, "metrics-days"), S.scratch_dir(spark, "daily-medians")
+    daily = spark.read.parquet(write_parquet(liquidity.daily_medians(_exchange(spark, sf_dir)), medians))
+    days = [r[0] for r in daily.select("date").distinct().orderBy(F.col("date").desc()).limit(3).collect()]
     for day in [days[0], *days[:0:-1], days[0], *days[1:2]] if days else []:
-        metrics = liquidity.liquidity_metrics(exchange.where(F.col("date") <= F.lit(day)), _bonds(spark, sf_dir), sort=False)
+        metrics = liquidity.metrics_of_daily(daily.where(F.col("date") <= F.lit(day)), _bonds(spark, sf_dir), sort=False)
         write_metrics_day(metrics, path, day.strftime("%Y%m%d"))
+    S.remove_scratch(spark, medians)
     return read_newest_metrics(spark, path)
 
 
