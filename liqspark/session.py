@@ -27,6 +27,9 @@ SQL_DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A micro-batch lists its landed files in one task a file (up to 10,000 tasks, all scheduled by the
+    # driver); a task may take many.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "96",
 }
 
 
