@@ -54,6 +54,11 @@ class ToxicityModel:
     slope: float = 1.0
     intercept: float = 0.0
 
+    @property
+    def toxic(self) -> np.ndarray:
+        """What is learnt of the keys, under the name that it had as counts."""
+        return self.scores
+
     def plain(self) -> tuple:
         return self.keys, self.scores, self.scale, self.shift, self.slope, self.intercept
 

@@ -12,17 +12,21 @@ from pyspark.sql.types import StructType
 
 from ..schemas import RAW_BONDS, RAW_EXCHANGE, RAW_OTC
 
+# Stands for a missing value inside the CSV parser; with its default, the empty string, a quoted one is null too.
+NO_VALUE = "\u0000"
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
              min_partitions: int | None = None) -> DataFrame:
     """Header CSV -> the schema's columns, picked by header name (files may carry
     more columns, in any order). Without inference every column is a string,
-    which is what the all-string raw schemas expect.
+    which is what the all-string raw schemas expect. Nothing between two commas is null, a quoted empty
+    string is a value (and a bad one where a number is due), as ``write_csv`` writes them.
 
     Files are split by ``spark.sql.files.maxPartitionBytes``; only a caller who
     knows of one large unsplittable file (gzip) asks for ``min_partitions``,
     which shuffles the whole scan."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("nullValue", NO_VALUE).csv(path)
     picked = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     return picked.repartition(min_partitions) if min_partitions else picked
 
